@@ -46,4 +46,4 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
             pass
     if fits:
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return big.join(small.hint("shuffle_merge"), on, how)

@@ -70,7 +70,9 @@ def decode_valid(kafka: DataFrame, keep: tuple[str, ...] = ("partition", "offset
     job).  ``keep`` carries Kafka position columns for ordering."""
     text = F.col("value").cast("string")
     df = kafka.select(*[F.col(c) for c in keep if c in kafka.columns], text.alias("_text"))
-    df = df.filter(F.is_valid_utf8(F.col("_text")) & F.json_object_keys("_text").isNotNull())
+    # a JSON object (NaN/Infinity allowed, as Python's json accepts them)
+    is_object = F.from_json(F.col("_text"), "map<string,string>").isNotNull()
+    df = df.filter(F.is_valid_utf8(F.col("_text")) & is_object)
     df = df.withColumn("_rec", F.from_json("_text", READING_TEXT_SCHEMA))
     return df.select(*[c for c in keep if c in kafka.columns],
                      *[F.col(f"_rec.{c}").alias(c) for c in PAYLOAD_FIELDS])
