@@ -23,6 +23,19 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields fewer
+    splits than there are cores (a small file with one row group).
+
+    Used before per-row heavy work (JSON encode/decode).  A large input
+    already has many splits, so no shuffle is added there.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def _zone(meter_no: Column) -> Column:
     return (F.when(meter_no < 2, "Zone_A").when(meter_no < 4, "Zone_B")
              .when(meter_no < 6, "Zone_C").when(meter_no < 8, "Zone_D")
@@ -84,6 +97,6 @@ def kafka_records_from_readings(rd: DataFrame) -> DataFrame:
 
 def kafka_records(spark: SparkSession, sf_dir: str, partitions: int = 3) -> DataFrame:
     """Kafka-shaped rows of the readings; ``partition = user_id % partitions``."""
-    ev = load_table(spark, sf_dir, "events")
+    ev = spread(load_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     ev = ev.withColumn("partition", (F.col("user_id") % partitions).cast("int"))
     return kafka_records_from_readings(readings_from_events(ev, extra=("partition",)))

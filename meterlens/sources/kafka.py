@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from meterlens.config import (
     FRAUD_LABEL, LIVE_MAX_MESSAGES, OK_LABEL, TOPIC, WATERMARK_DELAY,
 )
+from meterlens.plans.barrier import materialize
 from meterlens.plans.joins import join_small
 from meterlens.schema import PAYLOAD_FIELDS, READING_SCHEMA, READING_TEXT_SCHEMA
 
@@ -52,11 +53,11 @@ def parse_readings(kafka: DataFrame, watermark: str | None = WATERMARK_DELAY) ->
     null event time instead of failing the batch.  The watermark is set on
     streaming input only (it is a no-op for map-only queries anyway).
     """
-    df = kafka.select(
-        F.col("key").cast("string").alias("kafka_key"),
-        F.from_json(F.col("value").cast("string"), READING_SCHEMA).alias("data"),
-        F.col("timestamp").alias("kafka_timestamp"),
-    ).select("kafka_key", *[F.col(f"data.{c}").alias(c) for c in PAYLOAD_FIELDS], "kafka_timestamp")
+    df = materialize(kafka, [], {
+        "kafka_key": F.col("key").cast("string"),
+        "data": F.from_json(F.col("value").cast("string"), READING_SCHEMA),
+        "kafka_timestamp": F.col("timestamp"),
+    }).select("kafka_key", *[F.col(f"data.{c}").alias(c) for c in PAYLOAD_FIELDS], "kafka_timestamp")
     df = df.withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
     if watermark and df.isStreaming:
         df = df.withWatermark("event_time", watermark)
@@ -68,14 +69,17 @@ def decode_valid(kafka: DataFrame, keep: tuple[str, ...] = ("partition", "offset
     text holding a JSON object; every field is kept as text so that one
     badly typed field does not void the others (coercion is ``score_live``'s
     job).  ``keep`` carries Kafka position columns for ordering."""
-    text = F.col("value").cast("string")
-    df = kafka.select(*[F.col(c) for c in keep if c in kafka.columns], text.alias("_text"))
-    # a JSON object (NaN/Infinity allowed, as Python's json accepts them)
-    is_object = F.from_json(F.col("_text"), "map<string,string>").isNotNull()
-    df = df.filter(F.is_valid_utf8(F.col("_text")) & is_object)
-    df = df.withColumn("_rec", F.from_json("_text", READING_TEXT_SCHEMA))
-    return df.select(*[c for c in keep if c in kafka.columns],
-                     *[F.col(f"_rec.{c}").alias(c) for c in PAYLOAD_FIELDS])
+    keep = [c for c in keep if c in kafka.columns]
+    df = materialize(kafka, keep, {"_text": F.col("value").cast("string")})
+    text = F.col("_text")
+    df = materialize(df, keep, {
+        "_ok": F.is_valid_utf8(text)
+               # a JSON object (NaN/Infinity allowed, as Python's json accepts them)
+               & F.from_json(text, "map<string,string>").isNotNull(),
+        "_rec": F.from_json(text, READING_TEXT_SCHEMA),
+    })
+    return (df.filter(F.col("_ok"))
+              .select(*keep, *[F.col(f"_rec.{c}").alias(c) for c in PAYLOAD_FIELDS]))
 
 
 def latest_messages(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) -> DataFrame:
