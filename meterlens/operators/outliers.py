@@ -48,19 +48,16 @@ def q4_1_zscore(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, top: int =
 
 
 def iqr_bounds(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
-               exact: bool = False, accuracy: int = 10000) -> DataFrame:
+               accuracy: int = 10000) -> DataFrame:
     """Per meter q1, median, q3 and the 1.5 x IQR fences.
 
-    ``exact=False`` uses ``percentile_approx`` (a mergeable sketch, safe for
-    any group size; exact up to ``accuracy`` rows per meter).  ``exact=True``
-    uses ``percentile`` (interpolating, like Hive's exact version) which keeps
-    every value of a group in memory — only for bounded groups.
+    ``percentile_approx`` is a mergeable sketch: partial sketches are built
+    map-side and merged, so a meter with a third of all readings never has
+    its values gathered in one task.  It is exact while a meter has at most
+    ``accuracy`` readings; raise ``accuracy`` for tighter quantiles.
     """
     kwh = F.col("consumption_kwh")
-    if exact:
-        qs = F.percentile(kwh, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    else:
-        qs = F.percentile_approx(kwh, [0.25, 0.5, 0.75], accuracy)
+    qs = F.percentile_approx(kwh, [0.25, 0.5, 0.75], accuracy)
     p = raw.groupBy("meter_id").agg(qs.alias("_q"))
     p = p.select("meter_id", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median_kwh"),
                  F.col("_q")[2].alias("q3"))
@@ -72,9 +69,9 @@ def iqr_bounds(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
 
 
 def q4_2_iqr(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
-             exact: bool = False, accuracy: int = 10000) -> DataFrame:
+             accuracy: int = 10000) -> DataFrame:
     """Readings outside their meter's IQR fences, by meter and time."""
-    b = iqr_bounds(raw, th, exact, accuracy).select("meter_id", "lower_fence", "upper_fence")
+    b = iqr_bounds(raw, th, accuracy).select("meter_id", "lower_fence", "upper_fence")
     j = join_small(raw.select("meter_id", "timestamp", "consumption_kwh"), b, "meter_id")
     kwh = F.col("consumption_kwh")
     j = j.filter((kwh < F.col("lower_fence")) | (kwh > F.col("upper_fence")))

@@ -46,4 +46,5 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
             pass
     if fits:
         return big.join(F.broadcast(small), on, how)
+    small.unpersist()  # large: do not pin it; the shuffle join recomputes it once
     return big.join(small.hint("shuffle_merge"), on, how)
