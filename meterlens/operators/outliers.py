@@ -53,8 +53,8 @@ def iqr_bounds(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
 
     ``percentile_approx`` is a mergeable sketch: partial sketches are built
     map-side and merged, so a meter with a third of all readings never has
-    its values gathered in one task.  It is exact while a meter has at most
-    ``accuracy`` readings; raise ``accuracy`` for tighter quantiles.
+    its values gathered in one task.  Rank error is at most n / ``accuracy``
+    (exact on small meters); raise ``accuracy`` for tighter quantiles.
     """
     kwh = F.col("consumption_kwh")
     qs = F.percentile_approx(kwh, [0.25, 0.5, 0.75], accuracy)
