@@ -74,8 +74,11 @@ def readings_from_events(events: DataFrame, extra: tuple[str, ...] = ()) -> Data
               .withColumn("kafka_timestamp", F.col("event_time")))
 
 
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings_from_events(load_table(spark, sf_dir, "events"))
+    return readings_from_events(load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
 
 
 def kafka_records_from_readings(rd: DataFrame) -> DataFrame:
@@ -97,6 +100,6 @@ def kafka_records_from_readings(rd: DataFrame) -> DataFrame:
 
 def kafka_records(spark: SparkSession, sf_dir: str, partitions: int = 3) -> DataFrame:
     """Kafka-shaped rows of the readings; ``partition = user_id % partitions``."""
-    ev = spread(load_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = spread(load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
     ev = ev.withColumn("partition", (F.col("user_id") % partitions).cast("int"))
     return kafka_records_from_readings(readings_from_events(ev, extra=("partition",)))

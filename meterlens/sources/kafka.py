@@ -17,6 +17,8 @@ from meterlens.config import (
 )
 from meterlens.plans.barrier import materialize
 from meterlens.plans.joins import join_small
+from pyspark.sql.types import StringType, StructField, StructType
+
 from meterlens.schema import PAYLOAD_FIELDS, READING_SCHEMA, READING_TEXT_SCHEMA
 
 
@@ -72,13 +74,15 @@ def decode_valid(kafka: DataFrame, keep: tuple[str, ...] = ("partition", "offset
     keep = [c for c in keep if c in kafka.columns]
     df = materialize(kafka, keep, {"_text": F.col("value").cast("string")})
     text = F.col("_text")
+    # One parse: junk, arrays and scalars land in the corrupt-record column;
+    # NaN/Infinity are accepted, as Python's json accepts them.
+    schema = StructType(READING_TEXT_SCHEMA.fields + [StructField("_corrupt", StringType())])
     df = materialize(df, keep, {
-        "_ok": F.is_valid_utf8(text)
-               # a JSON object (NaN/Infinity allowed, as Python's json accepts them)
-               & F.from_json(text, "map<string,string>").isNotNull(),
-        "_rec": F.from_json(text, READING_TEXT_SCHEMA),
+        "_utf8": F.is_valid_utf8(text),
+        "_rec": F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"}),
     })
-    return (df.filter(F.col("_ok"))
+    ok = F.col("_utf8") & F.col("_rec").isNotNull() & F.col("_rec._corrupt").isNull()
+    return (df.filter(ok)
               .select(*keep, *[F.col(f"_rec.{c}").alias(c) for c in PAYLOAD_FIELDS]))
 
 
