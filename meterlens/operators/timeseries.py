@@ -16,7 +16,7 @@ def q3_1_hourly_profile(mf: DataFrame) -> DataFrame:
 
 def _daily(raw: DataFrame) -> DataFrame:
     """Per meter and calendar day: kWh sum and row count (map-side combined)."""
-    return raw.groupBy("meter_id", F.to_date("date").alias("day")).agg(
+    return raw.groupBy("meter_id", F.try_to_date(F.col("date")).alias("day")).agg(
         F.sum("consumption_kwh").alias("kwh"),
         F.count(F.lit(1)).alias("n"),
     )

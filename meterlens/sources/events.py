@@ -94,7 +94,7 @@ def kafka_records_from_readings(rd: DataFrame) -> DataFrame:
         F.lit(TOPIC).alias("topic"),
         F.col("partition").cast("int").alias("partition"),
         F.col("event_id").cast("long").alias("offset"),
-        F.to_timestamp(F.col("timestamp")).alias("timestamp"),
+        F.try_to_timestamp(F.col("timestamp")).alias("timestamp"),
     )
 
 

@@ -111,6 +111,14 @@ def run_pipeline(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
     return qs
 
 
+def cluster_for_write(df: DataFrame, parts, files_per_partition: int) -> DataFrame:
+    """Shuffle rows so each partition directory is written by at most
+    ``files_per_partition`` tasks.  A deterministic hash salt spreads a hot
+    (date, meter) directory over several tasks and keeps retries stable."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+    return df.repartition(*[F.col(c) for c in parts], salt)
+
+
 def _batch_marker(spark: SparkSession, paths: ZonePaths, zone: str, epoch: int):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -126,7 +134,8 @@ def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERV
     A per-(zone, batch) marker in the checkpoint makes a replayed batch skip
     the zones it already wrote, so a restart after a failure does not
     duplicate rows.  ``files_per_partition`` clusters rows by the partition
-    columns before writing to avoid many small files.
+    columns before writing (at most that many files per directory) to avoid
+    many small files.
     """
     spark = kafka.sparkSession
 
@@ -142,7 +151,7 @@ def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERV
                 if fs.exists(marker):
                     continue
                 if files_per_partition:
-                    df = df.repartition(*[F.col(c) for c in parts])
+                    df = cluster_for_write(df, parts, files_per_partition)
                 df.write.mode("append").partitionBy(*parts).parquet(path)
                 fs.create(marker, True).close()
         finally:

@@ -79,3 +79,9 @@ def test_join_small_broadcasts_only_within_bound(spark):
     plan = join_small(big, small, "k", max_rows=5)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
     assert join_small(big, small, "k", max_rows=5).count() == 1000
+
+
+def test_day_change_tolerates_bad_dates(spark):
+    df = _day_rows(spark).union(spark.createDataFrame([("m1", "not-a-date", 1.0)], _day_rows(spark).schema))
+    out = [tuple(r) for r in q3_2_day_change(df).collect()]
+    assert out == [("m1", "2024-01-02", 36.0, 9.0, 300.0)]

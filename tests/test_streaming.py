@@ -63,8 +63,10 @@ def test_foreach_batch_zones(spark, scratch):
     paths = ZonePaths(os.path.join(scratch, "raw"), os.path.join(scratch, "processed"),
                       os.path.join(scratch, "alerts"), os.path.join(scratch, "ck"))
     write_zones_batch(_stream(spark, src, maxFilesPerTrigger=1), paths,
-                      trigger="availableNow").awaitTermination()
+                      trigger="availableNow", files_per_partition=2).awaitTermination()
     assert read_zone(spark, paths.raw, "raw_readings").count() == 1000
+    day = os.path.join(paths.alerts, sorted(d for d in os.listdir(paths.alerts) if d.startswith("date="))[0])
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) <= 2 * 2  # 2 batches x 2 files
     assert read_zone(spark, paths.processed, "meter_features").count() == 1000
     flagged = _batch_scored(spark).filter("is_fraud_flagged").count()
     assert read_zone(spark, paths.alerts, "fraud_alerts").count() == flagged
