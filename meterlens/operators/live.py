@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.config import LIVE_ALERT_ROWS, LIVE_RECENT_ROWS, SEVERITY_LABELS
+from meterlens.config import LIVE_ALERT_ROWS, LIVE_MAX_MESSAGES, LIVE_RECENT_ROWS, SEVERITY_LABELS
 from meterlens.operators.rule_stats import unpivot_sums
 
 RECENT_COLUMNS = ["event_time", "meter_id", "location", "consumption_kwh", "voltage_v",
@@ -26,6 +26,14 @@ def _tie_break(df: DataFrame, descending: bool = False) -> list:
     return [F.desc_nulls_first(c) if descending else F.asc_nulls_last(c) for c in keys]
 
 
+def live_window(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) -> DataFrame:
+    """The dashboard's refresh: newest ``max_messages`` records -> tolerant
+    decode -> live scoring.  Every K-operator can run on its output."""
+    from meterlens.functions.rules import score_live
+    from meterlens.sources.kafka import decode_valid, latest_messages
+    return score_live(decode_valid(latest_messages(kafka, max_messages)))
+
+
 def kpi_live(scored: DataFrame) -> DataFrame:
     """Messages, alerts, alert rate (1 dp), active meters, mean kWh (2 dp),
     last event time and its ``HH:MM:SS UTC`` label; zeros when empty."""

@@ -108,6 +108,8 @@ QUERIES: dict[str, Query] = {
     "zone_risk": _live(live.zone_risk),
     "recent_readings": _live(live.recent_readings),
     "latest_alerts": _live(live.latest_alerts),
+    "live_window": lambda spark, sf: live.live_window(events.kafka_records(spark, sf)),
+    "kpi_live_window": lambda spark, sf: live.kpi_live(live.live_window(events.kafka_records(spark, sf))),
     # batch analytics
     "q1_1_daily_overview": _mf(overview.q1_1_daily_overview),
     "q1_2_meter_overview": _mf(overview.q1_2_meter_overview),
