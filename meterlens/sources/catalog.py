@@ -10,6 +10,7 @@ makes it exactly-once, and a table over it cannot recover partitions).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterlens.schema import (
@@ -63,6 +64,23 @@ def register_zone_view(spark: SparkSession, name: str, path: str,
     return df
 
 
+def scope(df: DataFrame, date_from: str | None = None, date_to: str | None = None,
+          meters=None) -> DataFrame:
+    """Restrict any zone frame to a date range and/or meters.
+
+    On a zone read from its partitioned layout the predicates become
+    ``PartitionFilters``: directories outside the range are never listed or
+    read.  Apply it before any operator; the operators stay unchanged.
+    """
+    if date_from:
+        df = df.filter(F.col("date") >= date_from)
+    if date_to:
+        df = df.filter(F.col("date") <= date_to)
+    if meters is not None:
+        df = df.filter(F.col("meter_id").isin(list(meters)))
+    return df
+
+
 def show_tables(spark: SparkSession, db: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN `{db}`")
 
@@ -93,6 +111,6 @@ def write_zone(df: DataFrame, path: str, table: str, mode: str = "append") -> No
     df.write.mode(mode).partitionBy(*parts).parquet(path)
 
 
-__all__ = ["create_database", "register_zone_table", "recover_partitions", "read_zone",
+__all__ = ["scope", "create_database", "register_zone_table", "recover_partitions", "read_zone",
            "register_zone_view", "show_tables", "describe_table", "run_query", "copy_zone_orc",
            "export_summary_csv", "write_zone", "ZONE_TABLES", "StructType"]

@@ -36,3 +36,17 @@ def test_orc_copy_and_csv(spark, scratch):
     export_summary_csv(report_summary(mf), os.path.join(scratch, "csv"))
     df = spark.read.option("header", True).csv(os.path.join(scratch, "csv"))
     assert df.count() == 10 and "fraud_rate_pct" in df.columns
+
+
+def test_scope_prunes_partitions(spark, scratch):
+    from meterlens.operators.overview import q1_1_daily_overview
+    from meterlens.sources.catalog import scope
+    zone = os.path.join(scratch, "zone")
+    write_zone(meter_features(spark, SF001).drop("event_id"), zone, "meter_features")
+    df = scope(read_zone(spark, zone, "meter_features"), "2024-01-10", "2024-01-12", ["MTR_001"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = q1_1_daily_overview(df)._jdf.queryExecution().executedPlan().toString()
+    part = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
+    assert "2024-01-10" in part and "2024-01-12" in part and "MTR_001" in part
+    got = {r.date for r in q1_1_daily_overview(df).collect()}
+    assert got <= {"2024-01-10", "2024-01-11", "2024-01-12"} and got
