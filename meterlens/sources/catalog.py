@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from meterlens.schema import (
     ALERT_PARTITIONS, PROCESSED_PARTITIONS, PROCESSED_ZONE_SCHEMA, RAW_PARTITIONS,
@@ -113,4 +112,4 @@ def write_zone(df: DataFrame, path: str, table: str, mode: str = "append") -> No
 
 __all__ = ["scope", "create_database", "register_zone_table", "recover_partitions", "read_zone",
            "register_zone_view", "show_tables", "describe_table", "run_query", "copy_zone_orc",
-           "export_summary_csv", "write_zone", "ZONE_TABLES", "StructType"]
+           "export_summary_csv", "write_zone", "ZONE_TABLES"]
