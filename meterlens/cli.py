@@ -47,7 +47,7 @@ def _register(spark: SparkSession, a) -> None:
     catalog.create_database(spark, a.db, a.location)
     for table, sub in (("raw_readings", "raw"), ("meter_features", "processed"),
                        ("fraud_alerts", "alerts")):
-        catalog.register_zone_table(spark, a.db, table, os.path.join(a.base, sub))
+        catalog.register_zone(spark, a.db, table, os.path.join(a.base, sub))
     catalog.show_tables(spark, a.db).show(truncate=False)
 
 

@@ -45,6 +45,36 @@ def register_zone_table(spark: SparkSession, db: str, table: str, path: str,
         recover_partitions(spark, f"{db}.{table}")
 
 
+def is_stream_sink(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` was written by a streaming file sink (has a commit log)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_spark_metadata")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def register_stream_zone_view(spark: SparkSession, db: str, table: str, path: str) -> None:
+    """Persistent view over a streaming-sink zone.
+
+    A path read honours the sink's ``_spark_metadata`` log, so readers see
+    committed micro-batches only; a catalog table would list every file,
+    including those of a failed, replayed batch.  Columns are cast to the
+    declared zone types (partition inference would make ``date`` a DATE).
+    """
+    schema, _ = ZONE_TABLES[table]
+    cols = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                     for f in schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{table}` AS "
+              f"SELECT {cols} FROM parquet.`{path}`")
+
+
+def register_zone(spark: SparkSession, db: str, table: str, path: str) -> None:
+    """Table for a batch-written zone, view for a streaming-sink zone."""
+    if is_stream_sink(spark, path):
+        register_stream_zone_view(spark, db, table, path)
+    else:
+        register_zone_table(spark, db, table, path)
+
+
 def recover_partitions(spark: SparkSession, table: str) -> None:
     """``MSCK REPAIR TABLE``: add partition directories written since."""
     spark.catalog.recoverPartitions(table)
@@ -110,6 +140,7 @@ def write_zone(df: DataFrame, path: str, table: str, mode: str = "append") -> No
     df.write.mode(mode).partitionBy(*parts).parquet(path)
 
 
-__all__ = ["scope", "create_database", "register_zone_table", "recover_partitions", "read_zone",
+__all__ = ["scope", "create_database", "register_zone_table", "register_zone",
+           "register_stream_zone_view", "is_stream_sink", "recover_partitions", "read_zone",
            "register_zone_view", "show_tables", "describe_table", "run_query", "copy_zone_orc",
            "export_summary_csv", "write_zone", "ZONE_TABLES"]
