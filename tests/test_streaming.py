@@ -141,3 +141,24 @@ def test_stream_rolling_baseline_equals_batch(spark, scratch):
         gm, gn = got[k]
         assert gn == n
         assert (m is None and (gm is None or gm != gm)) or abs(gm - m) < 1e-6
+
+
+def test_malformed_payloads_through_zones(spark, scratch):
+    payloads = [b"{bad", b"[1]", b'{"meter_id":"m","consumption_kwh":"abc","date":"2024-01-02"}',
+                b'{"meter_id":"m","timestamp":"x","consumption_kwh":0.1}',
+                b'{"meter_id":"m","timestamp":"2024-01-02T00:00:00+00:00","date":"2024-01-02",'
+                b'"hour":0,"consumption_kwh":0.1,"voltage_v":230,"current_a":1,"frequency_hz":50}']
+    rows = [(b"m", p, "energy_readings", 0, i, None) for i, p in enumerate(payloads)]
+    src = os.path.join(scratch, "bad")
+    spark.createDataFrame(rows, KAFKA_SCHEMA).write.parquet(os.path.join(src, "b0"))
+    paths = ZonePaths(os.path.join(scratch, "raw"), os.path.join(scratch, "processed"),
+                      os.path.join(scratch, "alerts"), os.path.join(scratch, "ck"))
+    for q in run_pipeline(_stream(spark, src), paths, trigger="availableNow", console=False):
+        q.awaitTermination()
+    raw = read_zone(spark, paths.raw, "raw_readings")
+    assert raw.count() == 5  # the stream job keeps undecodable payloads as null rows
+    assert raw.filter(F.col("date").isNull()).count() == 3
+    assert any(d.startswith("date=__HIVE_DEFAULT_PARTITION__") for d in os.listdir(paths.raw))
+    alerts = read_zone(spark, paths.alerts, "fraud_alerts").collect()
+    assert len(alerts) == 2  # kWh 0.1 fires the low-consumption rule (twice); nulls do not
+    assert all(r.rule_low_consumption for r in alerts)
