@@ -95,13 +95,14 @@ def latest_messages(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) ->
     whole partition.  On a live topic the same start offsets would be passed
     as ``startingOffsets`` to ``read_kafka_batch``.
     """
-    ends = (kafka.groupBy("partition")
+    keys = [c for c in ("topic", "partition") if c in kafka.columns]
+    ends = (kafka.groupBy(*keys)
                  .agg(F.min("offset").alias("_begin"), (F.max("offset") + 1).alias("_end")))
     n_parts = F.count(F.lit(1)).over(Window.partitionBy())
     ends = ends.withColumn("_per", F.greatest(F.lit(1), F.lit(max_messages) / n_parts + 1)
                            .cast("long"))
     ends = ends.withColumn("_start", F.greatest("_begin", F.col("_end") - F.col("_per")))
-    j = join_small(kafka, ends.select("partition", "_start"), "partition")
+    j = join_small(kafka, ends.select(*keys, "_start"), keys)
     j = j.filter(F.col("offset") >= F.col("_start")).drop("_start")
     return (j.orderBy(F.desc_nulls_last("timestamp"), F.desc("offset"), F.asc("partition"))
              .limit(max_messages))
