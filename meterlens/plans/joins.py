@@ -18,13 +18,16 @@ from meterlens.config import DEFAULT_BROADCAST_MAX_ROWS
 
 
 def _max_bytes(spark) -> int:
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    """The session's broadcast limit in bytes (-1 disables broadcasting)."""
+    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if v.endswith(u) and v[:-len(u)].strip().lstrip("-").isdigit():
+            return int(v[:-len(u)]) * units[u]
     try:
-        n = int(str(v).lower().rstrip("b"))
+        return int(v)
     except ValueError:
-        n = 10 * 1024 * 1024
-    # allow small sides somewhat above the planner's default estimate limit
-    return max(n, 0) * 8
+        return 10 << 20
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -32,17 +35,19 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """``big.join(small)`` with a broadcast only after the size is proven.
 
     The small side is computed once (persisted), counted, and its cached
-    size is read from the plan statistics.  Within both bounds it is
-    broadcast (no shuffle of ``big``); otherwise a shuffle join is used.
+    size is read from the plan statistics.  Within ``max_rows`` and the
+    session's ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast (no
+    shuffle of ``big``); otherwise a sort-merge join is used.
     """
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     rows = small.count()
-    fits = rows <= max_rows
+    limit = _max_bytes(small.sparkSession)
+    fits = rows <= max_rows and limit >= 0
     if fits:
         try:
             size = int(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-            fits = size <= _max_bytes(small.sparkSession)
-        except Exception:  # statistics unavailable (e.g. Spark Connect)
+            fits = size <= limit
+        except Exception:  # statistics unavailable (e.g. Spark Connect): rows bound only
             pass
     if fits:
         return big.join(F.broadcast(small), on, how)
