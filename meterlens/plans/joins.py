@@ -30,6 +30,15 @@ def _max_bytes(spark) -> int:
         return 10 << 20
 
 
+def cached_size_bytes(df: DataFrame) -> int | None:
+    """Size of a materialized cached frame from its plan statistics
+    (None when the statistics cannot be read, e.g. over Spark Connect)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``big.join(small)`` with a broadcast only after the size is proven.
@@ -44,11 +53,9 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     limit = _max_bytes(small.sparkSession)
     fits = rows <= max_rows and limit >= 0
     if fits:
-        try:
-            size = int(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = cached_size_bytes(small)
+        if size is not None:
             fits = size <= limit
-        except Exception:  # statistics unavailable (e.g. Spark Connect): rows bound only
-            pass
     if fits:
         return big.join(F.broadcast(small), on, how)
     small.unpersist()  # large: do not pin it; the shuffle join recomputes it once
