@@ -94,6 +94,36 @@ def session(app: str = "meterlens", master: str | None = None,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 split_bytes: int = 256 << 20, shuffle_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, derived from the input size.
+
+    * file splits of ``split_bytes`` (column-pruned Parquet reads are a
+      fraction of that on disk), so a 100 TB scan is ~400k tasks;
+    * the heaviest shuffle here moves narrow rows (rolling baseline: key,
+      time, kWh; about a tenth of the input), so AQE starts from enough
+      partitions for ``shuffle_bytes`` each and coalesces small ones;
+    * skew-join splitting for hot meters, RocksDB state for the stateful
+      stream, and a broadcast limit that ``plans.joins.join_small`` reads.
+    """
+    heaviest_shuffle = input_bytes // 10
+    initial = max(total_cores * 3, -(-heaviest_shuffle // shuffle_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 

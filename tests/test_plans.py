@@ -99,3 +99,11 @@ def test_join_small_respects_byte_threshold(spark):
         assert cached_size_bytes(small.persist().alias("x")) is not None
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_cluster_conf_sizes_for_100tb():
+    from meterlens.config import cluster_conf
+    conf = cluster_conf(100 << 40, 8000)
+    n = int(conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"])
+    assert 50_000 < n < 120_000 and conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert int(cluster_conf(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 24
