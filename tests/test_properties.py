@@ -121,3 +121,21 @@ def test_score_live_ordered_nulls_last(spark):
     rows = score_live(df, ordered=True).collect()
     assert [r.event_time is None for r in rows] == [False, False, True]
     assert rows[0].event_time < rows[1].event_time
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(window_min=st.integers(1, 90), bucket_mult=st.integers(1, 5),
+       rows=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 6 * 3600), st.sampled_from([0.5, 1.25, 3.0])),
+                     min_size=1, max_size=60))
+def test_bucketed_window_property(spark, window_min, bucket_mult, rows):
+    from meterlens.plans.windows import epoch_micros, preceding_range_agg
+    base = 1_704_067_200
+    df = (spark.createDataFrame([(f"k{k}", base + s, v) for k, s, v in rows], "k string, s long, v double")
+               .withColumn("ts", F.timestamp_seconds("s")))
+    got = preceding_range_agg(df, "k", "ts", {"n": F.count("v"), "t": F.sum("v")},
+                              window=f"{window_min} minutes", bucket=f"{window_min * bucket_mult} minutes")
+    w_us = window_min * 60_000_000
+    w = Window.partitionBy("k").orderBy(epoch_micros(df, "ts")).rangeBetween(-w_us, -1)
+    exp = df.withColumn("n", F.count("v").over(w)).withColumn("t", F.sum("v").over(w))
+    key = lambda r: (r.k, r.s, r.v, r.n, r.t or 0.0)
+    assert sorted(map(key, got.collect())) == sorted(map(key, exp.collect()))
