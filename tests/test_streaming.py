@@ -88,7 +88,7 @@ def test_late_rows_kept_by_map_only_dropped_by_timeline(spark, scratch):
                ["2023-01-02T00:00:10+00:00"],
                ["2024-01-02T01:00:00+00:00"]]
     for i, b in enumerate(batches):
-        _late_frame(spark, b).write.parquet(os.path.join(src, f"b{i}"))
+        _late_frame(spark, b).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
     scored = apply_rules(add_features(parse_readings(_stream(spark, src, maxFilesPerTrigger=1))))
     q1 = (scored.writeStream.format("memory").queryName("late_all").outputMode("append")
                 .trigger(availableNow=True).start())
@@ -162,3 +162,23 @@ def test_malformed_payloads_through_zones(spark, scratch):
     alerts = read_zone(spark, paths.alerts, "fraud_alerts").collect()
     assert len(alerts) == 2  # kWh 0.1 fires the low-consumption rule (twice); nulls do not
     assert all(r.rule_low_consumption for r in alerts)
+
+
+def test_stream_rolling_baseline_late_row_within_watermark(spark, scratch):
+    schema = "meter_id string, timestamp string, event_time timestamp, consumption_kwh double"
+    src = os.path.join(scratch, "late_roll")
+    batches = [[("m", "a", "2024-01-02 10:00:00", 1.0), ("m", "b", "2024-01-02 10:20:00", 2.0)],
+               [("m", "c", "2024-01-02 10:15:00", 4.0)],            # out of order, within the watermark
+               [("m", "d", "2024-01-02 10:30:00", 8.0)]]
+    for i, rows in enumerate(batches):
+        (spark.createDataFrame(rows, "meter_id string, timestamp string, t string, consumption_kwh double")
+              .select("meter_id", "timestamp", F.to_timestamp("t").alias("event_time"), "consumption_kwh")
+              .coalesce(1).write.parquet(os.path.join(src, f"b{i}")))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+    (stream_rolling_baseline(stream).writeStream.format("memory").queryName("late_roll")
+        .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
+        .trigger(availableNow=True).start().awaitTermination())
+    got = {r.timestamp: (r.rolling_mean_kwh, r.rolling_count) for r in spark.table("late_roll").collect()}
+    assert got["a"][1] == 0 and got["b"] == (1.0, 1)
+    assert got["c"] == (1.0, 1)            # only 10:00 precedes 10:15 within 30 minutes
+    assert got["d"] == (round((1 + 2 + 4) / 3, 6), 3)  # the late reading is in the state
