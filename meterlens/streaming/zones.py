@@ -9,6 +9,7 @@ loses nor duplicates rows.  Checkpoints live under the cluster's shared
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -139,21 +140,26 @@ def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERV
     """
     spark = kafka.sparkSession
 
+    def write_zone(zone: str, df: DataFrame, parts, path: str, epoch: int) -> None:
+        fs, marker = _batch_marker(spark, paths, zone, epoch)
+        if fs.exists(marker):
+            return
+        if files_per_partition:
+            df = cluster_for_write(df, parts, files_per_partition)
+        df.write.mode("append").partitionBy(*parts).parquet(path)
+        fs.create(marker, True).close()
+
     def write(batch: DataFrame, epoch: int):
         raw = parse_readings(batch, watermark=None)
         scored = apply_rules(add_features(raw)).persist()
+        jobs = [("raw", raw, RAW_PARTITIONS, paths.raw),
+                ("processed", scored, PROCESSED_PARTITIONS, paths.processed),
+                ("alerts", scored.filter(F.col("is_fraud_flagged")), ALERT_PARTITIONS, paths.alerts)]
         try:
-            for zone, df, parts, path in (
-                    ("raw", raw, RAW_PARTITIONS, paths.raw),
-                    ("processed", scored, PROCESSED_PARTITIONS, paths.processed),
-                    ("alerts", scored.filter(F.col("is_fraud_flagged")), ALERT_PARTITIONS, paths.alerts)):
-                fs, marker = _batch_marker(spark, paths, zone, epoch)
-                if fs.exists(marker):
-                    continue
-                if files_per_partition:
-                    df = cluster_for_write(df, parts, files_per_partition)
-                df.write.mode("append").partitionBy(*parts).parquet(path)
-                fs.create(marker, True).close()
+            # the three zone writes are independent jobs: submit them together
+            with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+                for f in [pool.submit(write_zone, *job, epoch) for job in jobs]:
+                    f.result()
         finally:
             scored.unpersist()
 
