@@ -26,8 +26,9 @@ def stream_timeline(scored: DataFrame, watermark: str = WATERMARK_DELAY,
     """Events per (1-minute event-time window, flag).
 
     With the watermark a minute is emitted once (append mode) after it can
-    no longer change; rows later than the watermark are dropped.  State is
-    one counter per open minute and flag value.
+    no longer change; rows older than the watermark are dropped (Spark
+    compares them with the watermark of the previous micro-batch).  State
+    is one counter per open minute and flag value.
     """
     return (with_watermark(scored, watermark)
                   .groupBy(F.window("event_time", "1 minute"), F.col(flag))

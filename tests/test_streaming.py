@@ -16,10 +16,20 @@ from meterlens.streaming.zones import ZonePaths, run_pipeline, stream_ready, wri
 from tests.conftest import SF001
 
 
+def _stamp(d, i):
+    """Give batch ``i``'s files a distinct, increasing modification time so a
+    file stream with ``maxFilesPerTrigger`` reads the batches in order."""
+    t = 1_700_000_000 + 10 * i
+    for root, _, files in os.walk(d):
+        for f in files:
+            os.utime(os.path.join(root, f), (t, t))
+
+
 def _write_kafka_files(spark, d, parts, start=0):
     recs = kafka_records(spark, SF001)
     for i, cond in enumerate(parts, start):
         recs.filter(cond).coalesce(1).write.parquet(os.path.join(d, f"part{i}"))
+        _stamp(os.path.join(d, f"part{i}"), i)
 
 
 def _stream(spark, d, **opts):
@@ -84,23 +94,27 @@ def _late_frame(spark, ts_list):
 
 def test_late_rows_kept_by_map_only_dropped_by_timeline(spark, scratch):
     src = os.path.join(scratch, "late")
+    # Spark drops rows older than the *previous* batch's watermark, so the
+    # year-late row comes two batches after the first on-time rows.
     batches = [["2024-01-02T00:00:10+00:00", "2024-01-02T00:00:20+00:00"],
+               ["2024-01-02T00:00:30+00:00"],
                ["2023-01-02T00:00:10+00:00"],
                ["2024-01-02T01:00:00+00:00"]]
     for i, b in enumerate(batches):
         _late_frame(spark, b).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+        _stamp(os.path.join(src, f"b{i}"), i)
     scored = apply_rules(add_features(parse_readings(_stream(spark, src, maxFilesPerTrigger=1))))
     q1 = (scored.writeStream.format("memory").queryName("late_all").outputMode("append")
                 .trigger(availableNow=True).start())
     q1.awaitTermination()
-    assert spark.table("late_all").count() == 4  # the year-late row is still written
+    assert spark.table("late_all").count() == 5  # the year-late row is still written
     q2 = (stream_timeline(scored).writeStream.format("memory").queryName("late_tl")
               .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck_tl"))
               .trigger(availableNow=True).start())
     q2.awaitTermination()
     minutes = [r.minute.year for r in spark.table("late_tl").collect()]
     assert 2023 not in minutes and minutes.count(2024) >= 1
-    assert spark.table("late_tl").agg(F.sum("events")).first()[0] == 2
+    assert spark.table("late_tl").agg(F.sum("events")).first()[0] == 3
 
 
 def test_stream_rollups_match_batch(spark, scratch):
@@ -126,6 +140,7 @@ def test_stream_rolling_baseline_equals_batch(spark, scratch):
     days = [r.date for r in rd.select("date").distinct().orderBy("date").collect()]
     for i, d in enumerate(days):
         rd.filter(F.col("date") == d).coalesce(1).write.parquet(os.path.join(src, f"d{i:02d}"))
+        _stamp(os.path.join(src, f"d{i:02d}"), i)
     stream = stream_ready(spark.readStream.schema(rd.schema).option("maxFilesPerTrigger", 1)
                           .parquet(os.path.join(src, "*")))
     q = (stream_rolling_baseline(stream).writeStream.format("memory").queryName("rolling_stream")
@@ -174,6 +189,7 @@ def test_stream_rolling_baseline_late_row_within_watermark(spark, scratch):
         (spark.createDataFrame(rows, "meter_id string, timestamp string, t string, consumption_kwh double")
               .select("meter_id", "timestamp", F.to_timestamp("t").alias("event_time"), "consumption_kwh")
               .coalesce(1).write.parquet(os.path.join(src, f"b{i}")))
+        _stamp(os.path.join(src, f"b{i}"), i)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
     (stream_rolling_baseline(stream).writeStream.format("memory").queryName("late_roll")
         .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
