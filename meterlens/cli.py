@@ -32,10 +32,11 @@ def _stream(spark: SparkSession, a) -> None:
     paths = ZonePaths.under(spark, a.base)
     trigger = "availableNow" if a.once else a.trigger
     if a.single_query:
-        q = write_zones_batch(src, paths, trigger)
+        q = write_zones_batch(src, paths, trigger, files_per_partition=a.files_per_partition)
         q.awaitTermination()
     else:
-        qs = run_pipeline(src, paths, trigger, console=not a.no_console)
+        qs = run_pipeline(src, paths, trigger, console=not a.no_console,
+                          files_per_partition=a.files_per_partition)
         if a.once:
             for q in qs:
                 q.awaitTermination()
@@ -76,6 +77,8 @@ def main(argv=None) -> None:
     st.add_argument("--once", action="store_true", help="process what is there, then stop")
     st.add_argument("--single-query", action="store_true", help="one foreachBatch query for all zones")
     st.add_argument("--no-console", action="store_true")
+    st.add_argument("--files-per-partition", type=int, default=None,
+                    help="cluster each micro-batch so a zone directory gets at most N files")
     rg = sub.add_parser("register")
     rg.add_argument("--db", default="energy_fraud")
     rg.add_argument("--location")

@@ -60,28 +60,36 @@ def _trigger(w, trigger):
     return w.trigger(processingTime=trigger)
 
 
-def _write_parquet(df: DataFrame, path: str, checkpoint: str, partitions, trigger, name: str):
+def _write_parquet(df: DataFrame, path: str, checkpoint: str, partitions, trigger, name: str,
+                   files_per_partition: int | None = None):
+    if files_per_partition:
+        df = cluster_for_write(df, partitions, files_per_partition)
     w = (df.writeStream.outputMode("append").format("parquet")
            .option("path", path).option("checkpointLocation", checkpoint)
            .partitionBy(*partitions).queryName(name))
     return _trigger(w, trigger).start()
 
 
-def write_raw(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL) -> StreamingQuery:
+def write_raw(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
+              files_per_partition: int | None = None) -> StreamingQuery:
     """Decoded, un-enriched readings, partitioned by date and meter."""
-    return _write_parquet(df, paths.raw, paths.checkpoint("raw"), RAW_PARTITIONS, trigger, "zone_raw")
+    return _write_parquet(df, paths.raw, paths.checkpoint("raw"), RAW_PARTITIONS, trigger,
+                          "zone_raw", files_per_partition)
 
 
-def write_processed(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL) -> StreamingQuery:
+def write_processed(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
+                    files_per_partition: int | None = None) -> StreamingQuery:
     """Enriched and scored readings, partitioned by date and meter."""
     return _write_parquet(df, paths.processed, paths.checkpoint("processed"), PROCESSED_PARTITIONS,
-                          trigger, "zone_processed")
+                          trigger, "zone_processed", files_per_partition)
 
 
-def write_alerts(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL) -> StreamingQuery:
+def write_alerts(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
+                 files_per_partition: int | None = None) -> StreamingQuery:
     """Flagged readings only, partitioned by date."""
     return _write_parquet(df.filter(F.col("is_fraud_flagged")), paths.alerts,
-                          paths.checkpoint("alerts"), ALERT_PARTITIONS, trigger, "zone_alerts")
+                          paths.checkpoint("alerts"), ALERT_PARTITIONS, trigger, "zone_alerts",
+                          files_per_partition)
 
 
 def write_alerts_console(df: DataFrame, trigger=TRIGGER_INTERVAL, num_rows: int = 20) -> StreamingQuery:
@@ -99,12 +107,19 @@ def score_stream(kafka: DataFrame, watermark: str = WATERMARK_DELAY):
 
 
 def run_pipeline(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
-                 console: bool = True, await_any: bool = False) -> list[StreamingQuery]:
+                 console: bool = True, await_any: bool = False,
+                 files_per_partition: int | None = None) -> list[StreamingQuery]:
     """The reference job: decode -> features -> rules -> three zone sinks
-    (+ console mirror), each its own query reading the source itself."""
+    (+ console mirror), each its own query reading the source itself.
+
+    ``files_per_partition`` shuffles each micro-batch by the partition
+    columns (plus a hash salt) so a directory receives at most that many
+    files per batch instead of one per input task.
+    """
     raw, scored = score_stream(kafka)
-    qs = [write_raw(raw, paths, trigger), write_processed(scored, paths, trigger),
-          write_alerts(scored, paths, trigger)]
+    fpp = files_per_partition
+    qs = [write_raw(raw, paths, trigger, fpp), write_processed(scored, paths, trigger, fpp),
+          write_alerts(scored, paths, trigger, fpp)]
     if console:
         qs.append(write_alerts_console(scored, trigger))
     if await_any:

@@ -198,3 +198,16 @@ def test_stream_rolling_baseline_late_row_within_watermark(spark, scratch):
     assert got["a"][1] == 0 and got["b"] == (1.0, 1)
     assert got["c"] == (1.0, 1)            # only 10:00 precedes 10:15 within 30 minutes
     assert got["d"] == (round((1 + 2 + 4) / 3, 6), 3)  # the late reading is in the state
+
+
+def test_pipeline_clustered_writes(spark, scratch):
+    src = os.path.join(scratch, "src")
+    _write_kafka_files(spark, src, [F.col("offset") < 500, F.col("offset") >= 500])
+    paths = ZonePaths(os.path.join(scratch, "raw"), os.path.join(scratch, "processed"),
+                      os.path.join(scratch, "alerts"), os.path.join(scratch, "ck"))
+    for q in run_pipeline(_stream(spark, src, maxFilesPerTrigger=1), paths, trigger="availableNow",
+                          console=False, files_per_partition=1):
+        q.awaitTermination()
+    assert read_zone(spark, paths.processed, "meter_features").count() == 1000
+    day = os.path.join(paths.alerts, sorted(d for d in os.listdir(paths.alerts) if d.startswith("date="))[0])
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) <= 2  # one per batch
