@@ -30,10 +30,12 @@ def spread(df: DataFrame) -> DataFrame:
     Used before per-row heavy work (JSON encode/decode).  A large input
     already has many splits, so no shuffle is added there.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan alone
+        return df
+    return df.repartition(par) if splits < par else df
 
 
 def _zone(meter_no: Column) -> Column:
