@@ -26,7 +26,8 @@ from meterlens.streaming.zones import ZonePaths, run_pipeline, write_zones_batch
 
 def _stream(spark: SparkSession, a) -> None:
     if a.kafka:
-        src = read_kafka_stream(spark, a.kafka, a.topic)
+        opts = {"maxOffsetsPerTrigger": str(a.max_offsets)} if a.max_offsets else {}
+        src = read_kafka_stream(spark, a.kafka, a.topic, **opts)
     else:
         src = spark.readStream.schema(KAFKA_SCHEMA).parquet(a.source_dir)
     paths = ZonePaths.under(spark, a.base)
@@ -72,6 +73,8 @@ def main(argv=None) -> None:
     st.add_argument("--kafka")
     st.add_argument("--topic", default=TOPIC)
     st.add_argument("--source-dir")
+    st.add_argument("--max-offsets", type=int, default=None,
+                    help="maxOffsetsPerTrigger: bound the records of one micro-batch")
     st.add_argument("--base", required=True)
     st.add_argument("--trigger", default=TRIGGER_INTERVAL)
     st.add_argument("--once", action="store_true", help="process what is there, then stop")
