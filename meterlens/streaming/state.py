@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import (
+    StatefulProcessor, StatefulProcessorHandle, TimerValues,
+)
 
 from meterlens.config import WATERMARK_DELAY
 from meterlens.plans.windows import _micros
@@ -19,6 +22,33 @@ OUT_SCHEMA = ("meter_id string, timestamp string, event_time timestamp, consumpt
 STATE_SCHEMA = "ts array<long>, kwh array<double>"
 
 
+def _rolling_step(h_ts: np.ndarray, h_kwh: np.ndarray, batch: pd.DataFrame, window_us: int):
+    """Means of ``[t - window, t)`` for the batch rows over history + batch.
+
+    Returns the output frame and the merged, time-sorted (ts, kWh) arrays.
+    """
+    us = batch["event_us"]
+    known = us.notna().to_numpy()
+    b_ts = us.fillna(0).astype("int64").to_numpy()
+    kwh = batch["consumption_kwh"].astype(float).to_numpy()
+    good = known & ~np.isnan(kwh)
+    all_ts = np.concatenate([h_ts, b_ts[good]])
+    all_kwh = np.concatenate([h_kwh, kwh[good]])
+    order = np.argsort(all_ts, kind="stable")
+    all_ts, all_kwh = all_ts[order], all_kwh[order]
+    csum = np.concatenate([[0.0], np.cumsum(all_kwh)])
+    lo = np.searchsorted(all_ts, b_ts - window_us, side="left")
+    hi = np.searchsorted(all_ts, b_ts, side="left")
+    cnt = np.where(known, hi - lo, 0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mean = np.where(cnt > 0, (csum[hi] - csum[lo]) / np.maximum(cnt, 1), np.nan)
+    out = pd.DataFrame({
+        "meter_id": batch["meter_id"], "timestamp": batch["timestamp"],
+        "event_time": batch["event_time"], "consumption_kwh": kwh,
+        "rolling_mean_kwh": np.round(mean, 6), "rolling_count": cnt.astype("int64")})
+    return out, all_ts, all_kwh
+
+
 def _rolling_fn(window_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -30,26 +60,7 @@ def _rolling_fn(window_us: int):
         else:
             h_ts, h_kwh = np.empty(0, np.int64), np.empty(0, float)
         batch = pd.concat(list(pdfs), ignore_index=True)
-        us = batch["event_us"]
-        known = us.notna().to_numpy()
-        b_ts = us.fillna(0).astype("int64").to_numpy()
-        kwh = batch["consumption_kwh"].astype(float).to_numpy()
-        # all readings known so far for this meter, sorted by time
-        good = known & ~np.isnan(kwh)
-        all_ts = np.concatenate([h_ts, b_ts[good]])
-        all_kwh = np.concatenate([h_kwh, kwh[good]])
-        order = np.argsort(all_ts, kind="stable")
-        all_ts, all_kwh = all_ts[order], all_kwh[order]
-        csum = np.concatenate([[0.0], np.cumsum(all_kwh)])
-        lo = np.searchsorted(all_ts, b_ts - window_us, side="left")
-        hi = np.searchsorted(all_ts, b_ts, side="left")
-        cnt = np.where(known, hi - lo, 0)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mean = np.where(cnt > 0, (csum[hi] - csum[lo]) / np.maximum(cnt, 1), np.nan)
-        out = pd.DataFrame({
-            "meter_id": batch["meter_id"], "timestamp": batch["timestamp"],
-            "event_time": batch["event_time"], "consumption_kwh": kwh,
-            "rolling_mean_kwh": np.round(mean, 6), "rolling_count": cnt.astype("int64")})
+        out, all_ts, all_kwh = _rolling_step(h_ts, h_kwh, batch, window_us)
         # keep only what a future on-time row can still need
         wm_us = max(state.getCurrentWatermarkMs(), 0) * 1000
         keep = all_ts >= wm_us - window_us
@@ -62,6 +73,43 @@ def _rolling_fn(window_us: int):
     return fn
 
 
+class RollingBaselineProcessor(StatefulProcessor):
+    """``transformWithStateInPandas`` form: history in a ``ListState`` of
+    (time, kWh), evicted below ``watermark - window``; an event-time timer
+    clears the state of a meter that has gone quiet."""
+
+    def __init__(self, window_us: int):
+        self.window_us = window_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.hist = handle.getListState("hist", "ts long, kwh double")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        hist = list(self.hist.get()) if self.hist.exists() else []
+        h_ts = np.array([h[0] for h in hist], dtype=np.int64)
+        h_kwh = np.array([h[1] for h in hist], dtype=float)
+        batch = pd.concat(list(rows), ignore_index=True)
+        out, all_ts, all_kwh = _rolling_step(h_ts, h_kwh, batch, self.window_us)
+        wm_us = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
+        keep = all_ts >= wm_us - self.window_us
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        if keep.any():
+            self.hist.put([(int(t), float(v)) for t, v in zip(all_ts[keep], all_kwh[keep])])
+            self.handle.registerTimer(int(all_ts[keep].max() // 1000 + self.window_us // 1000) + 1)
+        else:
+            self.hist.clear()
+        yield out
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo):
+        self.hist.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
 def stream_rolling_baseline(readings: DataFrame, window: str = "30 minutes",
                             watermark: str = WATERMARK_DELAY) -> DataFrame:
     """Streaming version of ``rolling_baseline``: per meter, mean kWh of the
@@ -79,3 +127,15 @@ def stream_rolling_baseline(readings: DataFrame, window: str = "30 minutes",
     return df.groupBy("meter_id").applyInPandasWithState(
         _rolling_fn(_micros(window)), OUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_rolling_baseline_tws(readings: DataFrame, window: str = "30 minutes",
+                                watermark: str = WATERMARK_DELAY) -> DataFrame:
+    """Same result as ``stream_rolling_baseline`` with ``transformWithStateInPandas``
+    (list state + event-time timers).  Needs the RocksDB state store
+    (``spark.sql.streaming.stateStore.providerClass``)."""
+    df = readings.select("meter_id", "timestamp", "event_time", "consumption_kwh",
+                         F.unix_micros("event_time").alias("event_us"))
+    df = with_watermark(df, watermark)
+    return df.groupBy("meter_id").transformWithStateInPandas(
+        RollingBaselineProcessor(_micros(window)), OUT_SCHEMA, "Append", "EventTime")

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterlens.functions import add_features, apply_rules
@@ -11,7 +12,7 @@ from meterlens.sources.catalog import read_zone
 from meterlens.sources.events import kafka_records, readings
 from meterlens.sources.kafka import parse_readings
 from meterlens.streaming.rollups import stream_rollups, stream_timeline
-from meterlens.streaming.state import stream_rolling_baseline
+from meterlens.streaming.state import stream_rolling_baseline, stream_rolling_baseline_tws
 from meterlens.streaming.zones import ZonePaths, run_pipeline, stream_ready, write_zones_batch
 from tests.conftest import SF001
 
@@ -134,7 +135,8 @@ def test_stream_rollups_match_batch(spark, scratch):
     assert sev == exp
 
 
-def test_stream_rolling_baseline_equals_batch(spark, scratch):
+@pytest.mark.parametrize("variant", ["apply_in_pandas_with_state", "transform_with_state"])
+def test_stream_rolling_baseline_equals_batch(spark, scratch, variant):
     rd = readings(spark, SF001)
     src = os.path.join(scratch, "rd")
     days = [r.date for r in rd.select("date").distinct().orderBy("date").collect()]
@@ -143,12 +145,21 @@ def test_stream_rolling_baseline_equals_batch(spark, scratch):
         _stamp(os.path.join(src, f"d{i:02d}"), i)
     stream = stream_ready(spark.readStream.schema(rd.schema).option("maxFilesPerTrigger", 1)
                           .parquet(os.path.join(src, "*")))
-    q = (stream_rolling_baseline(stream).writeStream.format("memory").queryName("rolling_stream")
-         .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck_roll"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    op = stream_rolling_baseline if variant == "apply_in_pandas_with_state" else stream_rolling_baseline_tws
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(provider)
+    if variant == "transform_with_state":
+        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    name = f"rolling_{variant}"
+    try:
+        q = (op(stream).writeStream.format("memory").queryName(name)
+             .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck_roll"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(provider, old)
     got = {(r.meter_id, r.timestamp): (r.rolling_mean_kwh, r.rolling_count)
-           for r in spark.table("rolling_stream").collect()}
+           for r in spark.table(name).collect()}
     exp = {(r.meter_id, r.timestamp): (r.rolling_mean_kwh, r.rolling_count)
            for r in rolling_baseline(rd).collect()}
     assert len(got) == len(exp) == 1000
