@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterlens.config import DEFAULT_THRESHOLDS
+
 
 def q3_1_hourly_profile(mf: DataFrame) -> DataFrame:
     return (mf.groupBy("meter_id", "hour").agg(
@@ -50,7 +52,8 @@ def _day_change(raw: DataFrame, today, yesterday, min_change_pct: float) -> Data
              .orderBy(F.desc(F.abs("change_pct")), "meter_id", "today"))
 
 
-def q3_2_day_change(raw: DataFrame, min_change_pct: float = 30.0) -> DataFrame:
+def q3_2_day_change(raw: DataFrame,
+                    min_change_pct: float = DEFAULT_THRESHOLDS.day_change_pct) -> DataFrame:
     """The reference's row-level self-join, computed without its fan-out.
 
     ``raw a LEFT JOIN raw b ON meter AND date - 1`` then ``SUM`` per
@@ -66,7 +69,8 @@ def q3_2_day_change(raw: DataFrame, min_change_pct: float = 30.0) -> DataFrame:
                        min_change_pct)
 
 
-def q3_2_day_change_true(raw: DataFrame, min_change_pct: float = 30.0) -> DataFrame:
+def q3_2_day_change_true(raw: DataFrame,
+                         min_change_pct: float = DEFAULT_THRESHOLDS.day_change_pct) -> DataFrame:
     """Day-on-day change of the daily totals (the intent, no fan-out)."""
     return _day_change(raw, F.col("kwh"), F.col("kwh_b"), min_change_pct)
 
