@@ -2,10 +2,10 @@
 
 A per-meter (or per-meter-week) statistics table has as many rows as there
 are keys, which grows with the fleet, not with a constant.  So the small side
-is persisted, its row count is checked against a bound, and only then is it
-broadcast; beyond the bound the join is a plain shuffle join, where AQE's
-skew-join handling splits a hot key (one meter with a third of all rows) into
-several tasks.
+is persisted, its row count and materialized byte size are checked against
+bounds, and only then is it broadcast; beyond them the join is a sort-merge
+join, where AQE's skew-join handling splits a hot key (one meter with a third
+of all rows) into several tasks, each paired with the key's single stats row.
 """
 
 from __future__ import annotations
