@@ -59,4 +59,10 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     if fits:
         return big.join(F.broadcast(small), on, how)
     small.unpersist()  # large: do not pin it; the shuffle join recomputes it once
-    return big.join(small.hint("shuffle_merge"), on, how)
+    # An aggregate keyed like the join keeps its partitioning and would enter
+    # the join without a shuffle stage of its own; AQE only splits a skewed
+    # partition when both join inputs are shuffle stages.  A round-robin
+    # repartition (which the planner keeps) makes the join shuffle this side
+    # on the keys, so a hot key on the big side is split into several tasks.
+    width = int(small.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return big.join(small.repartition(width).hint("shuffle_merge"), on, how)

@@ -37,3 +37,34 @@ def test_rolling_partitions_bounded_by_bucket(spark):
     assert per * 2 < hot_rows / 20  # a partition holds a sliver of the hot meter
     out = rolling_baseline(rd)
     assert out.count() == rd.count()
+
+
+def test_join_small_shuffle_path_lets_aqe_split_a_hot_key(spark):
+    # half of all rows share one key; the per-key side exceeds max_rows, so no broadcast
+    big = (spark.range(200_000)
+                .select(F.when(F.col("id") % 10 < 5, F.lit(0)).otherwise(F.col("id") % 10).alias("k"), "id")
+                .repartition(8))
+    per_key = big.groupBy("k").agg(F.count("*").alias("n"))
+    confs = {"spark.sql.adaptive.enabled": "true",
+             "spark.sql.adaptive.skewJoin.enabled": "true",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        j = joins.join_small(big, per_key, "k", max_rows=5)
+        assert j.count() == 200_000
+        j.collect()
+        plan = j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "BroadcastExchange" not in plan
+    assert "SortMergeJoin(skew=true)" in plan  # the hot key's partition ran as several tasks
