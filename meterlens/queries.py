@@ -119,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "q3_2_day_change": _raw(timeseries.q3_2_day_change),
     "q3_2_day_change_true": _raw(timeseries.q3_2_day_change_true),
     "q3_3_weekly_baseline": _mf(timeseries.q3_3_weekly_baseline),
+    "q3_3_weekly_baseline_by_year": _mf(lambda mf: timeseries.q3_3_weekly_baseline(mf, by_year=True)),
     "q4_1_zscore": _raw(outliers.q4_1_zscore),
     "q4_2_iqr": _raw(outliers.q4_2_iqr),
     "q5_1_suspicious_meters": _mf(alerts.q5_1_suspicious_meters),
