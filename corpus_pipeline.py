@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlens.config import checkpoint_dir
-from meterlens.llm import packing, pii, quality, toxicity
+from meterlens.llm import jaccard, packing, pii, quality, toxicity
 from meterlens.llm.queries import workers_can_import
 from meterlens.llm.util import table
 
@@ -37,6 +37,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.keep_ordinary(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: one document of each group stays (five-word shingles,
+    similarity 0.8 or more)."""
+    workers_can_import(spark)
+    return jaccard.keep_one(docs, k=5, num=4, den=5)
+
+
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: every span found is replaced by its kind."""
     workers_can_import(spark)
@@ -52,6 +59,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality_stage),
     ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
     ("pii", pii_stage),
     ("packing", packing_stage),
 ]

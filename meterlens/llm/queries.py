@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import bpe, packing, pii, quality, toxicity
+from meterlens.llm import bpe, jaccard, packing, pii, quality, toxicity
 from meterlens.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,12 +58,17 @@ def _quality(spark, sf):
     return quality.judge_quality(docs, quality.fit_quality(docs, table(spark, sf, "labels")))
 
 
+def _jaccard(spark, sf):
+    return jaccard.similar_documents(table(spark, sf, "documents"), k=4, num=85, den=100)
+
+
 QUERIES: dict[str, Query] = {name: _query(f) for name, f in {
     "op1_bpe": _bpe,
     "op2_pii": _pii,
     "op4_packing": _packing,
     "op5_toxicity": _toxicity,
     "op8_quality": _quality,
+    "op9_jaccard": _jaccard,
 }.items()}
 
 #: DuckDB SQL of the queries that SQL can express.
