@@ -12,13 +12,14 @@ shingles, so if the places are dealt to more than d blocks, some block agrees.
   ``POOR`` (the same order as a hash collision).  Empty blocks are no keys.
 * Candidates: documents that share a block key.  Copies are folded first (by
   a 128-bit set fingerprint), keys are combined per slice of the input before
-  they are shuffled, and within a key only a star to its smallest document
-  is proposed.  A short sketch then bounds the Hamming distance from below,
-  and what remains is verified on the full sets.
+  they are shuffled, and within a key only a star is proposed, around its most
+  central document: the one that shares most of its keys, as the original of
+  a group of edited copies does.  A short sketch then bounds the symmetric
+  difference from below, and what remains is verified on the full sets.
 * Components: verified links are closed; then every key whose documents still
-  lie in different components proposes all its cross-component pairs.  So no
-  link that could join components is lost, and a group of copies or near
-  copies never expands into all its pairs.
+  lie in different components joins those whose sketches are close enough to
+  link, and these are verified too.  So no link that could join components is
+  lost, and a group of copies or near copies never expands into all its pairs.
 
 Edge cases: null and empty texts have an empty set and link with nothing;
 rows without an id are returned with a null component; rows that repeat an
@@ -34,7 +35,7 @@ from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.llm.util import mix64, slices, split_words, word_hash, written
@@ -45,7 +46,7 @@ POOR = 1e-12
 #: similarities below 0.7, where POOR is then 1e-9.
 MOST_BLOCKS = 1 << 31
 #: Bits of the short sketch kept for the Hamming filter.
-SKETCH_WORDS = 32
+SKETCH_WORDS = 16
 #: Text bytes handled at a time.
 SLICE_BYTES = 16 << 20
 
@@ -168,19 +169,18 @@ def short_sketches(starts: np.ndarray, sets: np.ndarray) -> np.ndarray:
 
 
 # ---- pass one ---------------------------------------------------------------------
-_PASS = ("kind int, doc long, n long, rep long, fp_a long, fp_b long, sketch binary, "
+_PASS = ("kind int, doc long, n long, rep long, fp_a long, fp_b long, sketch array<long>, "
          "bucket int, keys binary, docs binary")
-DOC, KEYS, SHARED, STARS = 0, 1, 2, 3
+DOC, KEYS, SHARED = 0, 1, 2
 
 
 def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFrame:
-    """One narrow pass.  Rows by ``kind``: documents; one (key, smallest document) list
-    per bucket; the (key, document) rows of keys shared within a slice; and the
-    stars of those keys as candidate pairs."""
+    """One narrow pass.  Rows by ``kind``: documents; one (key, smallest document)
+    list per bucket; and the (key, document) rows of keys shared within a slice."""
 
     def rows(kind: int, count: int, /, **cols: pa.Array) -> pa.RecordBatch:
         types = {"kind": pa.int32(), "doc": pa.int64(), "n": pa.int64(), "rep": pa.int64(), "fp_a": pa.int64(),
-                 "fp_b": pa.int64(), "sketch": pa.binary(), "bucket": pa.int32(), "keys": pa.binary(), "docs": pa.binary()}
+                 "fp_b": pa.int64(), "sketch": pa.list_(pa.int64()), "bucket": pa.int32(), "keys": pa.binary(), "docs": pa.binary()}
         cols["kind"] = pa.array(np.full(count, kind, np.int32))
         return pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(count, t)) for c, t in types.items()], list(types))
 
@@ -212,7 +212,7 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
             sketch = short_sketches(starts, sets)
             yield rows(DOC, len(ids), doc=pa.array(ids, mask=null), n=pa.array(size), rep=pa.array(rep, mask=null),
                        fp_a=pa.array(fp[:, 0], mask=~is_head), fp_b=pa.array(fp[:, 1], mask=~is_head),
-                       sketch=pa.array([s.tobytes() if h else None for s, h in zip(sketch, is_head)], pa.binary()))
+                       sketch=pa.array([s if h else None for s, h in zip(sketch.view(np.int64), is_head)], pa.list_(pa.int64())))
             owner, key = block_keys(starts, sets, num, den)
             mine = is_head[owner]
             owner, key = owner[mine], key[mine]
@@ -222,15 +222,9 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
             order = np.lexsort((doc, key))
             key, doc = key[order], doc[order]
             start = np.concatenate([[True], key[1:] != key[:-1]])
-            low = doc[np.flatnonzero(start)][np.cumsum(start) - 1]
             shared = ~start | np.concatenate([~start[1:], [False]])
             if shared.any():
                 yield rows(SHARED, 1, keys=blob(key[shared]), docs=blob(doc[shared]))
-                pair = np.unique(np.column_stack([low[~start], doc[~start]]), axis=0)
-                pair = pair[pair[:, 0] != pair[:, 1]]
-                if len(pair):
-                    yield rows(STARS, 1, keys=blob(np.ascontiguousarray(pair[:, 0])),
-                               docs=blob(np.ascontiguousarray(pair[:, 1])))
             key, doc = key[start], doc[start]
             bucket = (key % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
@@ -243,17 +237,15 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PASS)
 
 
-def _unpacked(name_a: str, name_b: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, d in zip(b.column("keys").to_pylist(), b.column("docs").to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(d, np.int64))],
-                                                 [name_a, name_b])
-    return run
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k, d in zip(b.column("keys").to_pylist(), b.column("docs").to_pylist()):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(d, np.int64))],
+                                             ["key", "doc"])
 
 
 def _shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
-    """(key, doc, low) of keys that several slices have.  A bucket holds one
+    """(key, doc) of keys that several slices have.  A bucket holds one
     row per key and slice, and buckets grow in number with the shuffle width."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,35 +259,31 @@ def _shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
         key, doc = key[order], doc[order]
         start = np.ones(len(key), bool)
         start[1:] = key[1:] != key[:-1]
-        low = doc[np.flatnonzero(start)][np.cumsum(start) - 1] if len(key) else doc
         shared = ~start
         shared[:-1] |= ~start[1:]
         for at in range(0, int(shared.sum()), 100_000):
             pick = np.flatnonzero(shared)[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(key[pick].view(np.int64)), pa.array(doc[pick]), pa.array(low[pick])],
-                                             ["key", "doc", "low"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[pick].view(np.int64)), pa.array(doc[pick])], ["key", "doc"])
 
-    return keys.repartition(buckets, "bucket").mapInArrow(run, "key long, doc long, low long")
+    return keys.repartition(buckets, "bucket").mapInArrow(run, "key long, doc long")
 
 
 # ---- verification -----------------------------------------------------------------
-def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets link: sizes and the sketch's lower bound
-    first, then the full sets of the documents that are left."""
-    a, b = (heads.select(F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
+def _close(a: str, b: str, num: int, den: int) -> Column:
+    """Sizes and sketches of rows ``a`` and ``b`` leave room for a link: the
+    Hamming distance is at most (den - num) / (den + num) of both sizes."""
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    apart = sum((F.bit_count(F.col(f"s_{a}")[i].bitwiseXOR(F.col(f"s_{b}")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    return ((F.least(n_a, n_b) * den >= F.greatest(n_a, n_b) * num)
+            & (apart * (den + num) <= (n_a + n_b) * (den - num)))
 
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            if not x.num_rows:
-                continue
-            sa, sb = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
-                      for c in ("s_a", "s_b"))
-            apart = np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64)
-            both = x.column("n_a").to_numpy() + x.column("n_b").to_numpy()
-            yield x.select(["a", "b"]).filter(pa.array(apart * (den + num) <= (den - num) * both))
-
-    sized = pairs.join(a, "a").join(b, "b").filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-    left = written(sized.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(close, "a long, b long"), "jaccard-pairs")
+
+def _side(rows: DataFrame, x: str, *keep: Column | str) -> DataFrame:
+    return rows.select(*keep, F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+
+
+def _verified(left: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets link."""
     ids = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,33 +346,35 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     lows = heads.groupBy("fp_a", "fp_b", "n").agg(F.min("doc").alias("a"))
     equal = heads.join(lows, ["fp_a", "fp_b", "n"]).filter("a <> doc").select("a", F.col("doc").alias("b"))
     near = written(_shared_keys(first.filter(F.col("kind") == KEYS).select("bucket", "keys", "docs"), buckets), "jaccard-keys")
-    local = first.filter(F.col("kind") == STARS).select("keys", "docs").mapInArrow(_unpacked("a", "b"), "a long, b long")
-    stars = local.unionByName(near.filter("low <> doc").select(F.col("low").alias("a"), F.col("doc").alias("b"))).distinct()
-    # documents of one set need no verification
-    stars = written(stars.join(equal, ["a", "b"], "left_anti"), "jaccard-stars")
-    edges = written(_verified(stars, heads, docs, k, num, den).unionByName(equal), "jaccard-links")
+    local = first.filter(F.col("kind") == SHARED).select("keys", "docs").mapInArrow(_unpacked, "key long, doc long")
+    member = local.unionByName(near)
+
+    # a star in each key, around the document that shares most keys
+    degree = member.groupBy("doc").agg(F.count(F.lit(1)).alias("degree"))
+    best = F.max(F.struct("degree", (-F.col("doc")).alias("minus")))
+    centres = written(member.join(degree, "doc").groupBy("key").agg(best.alias("best"), F.count(F.lit(1)).alias("size"))
+                            .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre")), "jaccard-centres")
+    stars = (member.join(centres, "key").filter("doc <> centre")
+                   .select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct())
+    stars = stars.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den))
+    stars = written(stars.select("a", "b"), "jaccard-stars")
+    edges = written(_verified(stars, docs, k, num, den).unionByName(equal), "jaccard-links")
     labels = components(edges)
 
-    # what a star can miss: pairs of one key in different components
-    member = first.filter(F.col("kind") == SHARED).select("keys", "docs").mapInArrow(_unpacked("key", "doc"), "key long, doc long")
-    member = member.unionByName(near.select("key", "doc"))
-    member = (member.join(labels.withColumnRenamed("v", "doc"), "doc", "left")
-                    .select("key", "doc", F.coalesce("label", "doc").alias("label")))
-    member = written(member, "jaccard-members")
-    open_keys = (member.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                       .filter("x <> y").select("key"))
-    # copies in a component say the same as its other documents only if their sets
-    # are equal: fold those by asking for the smallest document of each set
-    rest = member.join(open_keys, "key", "left_semi").join(equal.select(F.col("b").alias("doc")), "doc", "left_anti")
-    rest = rest.join(heads.select("doc", "n"), "doc")
-    rest = written(rest.distinct(), "jaccard-open")
-    left, right = (rest.select("key", F.col("doc").alias(x), F.col("label").alias(f"l_{x}"), F.col("n").alias(f"n_{x}"))
-                   for x in "ab")
-    cross = (left.join(right, "key").filter("l_a <> l_b and a < b")
-                 .filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-                 .select("a", "b").distinct())
+    # what a star can miss: close pairs of one key in different components; of
+    # documents with equal sets the smallest speaks for all
+    named = (member.join(labels.withColumnRenamed("v", "doc"), "doc", "left")
+                   .select("key", "doc", F.coalesce("label", "doc").alias("label")))
+    open_keys = written(named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+                             .filter("x <> y").select("key"), "jaccard-open")
+    rest = (named.join(open_keys, "key", "left_semi").join(equal.select(F.col("b").alias("doc")), "doc", "left_anti")
+                 .distinct().join(heads.select("doc", "n", "sketch"), "doc"))
+    rest = written(rest, "jaccard-rest")
+    cross = (_side(rest, "a", "key", F.col("label").alias("l_a")).join(_side(rest, "b", "key", F.col("label").alias("l_b")), "key")
+             .filter((F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b")) & _close("a", "b", num, den))
+             .select("a", "b").distinct())
     cross = written(cross.join(stars, ["a", "b"], "left_anti"), "jaccard-cross")
-    more = written(_verified(cross, heads, docs, k, num, den), "jaccard-more")
+    more = written(_verified(cross, docs, k, num, den), "jaccard-more")
     if more.limit(1).count():
         labels = components(edges.unionByName(more))
     out = rows.select("doc", "n", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
