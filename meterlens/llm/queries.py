@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import bpe, jaccard, packing, pii, quality, toxicity
+from meterlens.llm import bpe, jaccard, langid, lm, packing, pii, quality, topk, toxicity, urlfilter
 from meterlens.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,14 +62,36 @@ def _jaccard(spark, sf):
     return jaccard.similar_documents(table(spark, sf, "documents"), k=4, num=85, den=100)
 
 
+def _urls(spark, sf):
+    return urlfilter.judge_urls(table(spark, sf, "pages"), urlfilter.rule_table(spark))
+
+
+def _topk(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % topk.EVERY == 0))
+
+
+def _langid(spark, sf):
+    langs, logp = langid.count_trigrams(table(spark, sf, "documents"))
+    return langid.identify(langid.page_evidence(table(spark, sf, "pages")), langs, logp)
+
+
+def _lm(spark, sf):
+    return lm.score_texts(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {name: _query(f) for name, f in {
     "op1_bpe": _bpe,
     "op2_pii": _pii,
+    "op3_langid": _langid,
     "op4_packing": _packing,
     "op5_toxicity": _toxicity,
+    "op6_urlfilter": _urls,
+    "op7_lm": _lm,
     "op8_quality": _quality,
     "op9_jaccard": _jaccard,
+    "op10_topk": _topk,
 }.items()}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_urlfilter": urlfilter.ORACLE, "op10_topk": topk.ORACLE}
