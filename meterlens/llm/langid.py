@@ -73,8 +73,9 @@ def count_trigrams(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def visible_text(html: Column) -> Column:
-    """Markup, scripts, styles and comments taken out."""
-    return F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>", " ")
+    """Markup, scripts, styles and comments taken out, white space made single."""
+    text = F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>", " ")
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
 def declared_language(html: Column) -> Column:
