@@ -57,13 +57,13 @@ def _report(spark: SparkSession, a) -> None:
     mf = catalog.read_zone(spark, a.zone, "meter_features")
     s = summary.report_summary(mf).persist()
     catalog.export_summary_csv(s, os.path.join(a.out, "fraud_summary"))
-    for name, df in (("hourly", summary.report_hourly(mf)),
+    for name, df in (("meter_table", summary.meter_table(s)), ("hourly", summary.report_hourly(mf)),
                      ("daily_trend", summary.report_daily_trend(mf)),
                      ("severity", summary.report_severity(mf))):
         df.write.mode("overwrite").parquet(os.path.join(a.out, name))
     totals = summary.fleet_totals(s).first().asDict()
     print(json.dumps(totals))
-    summary.meter_table(s).show(50, truncate=False)
+    s.unpersist()
 
 
 def main(argv=None) -> None:
@@ -83,7 +83,7 @@ def main(argv=None) -> None:
     st.add_argument("--files-per-partition", type=int, default=None,
                     help="cluster each micro-batch so a zone directory gets at most N files")
     rg = sub.add_parser("register")
-    rg.add_argument("--db", default="energy_fraud")
+    rg.add_argument("--db", default="meterlens")
     rg.add_argument("--location")
     rg.add_argument("--base", required=True)
     rp = sub.add_parser("report")

@@ -58,7 +58,10 @@ def apply_rules(df: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
 
 def _num(c: str) -> Column:
     """Text -> double, bad text or NaN -> null (pandas ``to_numeric`` coerce)."""
-    v = F.expr(f"try_cast(`{c}` AS DOUBLE)")
+    text = F.col(c).cast("string")
+    # a JVM parse would also take suffixes such as "3.5d"
+    shaped = text.rlike(r"(?i)^\s*[+-]?(\d+\.?\d*([e][+-]?\d+)?|\.\d+([e][+-]?\d+)?|inf|infinity)\s*$")
+    v = F.when(shaped, F.expr(f"try_cast(`{c}` AS DOUBLE)"))
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
 
 
@@ -71,6 +74,14 @@ def utc_wallclock(ts: Column) -> Column:
     return F.to_utc_timestamp(ts, F.current_timezone()).cast("timestamp_ntz")
 
 
+def utc_event_time(text: Column) -> Column:
+    """Text -> UTC wall clock; text without an offset is UTC already, whatever
+    the session's time zone is."""
+    has_offset = text.rlike(r"(Z|[+-]\d{1,2}(:?\d{2})?|UTC|GMT)\s*$") & text.rlike(r"\d:\d")
+    return F.when(has_offset, utc_wallclock(F.try_to_timestamp(text))).otherwise(
+        text.try_cast("timestamp_ntz"))
+
+
 def score_live(df: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
                ordered: bool = False) -> DataFrame:
     """Dashboard scoring of decoded readings (text or typed columns).
@@ -92,7 +103,7 @@ def score_live(df: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
         "power_factor": _num("power_factor") if "power_factor" in cols else F.lit(None).cast("double"),
         "_injected_fraud": F.expr("try_cast(`_injected_fraud` AS BOOLEAN)") if "_injected_fraud" in cols
             else F.lit(None).cast("boolean"),
-        "event_time": utc_wallclock(F.try_to_timestamp(text("timestamp"))),
+        "event_time": utc_event_time(text("timestamp")),
     })
     hour_num = _num("hour") if "hour" in cols else F.lit(None).cast("double")
     computed, expected = power_columns(th, rounded=False)

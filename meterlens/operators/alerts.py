@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.config import SEVERITY_LABELS
+from meterlens.operators.overview import label_at, label_order
 
 ALERT_FEED_COLUMNS = [
     "meter_id", "timestamp", "location", "consumption_kwh", "voltage_v", "fraud_severity",
@@ -25,13 +26,17 @@ def alert_feed(mf: DataFrame) -> DataFrame:
 
 
 def q5_1_suspicious_meters(mf: DataFrame) -> DataFrame:
+    day = F.col("date").try_cast("date")  # dates aggregate by hash, strings would sort
     return (flagged(mf).groupBy("meter_id", "location").agg(
                 F.count(F.lit(1)).alias("alert_count"),
                 F.sum("rules_fired_count").alias("total_rules_fired"),
                 F.round(F.avg("rules_fired_count"), 2).alias("avg_rules_per_alert"),
-                F.max("fraud_severity").alias("max_severity"),
-                F.min("date").alias("first_alert_date"),
-                F.max("date").alias("last_alert_date"))
+                F.max(label_order(F.col("fraud_severity"))).alias("_max"),
+                F.min(day).alias("_first"), F.max(day).alias("_last"))
+              .select("meter_id", "location", "alert_count", "total_rules_fired", "avg_rules_per_alert",
+                      label_at(F.col("_max")).alias("max_severity"),
+                      F.col("_first").cast("string").alias("first_alert_date"),
+                      F.col("_last").cast("string").alias("last_alert_date"))
               .orderBy(F.desc("alert_count"), "meter_id", "location"))
 
 

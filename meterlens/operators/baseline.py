@@ -86,7 +86,7 @@ def weekly_expected_range(mf: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) ->
                 F.round("_std", 4).alias("weekly_stddev_kwh"),
                 F.round(lo, 4).alias("lower_bound"), F.round(hi, 4).alias("upper_bound"),
                 F.when(kwh < lo, "BELOW_WEEKLY_RANGE").otherwise("ABOVE_WEEKLY_RANGE").alias("range_anomaly_type"))
-              .orderBy("meter_id", "timestamp"))
+              .repartition("meter_id", "timestamp").orderBy("meter_id", "timestamp", "consumption_kwh"))
 
 
 __all__ = ["rolling_baseline", "apply_rolling_rules", "rule_current_imbalance",

@@ -32,6 +32,18 @@ def rank_to_severity(c: Column) -> Column:
     return expr
 
 
+#: Labels in string order: their numbers aggregate by hash, strings would sort.
+_BY_TEXT = sorted(SEVERITY_LABELS)
+
+
+def label_order(c: Column) -> Column:
+    return F.when(c.isNotNull(), F.array_position(F.lit(_BY_TEXT), c).cast("int"))
+
+
+def label_at(n: Column) -> Column:
+    return F.when(n > 0, F.element_at(F.lit(_BY_TEXT), n))
+
+
 def q1_1_daily_overview(mf: DataFrame) -> DataFrame:
     """Readings, flags and flag rate per day, newest day first."""
     out = mf.groupBy("date").agg(
@@ -53,8 +65,9 @@ def q1_2_meter_overview(mf: DataFrame) -> DataFrame:
         F.sum(flag_int()).alias("fraud_flags"),
         F.round(F.avg("consumption_kwh"), 3).alias("avg_kwh"),
         F.round(F.avg("voltage_v"), 2).alias("avg_voltage"),
-        F.max("fraud_severity").alias("max_severity"),
+        F.max(label_order(F.col("fraud_severity"))).alias("_max"),
         F.max(severity_rank(F.col("fraud_severity"))).alias("_worst"),
     )
-    out = out.withColumn("worst_severity", rank_to_severity(F.col("_worst"))).drop("_worst")
-    return out.orderBy(F.desc("fraud_flags"))
+    out = (out.withColumn("max_severity", label_at(F.col("_max")))
+              .withColumn("worst_severity", rank_to_severity(F.col("_worst"))).drop("_max", "_worst"))
+    return out.orderBy(F.desc("fraud_flags"), "meter_id", "location")

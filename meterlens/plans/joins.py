@@ -2,19 +2,17 @@
 
 A per-meter (or per-meter-week) statistics table has as many rows as there
 are keys, which grows with the fleet, not with a constant.  So the small side
-is persisted, its row count and materialized byte size are checked against
-bounds, and only then is it broadcast; beyond them the join is a sort-merge
+is checkpointed, its row count and bytes are checked against bounds, and only then is it broadcast; beyond them the join is a sort-merge
 join, where AQE's skew-join handling splits a hot key (one meter with a third
 of all rows) into several tasks, each paired with the key's single stats row.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.config import DEFAULT_BROADCAST_MAX_ROWS
+from meterlens.config import DEFAULT_BROADCAST_MAX_ROWS, checkpoint_dir
 
 
 def _max_bytes(spark) -> int:
@@ -30,39 +28,41 @@ def _max_bytes(spark) -> int:
         return 10 << 20
 
 
-def cached_size_bytes(df: DataFrame) -> int | None:
-    """Size of a materialized cached frame from its plan statistics
-    (None when the statistics cannot be read, e.g. over Spark Connect)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
+def row_bytes(df: DataFrame):
+    """Bytes of a row: 16 for each column and the text of strings and binaries;
+    None when a column's width can't be told (nested types)."""
+    total = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct", "variant")):
+            return None
+    return total
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``big.join(small)`` with a broadcast only after the size is proven.
 
-    The small side is computed once (persisted), counted, and its cached
-    size is read from the plan statistics.  Within ``max_rows`` and the
-    session's ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast (no
-    shuffle of ``big``); otherwise a sort-merge join is used.
+    The small side is computed once, now, into a reliable checkpoint below
+    the shared checkpoint folder (nothing stays cached, and a later call
+    computes it anew from the data of that time); its rows and bytes are
+    counted there.  Within ``max_rows`` and the session's
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast (no shuffle of
+    ``big``); otherwise, or when its width can't be told, a sort-merge join
+    is used.  Both ways read the same checkpoint.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = small.count()
-    limit = _max_bytes(small.sparkSession)
-    fits = rows <= max_rows and limit >= 0
-    if fits:
-        size = cached_size_bytes(small)
-        if size is not None:
-            fits = size <= limit
-    if fits:
+    spark = small.sparkSession
+    folder = checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    small = small.checkpoint(eager=True)
+    width = row_bytes(small)
+    rows, size = small.agg(F.count(F.lit(1)), F.sum(width) if width is not None else F.lit(None)).first()
+    if width is not None and rows <= max_rows and (size or 0) <= _max_bytes(spark):
         return big.join(F.broadcast(small), on, how)
-    small.unpersist()  # large: do not pin it; the shuffle join recomputes it once
-    # An aggregate keyed like the join keeps its partitioning and would enter
-    # the join without a shuffle stage of its own; AQE only splits a skewed
-    # partition when both join inputs are shuffle stages.  A round-robin
-    # repartition (which the planner keeps) makes the join shuffle this side
-    # on the keys, so a hot key on the big side is split into several tasks.
-    width = int(small.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return big.join(small.repartition(width).hint("shuffle_merge"), on, how)
+    # The checkpoint has no partitioning, so the join shuffles this side on the
+    # keys too: AQE only splits a skewed partition (a hot key of the big side)
+    # when both join inputs are shuffle stages.
+    return big.join(small.hint("shuffle_merge"), on, how)

@@ -23,21 +23,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan yields fewer
-    splits than there are cores (a small file with one row group).
-
-    Used before per-row heavy work (JSON encode/decode).  A large input
-    already has many splits, so no shuffle is added there.
-    """
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan alone
-        return df
-    return df.repartition(par) if splits < par else df
-
-
 def _zone(meter_no: Column) -> Column:
     return (F.when(meter_no < 2, "Zone_A").when(meter_no < 4, "Zone_B")
              .when(meter_no < 6, "Zone_C").when(meter_no < 8, "Zone_D")
@@ -86,8 +71,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kafka_records_from_readings(rd: DataFrame) -> DataFrame:
     """Wrap readings as Kafka source rows: JSON payload in ``value``.
 
-    Needs a ``partition`` column on ``rd``; ``offset`` is the event id, so
-    offsets grow within a partition, with gaps (as after compaction).
+    Needs ``partition`` and ``offset`` columns on ``rd``.
     """
     payload = F.to_json(F.struct(*[F.col(c) for c in PAYLOAD_FIELDS]))
     return rd.select(
@@ -95,13 +79,15 @@ def kafka_records_from_readings(rd: DataFrame) -> DataFrame:
         payload.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         F.col("partition").cast("int").alias("partition"),
-        F.col("event_id").cast("long").alias("offset"),
+        F.col("offset").cast("long").alias("offset"),
         F.try_to_timestamp(F.col("timestamp")).alias("timestamp"),
     )
 
 
 def kafka_records(spark: SparkSession, sf_dir: str, partitions: int = 3) -> DataFrame:
-    """Kafka-shaped rows of the readings; ``partition = user_id % partitions``."""
-    ev = spread(load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
-    ev = ev.withColumn("partition", (F.col("user_id") % partitions).cast("int"))
-    return kafka_records_from_readings(readings_from_events(ev, extra=("partition",)))
+    """Kafka-shaped rows of the readings: event ids are dealt to the partitions
+    in turn, so each partition's offsets are dense."""
+    ev = load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    ev = ev.withColumns({"partition": (F.col("event_id") % partitions).cast("int"),
+                         "offset": F.floor(F.col("event_id") / partitions)})
+    return kafka_records_from_readings(readings_from_events(ev, extra=("partition", "offset")))

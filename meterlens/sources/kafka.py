@@ -9,9 +9,11 @@ the Kafka connector on the classpath.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from meterlens.config import (
     FRAUD_LABEL, LIVE_MAX_MESSAGES, OK_LABEL, TOPIC, WATERMARK_DELAY,
@@ -21,6 +23,10 @@ from meterlens.plans.joins import join_small
 from meterlens.schema import PAYLOAD_FIELDS, READING_SCHEMA, READING_TEXT_SCHEMA
 
 
+#: Closes the wrapped payload in ``decode_valid``; a payload that holds it is dropped.
+_END = "end_of_payload_7f3a"
+
+
 def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str = TOPIC,
                       starting_offsets: str = "latest", **options) -> DataFrame:
     """Subscribe to ``topic``; ``failOnDataLoss=false`` as in the reference."""
@@ -45,6 +51,14 @@ def read_kafka_batch(spark: SparkSession, bootstrap_servers: str, topic: str = T
             .load())
 
 
+def starting_offsets(begin: dict[int, int], end: dict[int, int], topic: str = TOPIC,
+                     max_messages: int = LIVE_MAX_MESSAGES) -> str:
+    """``startingOffsets`` JSON for ``read_kafka_batch``: per partition the last
+    ``max_messages // P + 1`` offsets between its begin and end."""
+    per = max(1, max_messages // max(1, len(end)) + 1)
+    return json.dumps({topic: {str(p): max(begin.get(p, 0), e - per) for p, e in sorted(end.items())}})
+
+
 def parse_readings(kafka: DataFrame, watermark: str | None = WATERMARK_DELAY) -> DataFrame:
     """Decode JSON payloads with the declared schema (raw-zone rows).
 
@@ -73,16 +87,19 @@ def decode_valid(kafka: DataFrame, keep: tuple[str, ...] = ("partition", "offset
     keep = [c for c in keep if c in kafka.columns]
     df = materialize(kafka, keep, {"_text": F.col("value").cast("string")})
     text = F.col("_text")
-    # One parse: junk, arrays and scalars land in the corrupt-record column;
+    # One parse of the text as the first of two array elements: trailing text,
+    # a second object, an array or a scalar leaves another count, or null.
     # NaN/Infinity are accepted, as Python's json accepts them.
-    schema = StructType(READING_TEXT_SCHEMA.fields + [StructField("_corrupt", StringType())])
+    schema = ArrayType(StructType(READING_TEXT_SCHEMA.fields + [StructField(_END, StringType())]))
+    wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"1"}}]'))
     df = materialize(df, keep, {
-        "_utf8": F.is_valid_utf8(text),
-        "_rec": F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"}),
+        "_utf8": F.is_valid_utf8(text) & ~F.contains(text, F.lit(_END)),
+        "_rec": F.from_json(wrapped, schema, {"allowSingleQuotes": "false"}),
     })
-    ok = F.col("_utf8") & F.col("_rec").isNotNull() & F.col("_rec._corrupt").isNull()
-    return (df.filter(ok)
-              .select(*keep, *[F.col(f"_rec.{c}").alias(c) for c in PAYLOAD_FIELDS]))
+    ok = (F.col("_utf8") & (F.size("_rec") == 2) & F.col("_rec")[0].isNotNull()
+          & F.col("_rec")[1][_END].isNotNull())
+    return (df.filter(ok).withColumn("_record", F.col("_rec")[0])
+              .select(*keep, *[F.col(f"_record.{c}").alias(c) for c in PAYLOAD_FIELDS]))
 
 
 def latest_messages(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) -> DataFrame:
@@ -93,7 +110,7 @@ def latest_messages(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) ->
     Per-partition ends are a tiny aggregate joined back with a size-checked
     broadcast; the rest is a filter and a bounded top-k, so no task holds a
     whole partition.  On a live topic the same start offsets would be passed
-    as ``startingOffsets`` to ``read_kafka_batch``.
+    as ``startingOffsets`` to ``read_kafka_batch`` (see ``starting_offsets``).
     """
     keys = [c for c in ("topic", "partition") if c in kafka.columns]
     ends = (kafka.groupBy(*keys)

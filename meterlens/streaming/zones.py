@@ -144,8 +144,8 @@ def _batch_marker(spark: SparkSession, paths: ZonePaths, zone: str, epoch: int):
 
 def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
                       files_per_partition: int | None = None) -> StreamingQuery:
-    """One query for all zones: each micro-batch is decoded and scored once,
-    persisted, and appended to raw, processed and alerts.
+    """One query for all zones: each micro-batch is read and decoded once,
+    persisted while its zones are written, and appended to raw, processed and alerts.
 
     A per-(zone, batch) marker in the checkpoint makes a replayed batch skip
     the zones it already wrote, so a restart after a failure does not
@@ -165,18 +165,20 @@ def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERV
         fs.create(marker, True).close()
 
     def write(batch: DataFrame, epoch: int):
-        raw = parse_readings(batch, watermark=None)
-        scored = apply_rules(add_features(raw)).persist()
+        raw = parse_readings(batch, watermark=None).persist()
+        scored = apply_rules(add_features(raw))
         jobs = [("raw", raw, RAW_PARTITIONS, paths.raw),
                 ("processed", scored, PROCESSED_PARTITIONS, paths.processed),
                 ("alerts", scored.filter(F.col("is_fraud_flagged")), ALERT_PARTITIONS, paths.alerts)]
         try:
-            # the three zone writes are independent jobs: submit them together
+            # the first write decodes the batch and fills the cache for the others,
+            # which are independent of each other
+            write_zone(*jobs.pop(0), epoch)
             with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
                 for f in [pool.submit(write_zone, *job, epoch) for job in jobs]:
                     f.result()
         finally:
-            scored.unpersist()
+            raw.unpersist()
 
     w = (kafka.writeStream.foreachBatch(write)
               .option("checkpointLocation", paths.checkpoint("zones_batch"))

@@ -15,17 +15,17 @@ def test_zone_tables_roundtrip(spark, scratch):
     mf = meter_features(spark, SF001)
     zone = os.path.join(scratch, "processed")
     write_zone(mf.drop("event_id"), zone, "meter_features")
-    create_database(spark, "energy_fraud_t", os.path.join(scratch, "db"))
-    register_zone_table(spark, "energy_fraud_t", "meter_features", zone)
-    assert spark.table("energy_fraud_t.meter_features").count() == 1000
-    names = [r.tableName for r in show_tables(spark, "energy_fraud_t").collect()]
+    create_database(spark, "meters_t", os.path.join(scratch, "db"))
+    register_zone_table(spark, "meters_t", "meter_features", zone)
+    assert spark.table("meters_t.meter_features").count() == 1000
+    names = [r.tableName for r in show_tables(spark, "meters_t").collect()]
     assert "meter_features" in names
-    assert describe_table(spark, "energy_fraud_t.meter_features").count() > 10
+    assert describe_table(spark, "meters_t.meter_features").count() > 10
     # new partitions appear after recovery
     more = mf.drop("event_id").limit(10).selectExpr("*").drop("date").selectExpr("*", "'2030-01-01' AS date")
     write_zone(more.select(*mf.drop("event_id").columns), zone, "meter_features")
-    spark.catalog.recoverPartitions("energy_fraud_t.meter_features")
-    assert spark.table("energy_fraud_t.meter_features").count() == 1010
+    spark.catalog.recoverPartitions("meters_t.meter_features")
+    assert spark.table("meters_t.meter_features").count() == 1010
     assert read_zone(spark, zone, "meter_features").schema["date"].dataType.simpleString() == "string"
 
 
@@ -73,9 +73,9 @@ def test_stream_zone_view_reads_committed_files_only(spark, scratch):
     stray = read_zone(spark, paths.raw, "raw_readings").limit(5).drop("date", "meter_id")
     stray.coalesce(1).write.mode("append").parquet(os.path.join(paths.raw, day, meter))
     assert is_stream_sink(spark, paths.raw)
-    create_database(spark, "energy_fraud_sv", os.path.join(scratch, "db"))
-    register_zone(spark, "energy_fraud_sv", "raw_readings", paths.raw)
-    assert spark.table("energy_fraud_sv.raw_readings").count() == 1000
+    create_database(spark, "meters_sv", os.path.join(scratch, "db"))
+    register_zone(spark, "meters_sv", "raw_readings", paths.raw)
+    assert spark.table("meters_sv.raw_readings").count() == 1000
     # a listing read that ignores the commit log would see the stray rows
     listed = spark.read.option("basePath", paths.raw).parquet(os.path.join(paths.raw, "date=*", "meter_id=*"))
     assert listed.agg(F.count("*")).first()[0] == 1005

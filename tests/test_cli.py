@@ -15,9 +15,9 @@ def test_stream_then_report(spark, scratch, capsys):
     base = os.path.join(scratch, "zones")
     cli.main(["stream", "--source-dir", os.path.join(src, "*"), "--base", base, "--once",
               "--no-console"])
-    cli.main(["register", "--db", "energy_fraud_cli", "--base", base])
-    assert spark.table("energy_fraud_cli.meter_features").count() == 1000
-    assert spark.table("energy_fraud_cli.raw_readings").schema["date"].dataType.simpleString() == "string"
+    cli.main(["register", "--db", "meters_cli", "--base", base])
+    assert spark.table("meters_cli.meter_features").count() == 1000
+    assert spark.table("meters_cli.raw_readings").schema["date"].dataType.simpleString() == "string"
     out = os.path.join(scratch, "report")
     cli.main(["report", "--zone", os.path.join(base, "processed"), "--out", out])
     printed = capsys.readouterr().out

@@ -46,14 +46,14 @@ def _batch_scored(spark):
 
 def test_pipeline_zones_equal_batch_and_restart(spark, scratch):
     src = os.path.join(scratch, "src")
-    _write_kafka_files(spark, src, [F.col("offset") < 600])
+    _write_kafka_files(spark, src, [F.expr("offset * 3 + partition") < 600])
     paths = ZonePaths(os.path.join(scratch, "raw"), os.path.join(scratch, "processed"),
                       os.path.join(scratch, "alerts"), os.path.join(scratch, "ck"))
     for q in run_pipeline(_stream(spark, src), paths, trigger="availableNow", console=False):
         q.awaitTermination()
     assert read_zone(spark, paths.raw, "raw_readings").count() == 600
     # restart: new data arrives, nothing lost, nothing duplicated
-    _write_kafka_files(spark, src, [F.col("offset") >= 600], start=1)
+    _write_kafka_files(spark, src, [F.expr("offset * 3 + partition") >= 600], start=1)
     for q in run_pipeline(_stream(spark, src), paths, trigger="availableNow", console=False):
         q.awaitTermination()
     raw = read_zone(spark, paths.raw, "raw_readings")
@@ -70,7 +70,7 @@ def test_pipeline_zones_equal_batch_and_restart(spark, scratch):
 
 def test_foreach_batch_zones(spark, scratch):
     src = os.path.join(scratch, "src")
-    _write_kafka_files(spark, src, [F.col("offset") < 500, F.col("offset") >= 500])
+    _write_kafka_files(spark, src, [F.expr("offset * 3 + partition") < 500, F.expr("offset * 3 + partition") >= 500])
     paths = ZonePaths(os.path.join(scratch, "raw"), os.path.join(scratch, "processed"),
                       os.path.join(scratch, "alerts"), os.path.join(scratch, "ck"))
     write_zones_batch(_stream(spark, src, maxFilesPerTrigger=1), paths,
@@ -120,7 +120,7 @@ def test_late_rows_kept_by_map_only_dropped_by_timeline(spark, scratch):
 
 def test_stream_rollups_match_batch(spark, scratch):
     src = os.path.join(scratch, "src")
-    _write_kafka_files(spark, src, [F.col("offset") < 500, F.col("offset") >= 500])
+    _write_kafka_files(spark, src, [F.expr("offset * 3 + partition") < 500, F.expr("offset * 3 + partition") >= 500])
     scored = apply_rules(add_features(parse_readings(_stream(spark, src, maxFilesPerTrigger=1))))
     rolls = stream_rollups(scored)
     for name, df in rolls.items():
@@ -213,7 +213,7 @@ def test_stream_rolling_baseline_late_row_within_watermark(spark, scratch):
 
 def test_pipeline_clustered_writes(spark, scratch):
     src = os.path.join(scratch, "src")
-    _write_kafka_files(spark, src, [F.col("offset") < 500, F.col("offset") >= 500])
+    _write_kafka_files(spark, src, [F.expr("offset * 3 + partition") < 500, F.expr("offset * 3 + partition") >= 500])
     paths = ZonePaths(os.path.join(scratch, "raw"), os.path.join(scratch, "processed"),
                       os.path.join(scratch, "alerts"), os.path.join(scratch, "ck"))
     for q in run_pipeline(_stream(spark, src, maxFilesPerTrigger=1), paths, trigger="availableNow",
