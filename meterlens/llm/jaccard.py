@@ -349,12 +349,15 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     local = first.filter(F.col("kind") == SHARED).select("keys", "docs").mapInArrow(_unpacked, "key long, doc long")
     member = local.unionByName(near)
 
+    # one row per document: what is joined on documents moves keys, not rows
+    keyed = written(member.groupBy("doc").agg(F.collect_set("key").alias("keys")), "jaccard-keyed")
+
     # a star in each key, around the document that shares most keys
-    degree = member.groupBy("doc").agg(F.count(F.lit(1)).alias("degree"))
-    best = F.max(F.struct("degree", (-F.col("doc")).alias("minus")))
-    centres = written(member.join(degree, "doc").groupBy("key").agg(best.alias("best"), F.count(F.lit(1)).alias("size"))
-                            .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre")), "jaccard-centres")
-    stars = (member.join(centres, "key").filter("doc <> centre")
+    central = F.struct(F.size("keys").alias("degree"), (-F.col("doc")).alias("minus"))
+    centres = written(keyed.select(F.explode("keys").alias("key"), central.alias("best"))
+                           .groupBy("key").agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("size"))
+                           .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre")), "jaccard-centres")
+    stars = (keyed.select(F.explode("keys").alias("key"), "doc").join(centres, "key").filter("doc <> centre")
                    .select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct())
     stars = stars.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den))
     stars = written(stars.select("a", "b"), "jaccard-stars")
@@ -363,8 +366,8 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
     # what a star can miss: close pairs of one key in different components; of
     # documents with equal sets the smallest speaks for all
-    named = (member.join(labels.withColumnRenamed("v", "doc"), "doc", "left")
-                   .select("key", "doc", F.coalesce("label", "doc").alias("label")))
+    named = (keyed.join(labels.withColumnRenamed("v", "doc"), "doc", "left")
+                  .select(F.explode("keys").alias("key"), "doc", F.coalesce("label", "doc").alias("label")))
     open_keys = written(named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                              .filter("x <> y").select("key"), "jaccard-open")
     rest = (named.join(open_keys, "key", "left_semi").join(equal.select(F.col("b").alias("doc")), "doc", "left_anti")
