@@ -44,6 +44,8 @@ FIT_DOCS = 800
 STEPS, BATCH, RATE = 500, 96, 4e-3
 WINDOW, DIM, HIDDEN = 64, 24, 48
 HALF = WINDOW // 2
+#: Ids whose windows are laid out at a time (or one text).
+PLACES = 200_000
 CLASSES = MEMBERS = 64
 #: Weight of the network in the mixture for a known token.
 NETWORK = 0.6
@@ -162,23 +164,73 @@ class Attention:
         np.add.at(g["emb"], ids.ravel(), two(de))
         return float(-logp.mean()), g
 
+    def scoring_states(self, ids: np.ndarray, valid: np.ndarray) -> np.ndarray:
+        """The last of ``states``, without what only training needs: masks
+        multiply the exponentials, and the sum divides after the values."""
+        w = self.w
+        e = w["emb"][ids] + w["pos"]
+        half = e[:, HALF:]
+        s = (half @ (w["q"] * np.float32(DIM ** -0.5))) @ (e @ w["k"]).transpose(0, 2, 1)
+        np.clip(s, -60, 60, out=s)
+        np.exp(s, out=s)
+        s *= _SEEN
+        v = e @ w["v"]
+        if valid.all():
+            total = s.sum(axis=2, keepdims=True)
+        else:
+            seen = valid[:, :, None].astype(np.float32)
+            v = v * seen
+            total = np.maximum(s @ seen, np.float32(1e-30))  # places past a text's end see nothing
+        h = half + (s @ v / total) @ w["o"]
+        return h + np.maximum(h @ w["w1"] + w["b1"], 0) @ w["w2"]
+
+    def scoring_head(self, z: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """The first of ``head`` without the softmaxes themselves."""
+        w = self.w
+        c, m = slots // MEMBERS, slots % MEMBERS
+        order = np.argsort(c, kind="stable")
+        z, c, m = z[order], c[order], m[order]
+        logits = z @ w["wc"] + w["bc"]
+        top = logits.max(axis=1)
+        got = logits[np.arange(len(z)), c] - top
+        logits -= top[:, None]
+        got -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        edge = np.searchsorted(c, np.arange(CLASSES + 1))
+        for i in range(CLASSES):
+            a, b = edge[i], edge[i + 1]
+            if a < b:
+                logits[a:b] = z[a:b] @ w["wm"][i] + w["bm"][i]
+        top = logits.max(axis=1)
+        got += logits[np.arange(len(z)), m] - top
+        logits -= top[:, None]
+        got -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        out = np.empty(len(z))
+        out[order] = got
+        return out
+
     def log_probs(self, before: np.ndarray, after: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Natural log probability of each id ``after`` the ids ``before`` it;
         ``starts`` are the texts' first places and the end."""
-        index, valid, scored = windows(starts)
-        slots_in, slots_out = self.slot[before], self.slot[after]
         out = np.zeros(len(after))
-        for at in range(0, len(index), 256):
-            i, ok, use = index[at:at + 256], valid[at:at + 256], scored[at:at + 256]
-            z = self.states(slots_in[i], ok)[-1]
-            place = i[:, HALF:][use]
-            out[place] = self.head(z[use], slots_out[place])[0]
-        rare = slots_out == 0
-        out[rare] += self.escape[after[rare]]
+        text = 0
+        while text < len(starts) - 1:  # texts of some PLACES ids at a time bound the memory
+            last = max(text + 1, int(np.searchsorted(starts, starts[text] + PLACES, side="right")) - 1)
+            a, b = int(starts[text]), int(starts[last])
+            index, valid, scored = windows(starts[text:last + 1] - a)
+            slots_in, slots_out = self.slot[before[a:b]], self.slot[after[a:b]]
+            for at in range(0, len(index), 128):
+                i, use = index[at:at + 128], scored[at:at + 128]
+                z = self.scoring_states(slots_in[i], valid[at:at + 128])
+                place = i[:, HALF:][use]
+                out[a + place] = self.scoring_head(z[use], slots_out[place])
+            rare = np.flatnonzero(slots_out == 0)
+            out[a + rare] += self.escape[after[a:b][rare]]
+            text = last
         return out
 
 
 _CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(HALF, WINDOW)[:, None], 0, -1e9).astype(np.float32)
+_SEEN = (_CAUSAL == 0).astype(np.float32)
 
 
 def windows(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,7 +288,7 @@ def streams(texts: pa.Array, bpe) -> tuple[np.ndarray, np.ndarray, pa.Array, np.
     got = pa.array(spelt, pa.binary()).take(pa.array(np.where(token < 0, len(words), token)))
     _, offsets, data = got.buffers()
     ends = np.frombuffer(offsets, np.int32)[: len(token) + 1].astype(np.int64) // 2
-    ids = np.frombuffer(data, "<u2")[: ends[-1]].astype(np.int64) if len(token) else np.zeros(0, np.int64)
+    ids = np.frombuffer(data, "<u2")[: ends[-1]].astype(np.int32) if len(token) else np.zeros(0, np.int32)
     return starts, token, words, ids, ends
 
 

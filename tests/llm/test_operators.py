@@ -241,6 +241,8 @@ def test_lm_gradients_and_normalisation():
     slots = np.arange(lm.CLASSES * lm.MEMBERS)
     assert abs(np.exp(net.head(np.repeat(z, len(slots), 0), slots)[0]).sum() - 1) < 1e-6
     first = net.log_probs(lm.shifted(ids, starts), ids, starts)
+    # scoring is the training pass without what only gradients need
+    assert -first.mean() == pytest.approx(loss, rel=1e-5)
     ids2 = ids.copy()
     ids2[200:] = 3
     again = net.log_probs(lm.shifted(ids2, starts), ids2, starts)
