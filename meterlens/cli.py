@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from meterlens.config import TOPIC, TRIGGER_INTERVAL, session
 from meterlens.operators import summary
+from meterlens.plans.writes import FILES_PER_BATCH
 from meterlens.schema import KAFKA_SCHEMA
 from meterlens.sources import catalog
 from meterlens.sources.kafka import read_kafka_stream
@@ -80,7 +81,7 @@ def main(argv=None) -> None:
     st.add_argument("--once", action="store_true", help="process what is there, then stop")
     st.add_argument("--single-query", action="store_true", help="one foreachBatch query for all zones")
     st.add_argument("--no-console", action="store_true")
-    st.add_argument("--files-per-partition", type=int, default=None,
+    st.add_argument("--files-per-partition", type=int, default=FILES_PER_BATCH,
                     help="cluster each micro-batch so a zone directory gets at most N files")
     rg = sub.add_parser("register")
     rg.add_argument("--db", default="meterlens")

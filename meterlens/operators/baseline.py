@@ -20,12 +20,13 @@ def rolling_baseline(raw: DataFrame, window: str = "30 minutes", bucket: str = "
     (``[t - window, t)``: the current row and same-instant rows excluded).
 
     Adds ``rolling_mean_kwh`` (6 dp; null without history) and
-    ``rolling_count``.  Runs on (meter, time-bucket) partitions, see
+    ``rolling_count``.  NaN and infinite readings are missing ones, as null is:
+    not counted, not averaged.  Rows without a time get null in both.  Runs on (meter, time-bucket) partitions, see
     ``plans.windows``: no task ever holds a whole meter.
     """
+    kwh = F.when(F.abs("consumption_kwh") < float("inf"), F.col("consumption_kwh"))
     out = preceding_range_agg(
-        raw, "meter_id", "event_time",
-        {"_mean": F.avg("consumption_kwh"), "rolling_count": F.count("consumption_kwh")},
+        raw, "meter_id", "event_time", {"_mean": F.avg(kwh), "rolling_count": F.count(kwh)},
         window=window, bucket=bucket)
     out = out.withColumn("rolling_mean_kwh", F.round("_mean", 6))
     return out if keep_exact else out.drop("_mean")

@@ -5,7 +5,7 @@ All are single aggregates or bounded top-k; none collects rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.config import LIVE_ALERT_ROWS, LIVE_MAX_MESSAGES, LIVE_RECENT_ROWS, SEVERITY_LABELS
@@ -37,10 +37,15 @@ def live_window(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) -> Data
 def kpi_live(scored: DataFrame) -> DataFrame:
     """Messages, alerts, alert rate (1 dp), active meters, mean kWh (2 dp),
     last event time and its ``HH:MM:SS UTC`` label; zeros when empty."""
+    return kpi_row(scored, F.countDistinct("meter_id"))
+
+
+def kpi_row(scored: DataFrame, active_meters: Column) -> DataFrame:
+    """``kpi_live`` with the given aggregate for the active meters."""
     out = scored.agg(
         F.count(F.lit(1)).alias("messages"),
         F.coalesce(F.sum(F.col("is_fraud_flagged").cast("int")), F.lit(0)).cast("long").alias("fraud_alerts"),
-        F.countDistinct("meter_id").alias("active_meters"),
+        active_meters.alias("active_meters"),
         F.avg("consumption_kwh").alias("_avg"),
         F.max("event_time").alias("last_event_time"))
     return out.select(

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from meterlens.config import DEFAULT_THRESHOLDS, RISK_BANDS, RULE_COLUMNS, Thresholds
 from meterlens.operators.overview import flag_int, rate_pct
+from meterlens.operators.quantiles import exact_quantiles, group_key
 from meterlens.operators.rule_stats import unpivot_sums
+from meterlens.plans.joins import join_small
 
 RULE_FIRE_COLUMNS = [f"rule{i + 1}_fires" for i in range(len(RULE_COLUMNS))]
 
@@ -44,9 +46,17 @@ def _meter_summary(mf: DataFrame, distribution: bool, accuracy: int = 10000) ->
     return out.select(*order).orderBy(F.desc("fraud_flag_count"), "meter_id", "location")
 
 
-def q6_master_summary(mf: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Per meter: volume, flag rate, kWh distribution, voltage, rules, severity."""
-    return _meter_summary(mf, True, accuracy)
+def q6_master_summary(mf: DataFrame, accuracy: int = 10000, exact: bool = False) -> DataFrame:
+    """Per meter: volume, flag rate, kWh distribution, voltage, rules, severity.
+    The median comes from a sketch, or with ``exact`` from ``operators.quantiles``."""
+    out = _meter_summary(mf, True, accuracy)
+    if not exact:
+        return out
+    keys = ["meter_id", "location"]
+    median = exact_quantiles(mf, keys, "consumption_kwh", [0.5], accuracy)
+    return (join_small(out.withColumn("_key", group_key(keys)), median, "_key", "left")
+            .withColumn("median_kwh", F.round(F.col("q")[0], 4)).select(out.columns)
+            .orderBy(F.desc("fraud_flag_count"), *keys))
 
 
 def report_summary(mf: DataFrame) -> DataFrame:

@@ -36,11 +36,22 @@ def row_bytes(df: DataFrame):
         kind = f.dataType.simpleString()
         if kind in ("string", "binary"):
             total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind in ("array<double>", "array<bigint>"):
+            total = total + 8 * F.coalesce(F.size(f.name), F.lit(0))
         elif kind.startswith(("array", "map", "struct", "variant")):
             return None
     return total
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, now, into a reliable checkpoint of the shared folder."""
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``big.join(small)`` with a broadcast only after the size is proven.
@@ -54,10 +65,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     is used.  Both ways read the same checkpoint.
     """
     spark = small.sparkSession
-    folder = checkpoint_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    small = small.checkpoint(eager=True)
+    small = checkpointed(small)
     width = row_bytes(small)
     rows, size = small.agg(F.count(F.lit(1)), F.sum(width) if width is not None else F.lit(None)).first()
     if width is not None and rows <= max_rows and (size or 0) <= _max_bytes(spark):

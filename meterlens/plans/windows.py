@@ -39,19 +39,21 @@ def preceding_range_agg(df: DataFrame, key: str, ts: str, aggs: dict[str, Column
     """Add ``aggs`` computed over rows of the same key with time in
     ``[t - window, t)`` (the current row and exact ties excluded).
 
-    ``aggs`` are window-able aggregate columns, e.g. ``F.avg("kwh")``.
+    ``aggs`` are window-able aggregate columns, e.g. ``F.avg("kwh")``.  Rows
+    without a time have no range: they go around the window with null aggregates,
+    so they are neither shuffled nor gathered in one partition.
     """
     w_us, b_us = _micros(window), _micros(bucket)
     if w_us > b_us:
         raise ValueError("bucket must be at least as wide as the window")
+    undated = df.filter(F.col(ts).isNull())
     t = epoch_micros(df, ts)
-    df = df.withColumn("__t", t).withColumn("__b", F.floor(F.col("__t") / b_us))
+    df = df.filter(F.col(ts).isNotNull()).withColumn("__t", t).withColumn("__b", F.floor(F.col("__t") / b_us))
     is_tail = F.col("__t") - F.col("__b") * b_us >= b_us - w_us
     df = df.withColumn(
         "__bk", F.explode(F.when(is_tail, F.array(F.col("__b"), F.col("__b") + 1))
                            .otherwise(F.array(F.col("__b")))))
     w = Window.partitionBy(key, "__bk").orderBy("__t").rangeBetween(-w_us, -1)
-    df = df.withColumns({name: F.when(F.col("__t").isNotNull(), agg.over(w))
-                         for name, agg in aggs.items()})
-    df = df.filter((F.col("__bk") == F.col("__b")) | F.col("__b").isNull())
-    return df.drop("__t", "__b", "__bk")
+    df = df.withColumns({name: agg.over(w) for name, agg in aggs.items()})
+    df = df.filter(F.col("__bk") == F.col("__b"))
+    return df.drop("__t", "__b", "__bk").unionByName(undated, allowMissingColumns=True)

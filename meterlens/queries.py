@@ -122,10 +122,12 @@ QUERIES: dict[str, Query] = {
     "q3_3_weekly_baseline_by_year": _mf(lambda mf: timeseries.q3_3_weekly_baseline(mf, by_year=True)),
     "q4_1_zscore": _raw(outliers.q4_1_zscore),
     "q4_2_iqr": _raw(outliers.q4_2_iqr),
+    "q4_2_iqr_exact": _raw(lambda rd: outliers.q4_2_iqr(rd, exact=True)),
     "q5_1_suspicious_meters": _mf(alerts.q5_1_suspicious_meters),
     "q5_2_alert_hours": _mf(alerts.q5_2_alert_hours),
     "q5_3_severity_share": _mf(alerts.q5_3_severity_share),
     "q6_master_summary": _mf(summary.q6_master_summary),
+    "q6_master_summary_exact": _mf(lambda mf: summary.q6_master_summary(mf, exact=True)),
     # report
     "report_summary": _mf(summary.report_summary),
     "report_hourly": _mf(summary.report_hourly),

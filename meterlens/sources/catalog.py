@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlens.plans.writes import FILES_PER_PARTITION, cluster_for_write
 from meterlens.schema import (
     ALERT_PARTITIONS, PROCESSED_PARTITIONS, PROCESSED_ZONE_SCHEMA, RAW_PARTITIONS,
     RAW_ZONE_SCHEMA, ddl,
@@ -124,9 +125,10 @@ def run_query(spark: SparkSession, sql: str) -> DataFrame:
 
 
 def copy_zone_orc(df: DataFrame, path: str, partitions=PROCESSED_PARTITIONS,
-                  mode: str = "overwrite") -> None:
-    """ORC copy of a zone, same partition layout."""
-    df.write.mode(mode).format("orc").partitionBy(*partitions).save(path)
+                  mode: str = "overwrite", files_per_partition: int = FILES_PER_PARTITION) -> None:
+    """ORC copy of a zone, same partition layout, at most ``files_per_partition``
+    files a directory."""
+    cluster_for_write(df, partitions, files_per_partition).write.mode(mode).format("orc").partitionBy(*partitions).save(path)
 
 
 def export_summary_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -134,10 +136,12 @@ def export_summary_csv(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_zone(df: DataFrame, path: str, table: str, mode: str = "append") -> None:
-    """Batch write of a zone with its partition layout."""
+def write_zone(df: DataFrame, path: str, table: str, mode: str = "append",
+               files_per_partition: int = FILES_PER_PARTITION) -> None:
+    """Batch write of a zone with its partition layout, at most
+    ``files_per_partition`` new files a directory."""
     _, parts = ZONE_TABLES[table]
-    df.write.mode(mode).partitionBy(*parts).parquet(path)
+    cluster_for_write(df, parts, files_per_partition).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 __all__ = ["scope", "create_database", "register_zone_table", "register_zone",

@@ -19,7 +19,7 @@ from meterlens.config import (
     FRAUD_LABEL, LIVE_MAX_MESSAGES, OK_LABEL, TOPIC, WATERMARK_DELAY,
 )
 from meterlens.plans.barrier import materialize
-from meterlens.plans.joins import join_small
+from meterlens.plans.joins import checkpointed, join_small
 from meterlens.schema import PAYLOAD_FIELDS, READING_SCHEMA, READING_TEXT_SCHEMA
 
 
@@ -109,7 +109,8 @@ def latest_messages(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) ->
 
     Per-partition ends are a tiny aggregate joined back with a size-checked
     broadcast; the rest is a filter and a bounded top-k, so no task holds a
-    whole partition.  On a live topic the same start offsets would be passed
+    whole partition.  The lowest start offset is a literal filter as well, which
+    reaches the scan of a captured topic and skips its older row groups.  On a live topic the same start offsets would be passed
     as ``startingOffsets`` to ``read_kafka_batch`` (see ``starting_offsets``).
     """
     keys = [c for c in ("topic", "partition") if c in kafka.columns]
@@ -119,7 +120,11 @@ def latest_messages(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) ->
     ends = ends.withColumn("_per", F.greatest(F.lit(1), F.lit(max_messages) / n_parts + 1)
                            .cast("long"))
     ends = ends.withColumn("_start", F.greatest("_begin", F.col("_end") - F.col("_per")))
-    j = join_small(kafka, ends.select(*keys, "_start"), keys)
+    ends = checkpointed(ends.select(*keys, "_start"))
+    lowest = ends.agg(F.min("_start")).first()[0]
+    if lowest is not None:
+        kafka = kafka.filter(F.col("offset") >= F.lit(lowest))
+    j = join_small(kafka, ends, keys)
     j = j.filter(F.col("offset") >= F.col("_start")).drop("_start")
     return (j.orderBy(F.desc_nulls_last("timestamp"), F.desc("offset"), F.asc("partition"))
              .limit(max_messages))

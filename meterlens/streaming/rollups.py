@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.config import WATERMARK_DELAY
+from meterlens.operators.live import kpi_row, severity_mix
 
 
 def with_watermark(df: DataFrame, watermark: str | None, col: str = "event_time") -> DataFrame:
@@ -37,21 +38,16 @@ def stream_timeline(scored: DataFrame, watermark: str = WATERMARK_DELAY,
 
 
 def stream_rollups(scored: DataFrame) -> dict[str, DataFrame]:
-    """KPI row, severity counts and zone risk as running aggregates.
+    """KPI row, severity counts and zone risk as running aggregates, with the
+    columns of ``kpi_live``, ``severity_mix`` (all four labels) and ``zone_risk``.
 
     Meant for ``complete``/``update`` output; state is one row per
     severity / location plus one KPI row.  Active meters use
     ``approx_count_distinct`` so the state does not grow with the fleet.
     """
     flag = F.col("is_fraud_flagged").cast("int")
-    kpi = scored.agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.coalesce(F.sum(flag), F.lit(0)).alias("fraud_alerts"),
-        F.approx_count_distinct("meter_id").alias("active_meters"),
-        F.avg("consumption_kwh").alias("avg_kwh"),
-        F.max("event_time").alias("last_event_time"))
-    severity = scored.groupBy(F.col("fraud_severity").alias("severity")).agg(
-        F.count(F.lit(1)).alias("events"))
+    kpi = kpi_row(scored, F.approx_count_distinct("meter_id"))
+    severity = severity_mix(scored)
     zones = (scored.filter(F.col("location").isNotNull()).groupBy("location").agg(
                 F.count("meter_id").alias("events"), F.sum(flag).alias("alerts"))
              .withColumn("risk_rate", F.bround(F.try_divide(F.col("alerts").cast("double"),

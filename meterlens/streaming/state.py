@@ -25,27 +25,32 @@ STATE_SCHEMA = "ts array<long>, kwh array<double>"
 def _rolling_step(h_ts: np.ndarray, h_kwh: np.ndarray, batch: pd.DataFrame, window_us: int):
     """Means of ``[t - window, t)`` for the batch rows over history + batch.
 
-    Returns the output frame and the merged, time-sorted (ts, kWh) arrays.
+    NaN and infinite readings are missing ones.  Each window is summed by
+    itself, so no reading outside a window can blur its mean.  Returns the
+    output frame and the merged, time-sorted (ts, kWh) arrays.
     """
     us = batch["event_us"]
     known = us.notna().to_numpy()
     b_ts = us.fillna(0).astype("int64").to_numpy()
     kwh = batch["consumption_kwh"].astype(float).to_numpy()
-    good = known & ~np.isnan(kwh)
+    good = known & np.isfinite(kwh)
     all_ts = np.concatenate([h_ts, b_ts[good]])
     all_kwh = np.concatenate([h_kwh, kwh[good]])
     order = np.argsort(all_ts, kind="stable")
     all_ts, all_kwh = all_ts[order], all_kwh[order]
-    csum = np.concatenate([[0.0], np.cumsum(all_kwh)])
     lo = np.searchsorted(all_ts, b_ts - window_us, side="left")
     hi = np.searchsorted(all_ts, b_ts, side="left")
     cnt = np.where(known, hi - lo, 0)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        mean = np.where(cnt > 0, (csum[hi] - csum[lo]) / np.maximum(cnt, 1), np.nan)
+    mean = np.full(len(batch), np.nan)
+    rows = np.flatnonzero(cnt > 0)
+    rows = rows[np.argsort(b_ts[rows], kind="stable")]  # in time order the gaps between windows are short
+    if len(rows):
+        ends = np.stack([lo[rows], hi[rows]], axis=1).ravel()
+        mean[rows] = np.add.reduceat(np.append(all_kwh, 0.0), ends)[::2] / cnt[rows]
     out = pd.DataFrame({
         "meter_id": batch["meter_id"], "timestamp": batch["timestamp"],
         "event_time": batch["event_time"], "consumption_kwh": kwh,
-        "rolling_mean_kwh": np.round(mean, 6), "rolling_count": cnt.astype("int64")})
+        "rolling_mean_kwh": np.round(mean, 6), "rolling_count": pd.arrays.IntegerArray(cnt.astype("int64"), ~known)})
     return out, all_ts, all_kwh
 
 

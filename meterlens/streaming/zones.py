@@ -21,6 +21,7 @@ from meterlens.config import TRIGGER_INTERVAL, WATERMARK_DELAY, checkpoint_dir
 from meterlens.functions.features import add_features
 from meterlens.functions.rules import apply_rules
 from meterlens.operators.alerts import ALERT_FEED_COLUMNS
+from meterlens.plans.writes import FILES_PER_BATCH, cluster_for_write
 from meterlens.schema import ALERT_PARTITIONS, PROCESSED_PARTITIONS, RAW_PARTITIONS
 from meterlens.sources.kafka import parse_readings
 
@@ -61,7 +62,7 @@ def _trigger(w, trigger):
 
 
 def _write_parquet(df: DataFrame, path: str, checkpoint: str, partitions, trigger, name: str,
-                   files_per_partition: int | None = None):
+                   files_per_partition: int | None = FILES_PER_BATCH):
     if files_per_partition:
         df = cluster_for_write(df, partitions, files_per_partition)
     w = (df.writeStream.outputMode("append").format("parquet")
@@ -71,21 +72,21 @@ def _write_parquet(df: DataFrame, path: str, checkpoint: str, partitions, trigge
 
 
 def write_raw(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
-              files_per_partition: int | None = None) -> StreamingQuery:
+              files_per_partition: int | None = FILES_PER_BATCH) -> StreamingQuery:
     """Decoded, un-enriched readings, partitioned by date and meter."""
     return _write_parquet(df, paths.raw, paths.checkpoint("raw"), RAW_PARTITIONS, trigger,
                           "zone_raw", files_per_partition)
 
 
 def write_processed(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
-                    files_per_partition: int | None = None) -> StreamingQuery:
+                    files_per_partition: int | None = FILES_PER_BATCH) -> StreamingQuery:
     """Enriched and scored readings, partitioned by date and meter."""
     return _write_parquet(df, paths.processed, paths.checkpoint("processed"), PROCESSED_PARTITIONS,
                           trigger, "zone_processed", files_per_partition)
 
 
 def write_alerts(df: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
-                 files_per_partition: int | None = None) -> StreamingQuery:
+                 files_per_partition: int | None = FILES_PER_BATCH) -> StreamingQuery:
     """Flagged readings only, partitioned by date."""
     return _write_parquet(df.filter(F.col("is_fraud_flagged")), paths.alerts,
                           paths.checkpoint("alerts"), ALERT_PARTITIONS, trigger, "zone_alerts",
@@ -108,7 +109,7 @@ def score_stream(kafka: DataFrame, watermark: str = WATERMARK_DELAY):
 
 def run_pipeline(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
                  console: bool = True, await_any: bool = False,
-                 files_per_partition: int | None = None) -> list[StreamingQuery]:
+                 files_per_partition: int | None = FILES_PER_BATCH) -> list[StreamingQuery]:
     """The reference job: decode -> features -> rules -> three zone sinks
     (+ console mirror), each its own query reading the source itself.
 
@@ -127,14 +128,6 @@ def run_pipeline(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
     return qs
 
 
-def cluster_for_write(df: DataFrame, parts, files_per_partition: int) -> DataFrame:
-    """Shuffle rows so each partition directory is written by at most
-    ``files_per_partition`` tasks.  A deterministic hash salt spreads a hot
-    (date, meter) directory over several tasks and keeps retries stable."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in parts], salt)
-
-
 def _batch_marker(spark: SparkSession, paths: ZonePaths, zone: str, epoch: int):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -143,7 +136,7 @@ def _batch_marker(spark: SparkSession, paths: ZonePaths, zone: str, epoch: int):
 
 
 def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
-                      files_per_partition: int | None = None) -> StreamingQuery:
+                      files_per_partition: int | None = FILES_PER_BATCH) -> StreamingQuery:
     """One query for all zones: each micro-batch is read and decoded once,
     persisted while its zones are written, and appended to raw, processed and alerts.
 
@@ -151,7 +144,7 @@ def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERV
     the zones it already wrote, so a restart after a failure does not
     duplicate rows.  ``files_per_partition`` clusters rows by the partition
     columns before writing (at most that many files per directory) to avoid
-    many small files.
+    many small files; None writes as the input is partitioned.
     """
     spark = kafka.sparkSession
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlens.functions import add_features, apply_rules
+from meterlens.operators import live
 from meterlens.operators.baseline import rolling_baseline
 from meterlens.schema import KAFKA_SCHEMA
 from meterlens.sources.catalog import read_zone
@@ -132,7 +133,12 @@ def test_stream_rollups_match_batch(spark, scratch):
     assert kpi.fraud_alerts == batch.filter("is_fraud_flagged").count()
     sev = {r.severity: r.events for r in spark.table("roll_severity").collect()}
     exp = {r.fraud_severity: r["count"] for r in batch.groupBy("fraud_severity").count().collect()}
-    assert sev == exp
+    assert set(sev) == {"HIGH", "MEDIUM", "LOW", "NONE"}
+    assert {k: n for k, n in sev.items() if n} == exp
+    assert spark.table("roll_kpi").columns == live.kpi_live(batch).columns
+    want = live.kpi_live(batch).first()
+    assert (kpi.alert_rate_pct, kpi.avg_kwh, kpi.last_event_label) == (want.alert_rate_pct, want.avg_kwh, want.last_event_label)
+    assert sorted(spark.table("roll_zones").collect()) == sorted(live.zone_risk(batch).collect())
 
 
 @pytest.mark.parametrize("variant", ["apply_in_pandas_with_state", "transform_with_state"])
