@@ -8,12 +8,14 @@ context; windows are batched and masked.  Its output is a two-step softmax
 (class, member) over the most frequent ids, with an escape to a smoothed
 distribution of all others.  A text's probability mixes, token by token, the
 product of a token's subword probabilities with the token's share among all
-training tokens (an unknown token has the former only), so the model uses
-the whole training corpus although the network is fitted on a bounded sample.
+training tokens (an unknown token has the former only).
 
-Token counts cover all training documents: blocks of texts send their distinct
-words with counts to hash buckets, where copies of a word meet once per block,
-and the totals return to the blocks.
+Token and subword counts cover all training documents: blocks of texts send
+their distinct words with counts to hash buckets, where copies of a word meet
+once per block and its spelling is counted once; the totals return to the
+blocks.  The network trains on every window of every training document: the
+documents are dealt to rounds of doubling size, in a round each partition
+takes steps over its own windows, and the weights are averaged in a tree.
 
 Edge cases: null and empty texts are the end alone; null ids are in the
 training fold and get a row; repeated rows get a row each (and count each);
@@ -22,6 +24,7 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,23 +32,27 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from meterlens.llm.bpe import block_texts
 from meterlens.llm.bytebpe import BYTE_BPE, byte_bpe, public_path
-from meterlens.llm.util import fold, pack_bytes, split_words, unpack_bytes, word_hash, written
+from meterlens.llm.util import fold, mix64, pack_bytes, split_words, unpack_bytes, word_hash, written
 
 HELD_OUT_MOD, HELD_OUT = 7, 2
 END_ID = 50256
-#: Bound of the network's training sample (documents of smallest id hash), and its schedule.
-FIT_DOCS = 800
+#: Rounds of an epoch; each is as large as all before it, so that weights agree before the long ones.
+ROUNDS = 7
+#: Windows of a step and its rate; small corpora are read again until they make STEPS steps.
 STEPS, BATCH, RATE = 500, 96, 4e-3
 WINDOW, DIM, HIDDEN = 64, 24, 48
 HALF = WINDOW // 2
 #: Ids whose windows are laid out at a time (or one text).
 PLACES = 200_000
+#: Words spelt at a time.
+SPELL = 100_000
 CLASSES = MEMBERS = 64
 #: Weight of the network in the mixture for a known token.
 NETWORK = 0.6
@@ -161,7 +168,9 @@ class Attention:
         de[:, HALF:] += dh + dq @ w["q"].T
         g["pos"] = de.sum(0)
         g["emb"] = np.zeros_like(w["emb"])
-        np.add.at(g["emb"], ids.ravel(), two(de))
+        order = np.argsort(ids, axis=None, kind="stable")
+        seen, first = np.unique(ids.ravel()[order], return_index=True)
+        g["emb"][seen] = np.add.reduceat(two(de)[order], first)
         return float(-logp.mean()), g
 
     def scoring_states(self, ids: np.ndarray, valid: np.ndarray) -> np.ndarray:
@@ -246,27 +255,53 @@ def windows(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return index, valid, valid[:, HALF:]
 
 
-def train(ids: np.ndarray, starts: np.ndarray, seed: int = 7) -> Attention:
-    """Adam on windows drawn from the sampled stream (each text ends with END_ID)."""
-    rng = np.random.default_rng(seed)
-    model = Attention.fresh(np.bincount(ids, minlength=END_ID + 1).astype(np.float64), rng)
-    if not len(ids):
-        return model
-    before = model.slot[shifted(ids, starts)]
-    after = model.slot[ids]
+@dataclass
+class State:
+    """What a round starts from and leaves: weights, Adam's moments, steps taken."""
+    w: dict[str, np.ndarray]
+    m: dict[str, np.ndarray]
+    v: dict[str, np.ndarray]
+    step: int = 0
+
+    @staticmethod
+    def fresh(w: dict[str, np.ndarray]) -> State:
+        return State(w, *[{k: np.zeros_like(x) for k, x in w.items()} for _ in range(2)])
+
+    def pack(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for part in (self.w, self.m, self.v) for x in part.values()])
+
+    def unpack(self, flat: np.ndarray, step: int) -> State:
+        at, parts = 0, []
+        for part in (self.w, self.m, self.v):
+            parts.append({})
+            for k, x in part.items():
+                parts[-1][k] = flat[at:at + x.size].reshape(x.shape).astype(np.float32)
+                at += x.size
+        return State(*parts, step)
+
+    def update(self, g: dict[str, np.ndarray], rate: float) -> None:
+        self.step += 1
+        rate *= min(1.0, self.step / 20) / (1 - 0.9 ** self.step)
+        soft = np.float32((1 - 0.98 ** self.step) ** -0.5)
+        for k, x in self.w.items():
+            m, v = self.m[k], self.v[k]
+            m += np.float32(0.1) * (g[k] - m)
+            v += np.float32(0.02) * (g[k] * g[k] - v)
+            x -= np.float32(rate) * m / (np.sqrt(v) * soft + np.float32(1e-8))
+
+
+def train(model: Attention, state: State, ids: np.ndarray, starts: np.ndarray, rate, rng: np.random.Generator) -> int:
+    """One pass in random order over all windows of a stream (each text ends with
+    END_ID); ``rate`` maps the windows done to the rate.  Returns the windows."""
+    before, after = model.slot[shifted(ids, starts)], model.slot[ids]
     index, valid, scored = windows(starts)
-    m = {k: np.zeros_like(x) for k, x in model.w.items()}
-    v = {k: np.zeros_like(x) for k, x in model.w.items()}
-    for step in range(1, STEPS + 1):
-        pick = rng.integers(0, len(index), BATCH)
+    done = 0
+    for pick in np.array_split(rng.permutation(len(index)), max(1, round(len(index) / BATCH))):
         i = index[pick]
         _, g = model.gradients(before[i], valid[pick], after[i][:, HALF:], scored[pick])
-        rate = RATE * min(1.0, step / 20) * (1 - 0.9 * step / STEPS)
-        for k, x in model.w.items():
-            m[k] += 0.1 * (g[k] - m[k])
-            v[k] += 0.02 * (g[k] * g[k] - v[k])
-            x -= (rate * m[k] / (1 - 0.9 ** step) / (np.sqrt(v[k] / (1 - 0.98 ** step)) + 1e-8)).astype(np.float32)
-    return model
+        state.update(g, rate(done))
+        done += len(pick)
+    return done
 
 
 def shifted(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -296,14 +331,79 @@ def _encoder(paths: tuple[str, str]):
     return byte_bpe(*paths)
 
 
-def fit_network(docs: DataFrame, paths: tuple[str, str], limit: int = FIT_DOCS) -> Attention:
-    """Train on the ``limit`` training documents of smallest id hash."""
-    chosen = (docs.filter(in_training(F.col("doc_id"))).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
-                .select(F.xxhash64("doc_id").alias("h"), "text").toArrow().sort_by([("h", "ascending"), ("text", "ascending")]))
-    text = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
-    starts, _, _, ids, ends = streams(text, _encoder(paths))
-    return train(ids, ends[starts] if len(ids) else np.zeros(1, np.int64))
+def _round(blocks: DataFrame, model: Attention, state: State, paths: tuple[str, str],
+           cut: tuple[float, float], done: tuple[float, float], expected: float, seed: int) -> DataFrame:
+    """``part, n, step, state``: each partition's state after its windows of the
+    texts whose place hash lies in ``cut``, and how many windows these were.
+    ``done`` is the share of all training before and after the round, and
+    ``expected`` a partition's likely windows; both set the rate only."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, bpe, n = TaskContext.get().partitionId(), _encoder(paths), 0
+        mine = state.unpack(state.pack(), state.step)
+        here = Attention(model.slot, model.escape, mine.w)
+        rng = np.random.default_rng([seed, part])
+
+        def rate(seen: int) -> float:
+            return RATE * (1 - 0.9 * (done[0] + (done[1] - done[0]) * min(1.0, (n + seen) / expected)))
+
+        for b in batches:
+            for block, packed, train_ in zip(*(b.column(c).to_pylist() for c in ("block", "texts", "train"))):
+                turn = mix64((np.uint64(block) << np.uint64(20)) + np.arange(len(train_), dtype=np.uint64)) / 2.0 ** 64
+                use = np.flatnonzero(np.array(train_, dtype=bool) & (turn >= cut[0]) & (turn < cut[1]))
+                if not len(use):
+                    continue
+                starts, _, _, ids, ends = streams(_texts(packed).take(pa.array(rng.permutation(use))), bpe)
+                starts, text = ends[starts], 0
+                while text < len(starts) - 1:  # texts of some PLACES ids at a time bound the memory
+                    last = max(text + 1, int(np.searchsorted(starts, starts[text] + PLACES, side="right")) - 1)
+                    a, z = int(starts[text]), int(starts[last])
+                    n += train(here, mine, ids[a:z], starts[text:last + 1] - a, rate, rng)
+                    text = last
+        if n:
+            yield _state_row(part, n, mine.step, mine.pack())
+
+    return blocks.select("block", "texts", "train").mapInArrow(fit, _STATE)
+
+
+_STATE = "part int, n long, step long, state binary"
+
+
+def _state_row(part: int, n: int, step: int, flat: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64()), pa.array([step], pa.int64()),
+                                       pa.array([flat.astype("<f4").tobytes()], pa.binary())], ["part", "n", "step", "state"])
+
+
+def _average(rows: pa.Table) -> pa.Table:
+    """One row of many: states weighted by their windows, in the order of ``part``."""
+    rows, total = rows.sort_by("part"), 0.0
+    n = rows.column("n").to_pylist()
+    for k, x in zip(n, rows.column("state")):
+        total = total + k / sum(n) * np.frombuffer(x.as_py(), "<f4").astype(np.float64)
+    return pa.Table.from_batches([_state_row(rows.column("part")[0].as_py(), sum(n), max(rows.column("step").to_pylist()), total)])
+
+
+def fit_network(blocks: DataFrame, counts: np.ndarray, paths: tuple[str, str]) -> Attention:
+    """Train on all windows of all training documents in ``blocks``; ``counts``
+    are these documents' subword ids."""
+    model = Attention.fresh(counts, np.random.default_rng(7))
+    if not counts.sum():
+        return model
+    state = State.fresh(model.w)
+    epochs = math.ceil(STEPS * BATCH * HALF / counts.sum())
+    parts = max(1, blocks.rdd.getNumPartitions())
+    groups = math.isqrt(parts - 1) + 1
+    cuts = [0.0, *(2.0 ** (i - ROUNDS) for i in range(1, ROUNDS)), 1.0]
+    for epoch in range(epochs):
+        for i, cut in enumerate(zip(cuts, cuts[1:])):
+            share = cut[1] - cut[0]
+            done = ((epoch + cut[0]) / epochs, (epoch + cut[1]) / epochs)
+            rows = _round(blocks, model, state, paths, cut, done, counts.sum() / HALF * share / parts, epoch * ROUNDS + i)
+            got = rows.groupBy(F.pmod("part", F.lit(groups))).applyInArrow(_average, _STATE).toArrow()
+            if got.num_rows:
+                top = _average(got)
+                state = state.unpack(np.frombuffer(top.column("state")[0].as_py(), "<f4"), top.column("step")[0].as_py())
+    return Attention(model.slot, model.escape, state.w)
 
 
 # ---- token counts over all training documents ---------------------------------------
@@ -334,9 +434,10 @@ def _block_words(blocks: DataFrame, buckets: int) -> DataFrame:
                   .mapInArrow(count, "bucket int, block long, words binary, n binary"))
 
 
-def _totals(words: DataFrame, buckets: int) -> DataFrame:
-    """``block, words, n, kinds, tokens``: totals over all blocks; the last two
-    are the bucket's known words and training tokens, on its first row only.
+def _totals(words: DataFrame, buckets: int, paths: tuple[str, str]) -> DataFrame:
+    """``block, words, n, kinds, tokens, spelt``: totals over all blocks; the last
+    three are the bucket's known words, training tokens and training subword ids
+    by number, on its first row only.
     A bucket holds a word once per block, and buckets grow with the shuffle width."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,16 +453,48 @@ def _totals(words: DataFrame, buckets: int) -> DataFrame:
         coded = pa.concat_arrays(words).dictionary_encode()
         at = coded.indices.to_numpy()
         sums = np.bincount(at, np.concatenate(n), len(coded.dictionary)).astype(np.int64)
+        spelt = zstandard.compress(_spelt(coded.dictionary, sums, _encoder(paths)).astype("<i8").tobytes(), 1)
         ends = np.cumsum(size)
         for i, (bl, p, z, s) in enumerate(zip(block, packed, ends, size)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bl], pa.int64()), pa.array([p], pa.binary()),
                  pa.array([zstandard.compress(sums[at[z - s:z]].astype("<i8").tobytes(), 1)], pa.binary()),
                  pa.array([0 if i else int((sums > 0).sum())], pa.int64()),
-                 pa.array([0 if i else int(sums.sum())], pa.int64())], ["block", "words", "n", "kinds", "tokens"])
+                 pa.array([0 if i else int(sums.sum())], pa.int64()),
+                 pa.array([None if i else spelt], pa.binary())], ["block", "words", "n", "kinds", "tokens", "spelt"])
 
     return (words.repartition(buckets, "bucket").select("block", "words", "n")
-                 .mapInArrow(total, "block long, words binary, n binary, kinds long, tokens long"))
+                 .mapInArrow(total, "block long, words binary, n binary, kinds long, tokens long, spelt binary"))
+
+
+def _spelt(words: pa.Array, n: np.ndarray, bpe) -> np.ndarray:
+    """How often each subword id occurs in words that occur ``n`` times."""
+    out = np.zeros(END_ID + 1, np.int64)
+    at = np.flatnonzero(n > 0)
+    for i in range(0, len(at), SPELL):
+        some = at[i:i + SPELL]
+        ids = bpe.spaced_words(words.take(pa.array(some)).to_pylist())
+        flat = np.frombuffer(b"".join(ids), "<u2")
+        np.add.at(out, flat, np.repeat(n[some], [len(x) // 2 for x in ids]))
+    return out
+
+
+def subword_counts(totals: DataFrame, ends: int) -> np.ndarray:
+    """Occurrences of each subword id in all training documents."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column("spelt").to_pylist():
+                n = np.frombuffer(zstandard.decompress(x), "<i8")
+                id_ = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(id_, pa.int32()), pa.array(n[id_], pa.int64())], ["id", "n"])
+
+    got = (totals.filter("spelt is not null").select("spelt").mapInArrow(spread, "id int, n long")
+                 .groupBy("id").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(END_ID + 1)
+    out[got.column("id").to_numpy()] = got.column("n").to_numpy()
+    out[END_ID] += ends
+    return out
 
 
 def _texts(packed: bytes) -> pa.Array:
@@ -373,13 +506,13 @@ def score_texts(docs: DataFrame, json_path: str | None = None, ranks_path: str |
     paths = (json_path or public_path(f"{BYTE_BPE}.json"), ranks_path or public_path(f"{BYTE_BPE}.tiktoken"))
     docs = docs.select("doc_id", "text")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    model = fit_network(docs, paths)
     flag = F.transform("doc_ids", lambda d: in_training(d))
     blocks = written(block_texts(docs).withColumn("train", flag), "lm-blocks")
-    totals = written(_totals(_block_words(blocks, buckets), buckets), "lm-totals")
+    totals = written(_totals(_block_words(blocks, buckets), buckets, paths), "lm-totals")
     facts = totals.agg(F.sum("kinds"), F.sum("tokens")).first()
     ends = blocks.agg(F.sum(F.size(F.filter("train", lambda t: t)))).first()[0] or 0
     kinds, tokens = (facts[0] or 0) + (ends > 0), (facts[1] or 0) + ends
+    model = fit_network(blocks, subword_counts(totals, ends), paths)
     kind = docs.schema["doc_id"].dataType
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     types = [to_arrow_type(kind), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]

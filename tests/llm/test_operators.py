@@ -267,6 +267,24 @@ def test_lm_scores(spark, docs, empty, monkeypatch):
     assert lm.score_texts(empty).count() == 0
 
 
+def test_lm_trains_on_every_window(spark, monkeypatch):
+    monkeypatch.setattr(lm, "STEPS", 1)
+    seen, rounds, real = [], [], lm._round
+    monkeypatch.setattr(lm, "_round", lambda *a: rounds.append(real(*a)) or rounds[-1])
+    monkeypatch.setattr(lm, "subword_counts", lambda *a, real=lm.subword_counts: seen.append(real(*a)) or seen[-1])
+    texts = [f"common words and item{i} " * (1 + i % 40) for i in range(1200)]  # more documents than any fixed sample
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert lm.score_texts(df).count() == len(texts)
+    bpe = lm._encoder((public_path("byte_bpe_50k.json"), public_path("byte_bpe_50k.tiktoken")))
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    ids = [sum((list(np.frombuffer(x, "<u2")) for x in bpe.spaced_words([w.encode() for w in t.split()])), []) + [lm.END_ID]
+           for t in train]
+    want = collections.Counter(x for t in ids for x in t)
+    assert {i: int(n) for i, n in enumerate(seen[0]) if n} == want
+    epochs = math.ceil(lm.STEPS * lm.BATCH * lm.HALF / sum(want.values()))
+    assert sum(r.n for x in rounds for r in x.select("n").collect()) == epochs * sum(-(-len(t) // lm.HALF) for t in ids)
+
+
 # ---- 8 ------------------------------------------------------------------------------
 def test_quality_counts(spark, docs, empty, labels):
     model = quality.fit_quality(docs, labels)
