@@ -113,6 +113,29 @@ def test_pii_query_and_redaction(spark, docs, empty):
     assert pii.find_pii(empty, pii.fit_pii(empty)).count() == 0 and pii.redact(empty, model).count() == 0
 
 
+def planted_pii(n=300):
+    rnd = random.Random(2)
+    d = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
+    h = lambda k: "".join(rnd.choice("abcdefghjkmnpqrstuvwxyz23456789") for _ in range(k))
+    for _ in range(n):
+        yield f"Please phone 4{d(2)}-5{d(2)}-{d(4)} or write to a{d(3)}@b.example.org, +44 20 7946 0{d(3)}."
+        yield f"Made on {d(2)}.{d(2)}.20{d(2)}0 in lots of {d(3)} and {d(5)}, see item/{h(16)} for more."
+        yield f"The old password=q{h(9)}7 works, build: r{d(6)} does not."
+
+
+def test_pii_adds_numbers_and_secrets_outside_the_base_rules(spark):
+    model = pii.fit_pii(spark.createDataFrame([(t,) for t in planted_pii()], "text string").repartition(3))
+    assert set(model.thresholds) == set(pii.ADDED_KINDS)
+    assert model.redact("You may phone 415-555-0172 now.") == "You may phone [NUMBER] now."
+    assert model.redact("Use password=hunter2xyz8 at 10:45.") == "Use password=[SECRET] at 10:45."
+    kept = "Made on 11.12.20210 in lots of 345."
+    assert model.redact(kept) == kept
+    # a span that overlaps a base span is not fitted on, a base span calibrates nothing
+    text = "phone +44 20 7946 0123 or 415-555-0172"
+    assert [(text[a:b], y, base) for _, a, b, y, base in pii._fitting(text, pii.base_matches(text))] == [
+        ("+44 20 7946 0123", 1, 1), ("415-555-0172", 1, 0)]
+
+
 # ---- 3 ------------------------------------------------------------------------------
 def test_langid_fuses_evidence(spark, docs, empty):
     langs, logp = langid.count_trigrams(spark.read.parquet(f"{SF}/documents.parquet"))
