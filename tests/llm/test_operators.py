@@ -136,6 +136,15 @@ def test_pii_adds_numbers_and_secrets_outside_the_base_rules(spark):
         ("+44 20 7946 0123", 1, 1), ("415-555-0172", 1, 0)]
 
 
+def test_pii_secrets_need_no_number_elsewhere(spark):
+    texts = [*planted_pii(), *(f"my password: {w}horse{w}" for w in ("correct", "purple", "little", "brown") for _ in range(60))]
+    model = pii.fit_pii(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert model.redact("Use password=hunterx2 then.") == "Use password=[SECRET] then."
+    assert model.redact("Use password: correcthorse then.") == "Use password: [SECRET] then."
+    assert model.redact("The note: correcthorse then.") == "The note: correcthorse then."
+    assert pii.candidates("password=hunter", []) == [("secret", 9, 15, 1)]
+
+
 # ---- 3 ------------------------------------------------------------------------------
 def test_langid_fuses_evidence(spark, docs, empty):
     langs, logp = langid.count_trigrams(spark.read.parquet(f"{SF}/documents.parquet"))
