@@ -145,6 +145,13 @@ def test_pii_secrets_need_no_number_elsewhere(spark):
     assert pii.candidates("password=hunter", []) == [("secret", 9, 15, 1)]
 
 
+def test_pii_sample_counts_distinct_candidates(spark):
+    once = list(planted_pii())
+    a, b = (pii.fit_pii(spark.createDataFrame([(t,) for t in x], "text string").repartition(3), limit=400)
+            for x in (once, once + once[:30] * 60))
+    assert a.thresholds and a.thresholds == b.thresholds and np.array_equal(a.trees.value, b.trees.value)
+
+
 # ---- 3 ------------------------------------------------------------------------------
 def test_langid_fuses_evidence(spark, docs, empty):
     langs, logp = langid.count_trigrams(spark.read.parquet(f"{SF}/documents.parquet"))
