@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import bpe, jaccard, langid, licenses, lm, packing, pii, quality, topk, toxicity, urlfilter
+from meterlens.llm import bpe, jaccard, langid, licenses, lm, merkle, packing, pii, quality, topk, toxicity, urlfilter
 from meterlens.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def _licenses(spark, sf):
     return licenses.report(licenses.scan_licenses(table(spark, sf, "documents")))
 
 
+def _merkle(spark, sf):
+    return merkle.proofs(merkle.build_manifest(table(spark, sf, "documents")))
+
+
 QUERIES: dict[str, Query] = {name: _query(f) for name, f in {
     "op1_bpe": _bpe,
     "op2_pii": _pii,
@@ -96,7 +100,13 @@ QUERIES: dict[str, Query] = {name: _query(f) for name, f in {
     "op9_jaccard": _jaccard,
     "op10_topk": _topk,
     "op11_licenses": _licenses,
+    "op12_merkle": _merkle,
 }.items()}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op6_urlfilter": urlfilter.ORACLE, "op10_topk": topk.ORACLE, "op11_licenses": licenses.ORACLE}
+ORACLES: dict[str, str] = {
+    "op6_urlfilter": urlfilter.ORACLE,
+    "op10_topk": topk.ORACLE,
+    "op11_licenses": licenses.ORACLE,
+    "op12_merkle": merkle.ORACLE,
+}
