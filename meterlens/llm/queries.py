@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.llm import bpe, jaccard, langid, licenses, lm, merkle, packing, pii, quality, topk, toxicity, urlfilter
+from meterlens.llm import bpe, jaccard, langid, licenses, lm, merkle, packing, pii, quality, topk, toxicity, trie, urlfilter
 from meterlens.llm.util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,10 @@ def _merkle(spark, sf):
     return merkle.proofs(merkle.build_manifest(table(spark, sf, "documents")))
 
 
+def _trie(spark, sf):
+    return trie.build_trie(table(spark, sf, "conversations")).select(*trie.CONTRACT)
+
+
 QUERIES: dict[str, Query] = {name: _query(f) for name, f in {
     "op1_bpe": _bpe,
     "op2_pii": _pii,
@@ -101,6 +105,7 @@ QUERIES: dict[str, Query] = {name: _query(f) for name, f in {
     "op10_topk": _topk,
     "op11_licenses": _licenses,
     "op12_merkle": _merkle,
+    "op13_trie": _trie,
 }.items()}
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -109,4 +114,5 @@ ORACLES: dict[str, str] = {
     "op10_topk": topk.ORACLE,
     "op11_licenses": licenses.ORACLE,
     "op12_merkle": merkle.ORACLE,
+    "op13_trie": trie.ORACLE,
 }
