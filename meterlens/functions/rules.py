@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from meterlens.config import DEFAULT_THRESHOLDS, RULE_COLUMNS, Thresholds
 from meterlens.functions.features import power_columns
+from meterlens.plans.barrier import materialize
+from meterlens.schema import NUMBERS
 
 
 def severity(count: Column) -> Column:
@@ -56,13 +58,13 @@ def apply_rules(df: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
     return df.withColumn("fraud_severity", severity(F.col("rules_fired_count")))
 
 
-def _num(c: str) -> Column:
+def to_number(text: Column) -> Column:
     """Text -> double, bad text or NaN -> null (pandas ``to_numeric`` coerce)."""
-    text = F.col(c).cast("string")
-    # a JVM parse would also take suffixes such as "3.5d"
-    shaped = text.rlike(r"(?i)^\s*[+-]?(\d+\.?\d*([e][+-]?\d+)?|\.\d+([e][+-]?\d+)?|inf|infinity)\s*$")
-    v = F.when(shaped, F.expr(f"try_cast(`{c}` AS DOUBLE)"))
-    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+    v = text.try_cast("double")
+    last = F.lower(F.substring(F.rtrim(text), -1, 1))
+    # a JVM parse would also take suffixes ("3.5d", "3.5f") and hexadecimal ("0x1p3")
+    odd = (last == "d") | ((last == "f") & ~F.lower(F.rtrim(text)).endswith("inf")) | F.contains(F.lower(text), F.lit("x"))
+    return F.when(v.isNotNull() & ~F.isnan(v) & ~odd, v)
 
 
 def utc_wallclock(ts: Column) -> Column:
@@ -77,9 +79,12 @@ def utc_wallclock(ts: Column) -> Column:
 def utc_event_time(text: Column) -> Column:
     """Text -> UTC wall clock; text without an offset is UTC already, whatever
     the session's time zone is."""
+    # the usual form is a UTC wall clock already; all others are told apart by pattern
+    usual = text.endswith("+00:00") & (F.substring(text, 5, 1) == "-") & (F.substring(text, 11, 1) == "T")
     has_offset = text.rlike(r"(Z|[+-]\d{1,2}(:?\d{2})?|UTC|GMT)\s*$") & text.rlike(r"\d:\d")
-    return F.when(has_offset, utc_wallclock(F.try_to_timestamp(text))).otherwise(
-        text.try_cast("timestamp_ntz"))
+    return (F.when(usual, text.substr(F.lit(1), F.length(text) - 6).try_cast("timestamp_ntz"))
+             .when(has_offset, utc_wallclock(F.try_to_timestamp(text)))
+             .otherwise(text.try_cast("timestamp_ntz")))
 
 
 def score_live(df: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
@@ -95,20 +100,21 @@ def score_live(df: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
     cols = set(df.columns)
     def text(c):
         return F.col(c).cast("string") if c in cols else F.lit(None).cast("string")
-    df = df.withColumns({
-        "consumption_kwh": _num("consumption_kwh") if "consumption_kwh" in cols else F.lit(None).cast("double"),
-        "voltage_v": _num("voltage_v") if "voltage_v" in cols else F.lit(None).cast("double"),
-        "current_a": _num("current_a") if "current_a" in cols else F.lit(None).cast("double"),
-        "frequency_hz": _num("frequency_hz") if "frequency_hz" in cols else F.lit(None).cast("double"),
-        "power_factor": _num("power_factor") if "power_factor" in cols else F.lit(None).cast("double"),
-        "_injected_fraud": F.expr("try_cast(`_injected_fraud` AS BOOLEAN)") if "_injected_fraud" in cols
-            else F.lit(None).cast("boolean"),
-        "event_time": utc_event_time(text("timestamp")),
-    })
-    hour_num = _num("hour") if "hour" in cols else F.lit(None).cast("double")
+    # Parsed once, behind a generator: a filter on a score must not repeat it.  Numbers that
+    # are text share one lambda, as six copies make a method that the JVM doesn't compile.
+    given = df.columns
+    kinds = dict(df.dtypes)
+    typed = [c for c in NUMBERS if kinds.get(c) in ("double", "float", "int", "bigint")]
+    worded = [c for c in NUMBERS if c not in typed]
+    parsed = {"_injected_fraud": text("_injected_fraud").try_cast("boolean"), "event_time": utc_event_time(text("timestamp"))}
+    if worded:
+        parsed["_numbers"] = F.transform(F.array(*[text(c) for c in worded]), to_number)
+    df = materialize(df, [c for c in given if c not in {*worded, *parsed}], parsed)
+    df = df.withColumns({**{c: F.col("_numbers")[i] for i, c in enumerate(worded)},
+                         **{c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in typed}})
     computed, expected = power_columns(th, rounded=False)
     df = df.withColumns({
-        "hour": F.coalesce(hour_num, F.hour("event_time").cast("double")),
+        "hour": F.coalesce("hour", F.hour("event_time").cast("double")),
         "computed_power_w": computed,
         "expected_power_w": expected,
     })
@@ -133,6 +139,7 @@ def score_live(df: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
         "fraud_severity": severity(F.col("rules_fired_count")),
         "minute": F.date_trunc("minute", F.col("event_time")).cast("timestamp_ntz"),
     })
+    df = df.select(*given, *[c for c in df.columns if c not in cols and c != "_numbers"])
     if ordered:
         df = df.orderBy(F.asc_nulls_last("event_time"))
     return df

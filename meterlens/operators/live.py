@@ -30,8 +30,8 @@ def live_window(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) -> Data
     """The dashboard's refresh: newest ``max_messages`` records -> tolerant
     decode -> live scoring.  Every K-operator can run on its output."""
     from meterlens.functions.rules import score_live
-    from meterlens.sources.kafka import decode_valid, latest_messages
-    return score_live(decode_valid(latest_messages(kafka, max_messages)))
+    from meterlens.sources.kafka import decode_live, latest_messages
+    return score_live(decode_live(latest_messages(kafka, max_messages)))
 
 
 def kpi_live(scored: DataFrame) -> DataFrame:

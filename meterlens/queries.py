@@ -33,7 +33,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped records -> tolerant decode -> live scoring."""
-    return score_live(kafka.decode_valid(events.kafka_records(spark, sf_dir)))
+    return score_live(kafka.decode_live(events.kafka_records(spark, sf_dir)))
 
 
 def _mf(op) -> Query:

@@ -23,6 +23,9 @@ READING_SCHEMA = StructType([
 ])
 PAYLOAD_FIELDS = [f.name for f in READING_SCHEMA.fields]
 
+# The numeric fields of live scoring.
+NUMBERS = ["consumption_kwh", "voltage_v", "current_a", "frequency_hz", "power_factor", "hour"]
+
 # Same field names, every value kept as text (tolerant live decode).
 READING_TEXT_SCHEMA = StructType([StructField(f.name, StringType(), True)
                                   for f in READING_SCHEMA.fields])

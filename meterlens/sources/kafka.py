@@ -11,20 +11,22 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from meterlens.config import (
     FRAUD_LABEL, LIVE_MAX_MESSAGES, OK_LABEL, TOPIC, WATERMARK_DELAY,
 )
+from meterlens.functions.rules import to_number
 from meterlens.plans.barrier import materialize
 from meterlens.plans.joins import checkpointed, join_small
-from meterlens.schema import PAYLOAD_FIELDS, READING_SCHEMA, READING_TEXT_SCHEMA
+from meterlens.schema import NUMBERS, PAYLOAD_FIELDS, READING_SCHEMA, READING_TEXT_SCHEMA
 
 
-#: Closes the wrapped payload in ``decode_valid``; a payload that holds it is dropped.
+#: Closes the wrapped payload in ``is_json_object``; a payload that holds it is dropped.
 _END = "end_of_payload_7f3a"
+_JSON = {"allowSingleQuotes": "false"}
 
 
 def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str = TOPIC,
@@ -85,21 +87,49 @@ def decode_valid(kafka: DataFrame, keep: tuple[str, ...] = ("partition", "offset
     badly typed field does not void the others (coercion is ``score_live``'s
     job).  ``keep`` carries Kafka position columns for ordering."""
     keep = [c for c in keep if c in kafka.columns]
+    # the fields leave a generator, so no later filter repeats the parse
+    return _objects(kafka, keep).select(*keep, F.inline(F.array(F.from_json("_text", READING_TEXT_SCHEMA, _JSON))))
+
+
+def decode_live(kafka: DataFrame, keep: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
+    """``decode_valid`` for scoring: the six numbers arrive as doubles.
+
+    A JSON number is read as a double by the one parse; a missing, null or
+    quoted one (``"3.5"``) is looked up again as text and converted as
+    ``score_live`` converts text.  All other fields are text.
+    """
+    keep = [c for c in keep if c in kafka.columns]
+    schema = StructType([StructField(f.name, DoubleType() if f.name in NUMBERS else f.dataType) for f in READING_TEXT_SCHEMA])
+    df = _objects(kafka, keep).select(*keep, "_text", F.inline(F.array(F.from_json("_text", schema, _JSON))))
+    def again(c: str) -> Column:
+        return F.transform(F.array(F.get_json_object("_text", f"$.{c}")), to_number)[0]
+    df = materialize(df, [*keep, *[c for c in PAYLOAD_FIELDS if c not in NUMBERS]],
+                     {c: F.coalesce(c, again(c)) for c in NUMBERS})
+    return df.select(*keep, *PAYLOAD_FIELDS)
+
+
+def _objects(kafka: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``_text`` of the records whose value is UTF-8 text holding one
+    JSON object.  The value may be computed itself, so it is taken once."""
     df = materialize(kafka, keep, {"_text": F.col("value").cast("string")})
     text = F.col("_text")
-    # One parse of the text as the first of two array elements: trailing text,
-    # a second object, an array or a scalar leaves another count, or null.
-    # NaN/Infinity are accepted, as Python's json accepts them.
-    schema = ArrayType(StructType(READING_TEXT_SCHEMA.fields + [StructField(_END, StringType())]))
-    wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"1"}}]'))
-    df = materialize(df, keep, {
-        "_utf8": F.is_valid_utf8(text) & ~F.contains(text, F.lit(_END)),
-        "_rec": F.from_json(wrapped, schema, {"allowSingleQuotes": "false"}),
-    })
-    ok = (F.col("_utf8") & (F.size("_rec") == 2) & F.col("_rec")[0].isNotNull()
-          & F.col("_rec")[1][_END].isNotNull())
-    return (df.filter(ok).withColumn("_record", F.col("_rec")[0])
-              .select(*keep, *[F.col(f"_record.{c}").alias(c) for c in PAYLOAD_FIELDS]))
+    return df.filter(F.is_valid_utf8(text) & ~F.contains(text, F.lit(_END)) & is_json_object(text))
+
+
+def is_json_object(value: Column) -> Column:
+    """Whether ``value`` is one JSON object and nothing else.
+
+    The text becomes the first of two array elements, so that trailing text, a second
+    object or a closing bracket leaves something else than the mark in the
+    second place.  A VARIANT parse answers at once for nearly all texts.  It
+    refuses NaN, Infinity and repeated names, which Python's json accepts;
+    only texts it refuses are judged by a second, lenient parse.
+    """
+    wrapped = F.concat(F.lit("["), value, F.lit(f',{{"{_END}":"1"}}]'))
+    marked = F.try_variant_get(F.try_parse_json(wrapped), f"$[1].{_END}", "string")
+    pair = F.from_json(wrapped, ArrayType(StructType([StructField(_END, StringType())])), _JSON)
+    lenient = (F.size(pair) == 2) & pair[0].isNotNull() & pair[1][_END].isNotNull()
+    return (F.substring(F.ltrim(value, F.lit(" \t\n\r")), 1, 1) == "{") & F.coalesce(F.when(marked.isNotNull(), True), lenient, F.lit(False))
 
 
 def latest_messages(kafka: DataFrame, max_messages: int = LIVE_MAX_MESSAGES) -> DataFrame:
