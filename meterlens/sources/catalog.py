@@ -17,6 +17,7 @@ from meterlens.schema import (
     ALERT_PARTITIONS, PROCESSED_PARTITIONS, PROCESSED_ZONE_SCHEMA, RAW_PARTITIONS,
     RAW_ZONE_SCHEMA, ddl,
 )
+from meterlens.sources.manifest import EPOCH, follows_manifest, manifest_of, read_published
 
 ZONE_TABLES = {
     "raw_readings": (RAW_ZONE_SCHEMA, RAW_PARTITIONS),
@@ -68,9 +69,20 @@ def register_stream_zone_view(spark: SparkSession, db: str, table: str, path: st
               f"SELECT {cols} FROM parquet.`{path}`")
 
 
+def register_manifest_zone_view(spark: SparkSession, db: str, table: str, path: str) -> None:
+    """Persistent view over a zone that follows a manifest: the folders of
+    published attempts, listed anew by every query."""
+    schema, _ = ZONE_TABLES[table]
+    cols = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{table}` AS SELECT {cols} FROM parquet.`{path}` "
+              f"WHERE `{EPOCH}` IN (SELECT substring_index(path, '@', -1) FROM binaryFile.`{manifest_of(path)}`)")
+
+
 def register_zone(spark: SparkSession, db: str, table: str, path: str) -> None:
-    """Table for a batch-written zone, view for a streaming-sink zone."""
-    if is_stream_sink(spark, path):
+    """Table for a batch-written zone, view for one written by streams."""
+    if follows_manifest(spark, path):
+        register_manifest_zone_view(spark, db, table, path)
+    elif is_stream_sink(spark, path):
         register_stream_zone_view(spark, db, table, path)
     else:
         register_zone_table(spark, db, table, path)
@@ -84,6 +96,8 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
 def read_zone(spark: SparkSession, path: str, table: str = "meter_features") -> DataFrame:
     """Path read with the declared schema (else ``date`` is inferred as DATE)."""
     schema, _ = ZONE_TABLES[table]
+    if follows_manifest(spark, path):
+        return read_published(spark, path, schema)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -145,6 +159,6 @@ def write_zone(df: DataFrame, path: str, table: str, mode: str = "append",
 
 
 __all__ = ["scope", "create_database", "register_zone_table", "register_zone",
-           "register_stream_zone_view", "is_stream_sink", "recover_partitions", "read_zone",
+           "register_manifest_zone_view", "register_stream_zone_view", "is_stream_sink", "recover_partitions", "read_zone",
            "register_zone_view", "show_tables", "describe_table", "run_query", "copy_zone_orc",
            "export_summary_csv", "write_zone", "ZONE_TABLES"]

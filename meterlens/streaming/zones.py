@@ -8,6 +8,7 @@ loses nor duplicates rows.  Checkpoints live under the cluster's shared
 
 from __future__ import annotations
 
+import json
 import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ from meterlens.operators.alerts import ALERT_FEED_COLUMNS
 from meterlens.plans.writes import FILES_PER_BATCH, cluster_for_write
 from meterlens.schema import ALERT_PARTITIONS, PROCESSED_PARTITIONS, RAW_PARTITIONS
 from meterlens.sources.kafka import parse_readings
+from meterlens.sources.manifest import EPOCH, manifest_of, new_attempt, open_manifest, publish, published
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,10 @@ class ZonePaths:
         return cls(os.path.join(base, "raw"), os.path.join(base, "processed"),
                    os.path.join(base, "alerts"), ck)
 
+    @property
+    def manifest(self) -> str:
+        return manifest_of(self.raw)
+
     def checkpoint(self, query: str) -> str:
         return os.path.join(self.checkpoints, query)
 
@@ -128,52 +134,73 @@ def run_pipeline(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
     return qs
 
 
-def _batch_marker(spark: SparkSession, paths: ZonePaths, zone: str, epoch: int):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(os.path.join(paths.checkpoint("zones_batch"), "done", zone, str(epoch)))
-    return p.getFileSystem(conf), p
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's lasting id, from its checkpoint: epochs count anew with a new one."""
+    lines = spark.read.text(os.path.join(checkpoint, "metadata")).collect()  # one line
+    return json.loads(lines[0][0])["id"]
+
+
+def write_epoch(batch: DataFrame, epoch: str, paths: ZonePaths,
+                files_per_partition: int | None = FILES_PER_BATCH) -> bool:
+    """Write one micro-batch to all zones and publish them together.
+
+    False if the epoch was published before.  The batch is decoded once and
+    clustered once by (date, meter), with a salt of the Kafka position where
+    a directory may get several files; raw and processed rows are written
+    from that layout, and only the flagged rows move again, by date.
+    """
+    spark = batch.sparkSession
+    if epoch in published(spark, paths.manifest):
+        return False
+    open_manifest(spark, paths.manifest, [paths.raw, paths.processed, paths.alerts])
+    attempt = new_attempt(epoch)
+    fpp = files_per_partition
+    raw = parse_readings(batch, watermark=None)
+    if fpp:
+        salt = [F.pmod(F.xxhash64("kafka_key", "kafka_timestamp"), F.lit(fpp))] if fpp > 1 else []
+        raw = raw.repartition(*RAW_PARTITIONS, *salt)
+    raw = raw.persist()
+    scored = apply_rules(add_features(raw))
+    flagged = scored.filter(F.col("is_fraud_flagged"))
+    if fpp:
+        flagged = cluster_for_write(flagged, ALERT_PARTITIONS, fpp)
+
+    def write(df: DataFrame, parts, path: str) -> None:
+        (df.withColumn(EPOCH, F.lit(attempt)).write.mode("append").partitionBy(*parts, EPOCH).parquet(path))
+
+    try:
+        write(raw, RAW_PARTITIONS, paths.raw)  # fills the cache for the other two, which need not wait for each other
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            jobs = [pool.submit(write, scored, PROCESSED_PARTITIONS, paths.processed),
+                    pool.submit(write, flagged, ALERT_PARTITIONS, paths.alerts)]
+            for j in jobs:
+                j.result()
+    finally:
+        raw.unpersist()
+    publish(spark, paths.manifest, epoch, attempt)
+    return True
 
 
 def write_zones_batch(kafka: DataFrame, paths: ZonePaths, trigger=TRIGGER_INTERVAL,
                       files_per_partition: int | None = FILES_PER_BATCH) -> StreamingQuery:
-    """One query for all zones: each micro-batch is read and decoded once,
-    persisted while its zones are written, and appended to raw, processed and alerts.
-
-    A per-(zone, batch) marker in the checkpoint makes a replayed batch skip
-    the zones it already wrote, so a restart after a failure does not
-    duplicate rows.  ``files_per_partition`` clusters rows by the partition
-    columns before writing (at most that many files per directory) to avoid
-    many small files; None writes as the input is partitioned.
+    """One query for all zones: each micro-batch is read and decoded once.
+
+    A micro-batch appears in all three zones at once or in none
+    (``sources.manifest``): a driver lost at any step leaves folders that no
+    reader follows, and the replayed batch is written anew; a batch that was
+    published is skipped.  ``read_zone`` follows the manifest.
+    ``files_per_partition`` bounds the files a directory gets from a
+    micro-batch; None writes as the input is partitioned.
     """
-    spark = kafka.sparkSession
-
-    def write_zone(zone: str, df: DataFrame, parts, path: str, epoch: int) -> None:
-        fs, marker = _batch_marker(spark, paths, zone, epoch)
-        if fs.exists(marker):
-            return
-        if files_per_partition:
-            df = cluster_for_write(df, parts, files_per_partition)
-        df.write.mode("append").partitionBy(*parts).parquet(path)
-        fs.create(marker, True).close()
+    checkpoint = paths.checkpoint("zones_batch")
+    ids: list[str] = []
 
     def write(batch: DataFrame, epoch: int):
-        raw = parse_readings(batch, watermark=None).persist()
-        scored = apply_rules(add_features(raw))
-        jobs = [("raw", raw, RAW_PARTITIONS, paths.raw),
-                ("processed", scored, PROCESSED_PARTITIONS, paths.processed),
-                ("alerts", scored.filter(F.col("is_fraud_flagged")), ALERT_PARTITIONS, paths.alerts)]
-        try:
-            # the first write decodes the batch and fills the cache for the others,
-            # which are independent of each other
-            write_zone(*jobs.pop(0), epoch)
-            with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-                for f in [pool.submit(write_zone, *job, epoch) for job in jobs]:
-                    f.result()
-        finally:
-            raw.unpersist()
+        if not ids:
+            ids.append(_query_id(batch.sparkSession, checkpoint))
+        write_epoch(batch, f"{ids[0]}-{epoch:010d}", paths, files_per_partition)
 
     w = (kafka.writeStream.foreachBatch(write)
-              .option("checkpointLocation", paths.checkpoint("zones_batch"))
+              .option("checkpointLocation", checkpoint)
               .queryName("zones_batch"))
     return _trigger(w, trigger).start()
