@@ -8,8 +8,9 @@ vector, a covering radius and each entry's distance to it, below inner nodes
 with the same.  A block of queries is searched best first: a node is entered
 only if its distance less its radius can beat the query's k-th score so far,
 and |d(query, parent) - d(entry, parent)| rules entries out before any
-product with them is computed.  Scores are exact integers; bounds carry a
-slack far above their rounding.
+product with them is computed.  Scores are exact integers: products of doubles
+where all sums stay below 2^53, of longs below 2^63, of Python integers beyond;
+bounds carry a slack far above their rounding.
 
 All rows are searched for all queries: queries are packed in blocks and each
 block meets each tree once; every task holds one tree and one block, both of
@@ -19,11 +20,14 @@ Edge cases: vectors that are null, or hold null or non-finite components,
 take no part; neither do rows without an id; shorter vectors count as padded
 with zeros; rows that repeat a query's id are not its candidates, and one of
 them (the smallest vector) is the query; equal scores rank by the smaller
-id; with fewer than k candidates all are returned; an empty table gives no rows.
+id; with fewer than k candidates all are returned; an empty table gives no rows;
+a component too large for ``256 * x`` in a double counts as non-finite; ranks
+are exact for all others, and a score beyond a long is returned as the nearest long.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +38,14 @@ from pyspark.sql import functions as F
 
 SCALE = 256
 EVERY = 50
+LONG = 2 ** 63 - 1
 TOP = 5
 #: Vectors of a leaf page, pages of an inner node, vectors of a tree, queries of a block.
 PAGE, FANOUT, TREE, BLOCK = 128, 16, 16_384, 512
 
 
 def _integers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, int64 matrix) of the rows that take part."""
+    """(ids, matrix) of the rows that take part; a floor of a double is a double, so nothing is lost."""
     lists = batch.column("embedding")
     ok = pc.and_(lists.is_valid(), batch.column("vec_id").is_valid())
     batch = batch.filter(ok)
@@ -52,9 +57,11 @@ def _integers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
     x = np.zeros((len(size), dim))
     x[row, place] = flat
+    with np.errstate(over="ignore", invalid="ignore"):
+        x = np.floor(x * SCALE)
     good = np.isfinite(x).all(axis=1)
     ids = batch.column("vec_id").to_numpy(zero_copy_only=False).astype(np.int64)
-    return ids[good], np.floor(x[good] * SCALE).astype(np.int64)
+    return ids[good], x[good]
 
 
 def _lifted(x: np.ndarray) -> tuple[np.ndarray, float]:
@@ -98,20 +105,32 @@ class Tree:
         self.node_radius = np.array([(d + self.radius[n]).max() for n, d in zip(self.nodes, self.page_parent)])
         self.largest = int(np.abs(x).max()) if x.size else 0
 
-    def search(self, ids: np.ndarray, q: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, ids) of the best ``top`` per query; id -1 where there is none."""
+    @staticmethod
+    def _best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
+        """Places of the ``top`` largest scores of each row, ties by id."""
+        if scores.dtype == object:
+            return np.array([sorted(range(len(i)), key=lambda c: (-s[c], i[c]))[:top]  # noqa: B023
+                             for s, i in zip(scores.tolist(), ids.tolist())])
+        return np.lexsort((ids, -scores), axis=-1)[:, :top]
+
+    def search(self, ids: np.ndarray, q: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(scores, ids) of the best ``top`` per query, and which of them there are."""
         dim = max(q.shape[1], self.x.shape[1])
         x = np.pad(self.x, ((0, 0), (0, dim - self.x.shape[1])))
         wide = self.pivot.shape[1] - 1
-        exact = dim * self.largest * int(np.abs(q).max(initial=0)) < 2 ** 52
+        bound = dim * self.largest * int(np.abs(q).max(initial=0))
         q = np.pad(q, ((0, 0), (0, dim - q.shape[1])))
-        num = np.float64 if exact else np.int64
-        xs, qs = x.astype(num), q.astype(num)
+        kind = np.float64 if bound < 2 ** 52 else np.int64 if bound < 2 ** 62 else object
+        if kind is object:
+            xs, qs = (np.array([[int(c) for c in row] for row in m.tolist()], dtype=object).reshape(m.shape) for m in (x, q))
+        else:
+            xs, qs = x.astype(kind), q.astype(kind)
+        lowest = -math.inf if kind is object else -2 ** 62  # below every score; what has it is missing
         qf = np.column_stack([q[:, :wide].astype(np.float64), np.zeros(len(q))])
         own = (qf * qf).sum(axis=1)
         slack = 1e-6 * (1 + np.sqrt(own + self.norm))
-        score = np.full((len(q), top), np.iinfo(np.int64).min)
-        found = np.full((len(q), top), -1, dtype=np.int64)
+        score = np.full((len(q), top), lowest, dtype=object if kind is object else np.int64)
+        found = np.zeros((len(q), top), dtype=np.int64)
         reach = np.full(len(q), np.inf)  # distance of the k-th best, with slack
 
         def distance(rows: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -123,22 +142,22 @@ class Tree:
             if not len(col):
                 return
             at = self.pages[page][col]
-            s = (qs[rows] @ xs[at].T).astype(np.int64)
+            s = (qs[rows] @ xs[at].T).astype(score.dtype)
+            own_row = self.ids[at][None, :] == ids[rows][:, None]
+            s = np.where(own_row, lowest, s)
             mine = np.broadcast_to(self.ids[at], s.shape)
-            s = np.where(mine == ids[rows][:, None], np.iinfo(np.int64).min, s)
-            better = np.flatnonzero((s >= score[rows, -1:]).any(axis=1))
+            better = np.flatnonzero(((s >= score[rows, -1:]) & ~own_row).any(axis=1))
             if not len(better):
                 return
             r = rows[better]
             all_s = np.concatenate([score[r], s[better]], axis=1)
             all_i = np.concatenate([found[r], mine[better]], axis=1)
-            all_i = np.where(all_s == np.iinfo(np.int64).min, -1, all_i)
-            order = np.lexsort((all_i, -all_s.astype(np.float64) if exact else -all_s), axis=-1)[:, :top]
+            order = self._best(all_s, all_i, top)
             score[r] = np.take_along_axis(all_s, order, axis=1)
             found[r] = np.take_along_axis(all_i, order, axis=1)
-            full = found[r, -1] >= 0
-            gap = own[r] + self.norm - 2 * score[r, -1].astype(np.float64)
-            reach[r] = np.where(full, np.sqrt(np.maximum(gap, 0)) + slack[r], np.inf)
+            full = score[r, -1] > lowest
+            gap = np.where(full, own[r] + self.norm - 2 * score[r, -1].astype(np.float64), np.inf)
+            reach[r] = np.sqrt(np.maximum(gap, 0)) + slack[r]
 
         every = np.arange(len(q))
         d_node = np.array([distance(every, p) for p in self.node_pivot]).T
@@ -164,11 +183,19 @@ class Tree:
                     enter = dp - self.radius[page] <= reach[r]
                     if enter.any():
                         scan(page, r[enter], dp[enter])
-        return score, found
+        return score, found, (score > lowest).astype(bool)
+
+
+def _sort_key(score: int) -> bytes:
+    """Bytes that compare as the integers do, whatever their size."""
+    size = (abs(score).bit_length() + 7) // 8
+    if score >= 0:
+        return (32768 + size).to_bytes(2, "big") + score.to_bytes(size, "big")
+    return (32767 - size).to_bytes(2, "big") + bytes(255 - b for b in (-score).to_bytes(size, "big"))
 
 
-def _blob(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x, dtype="<i8").tobytes()
+def _blob(x: np.ndarray, kind: str) -> bytes:
+    return np.ascontiguousarray(x, dtype=kind).tobytes()
 
 
 def _packed(vectors: DataFrame, rows_each: int, name: str) -> DataFrame:
@@ -183,7 +210,7 @@ def _packed(vectors: DataFrame, rows_each: int, name: str) -> DataFrame:
             ids = np.concatenate([i for i, _ in kept])
             x = np.concatenate([np.pad(x, ((0, 0), (0, dim - x.shape[1]))) for _, x in kept])
             kept.clear()
-            return pa.RecordBatch.from_arrays([pa.array([_blob(ids)], pa.binary()), pa.array([_blob(x)], pa.binary()),
+            return pa.RecordBatch.from_arrays([pa.array([_blob(ids, "<i8")], pa.binary()), pa.array([_blob(x, "<f8")], pa.binary()),
                                                pa.array([dim], pa.int32())], [f"{name}_ids", f"{name}_x", f"{name}_dim"])
         for b in batches:
             ids, x = _integers(b)
@@ -219,18 +246,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
                 if get("tree") != last:
                     last = get("tree")
                     ids = np.frombuffer(get("t_ids"), "<i8")
-                    tree = Tree(ids, np.frombuffer(get("t_x"), "<i8").reshape(len(ids), get("t_dim")))
+                    tree = Tree(ids, np.frombuffer(get("t_x"), "<f8").reshape(len(ids), get("t_dim")))
                 ids = np.frombuffer(get("q_ids"), "<i8")
-                score, found = tree.search(ids, np.frombuffer(get("q_x"), "<i8").reshape(len(ids), get("q_dim")), top)
-                hit = found >= 0
+                score, found, hit = tree.search(ids, np.frombuffer(get("q_x"), "<f8").reshape(len(ids), get("q_dim")), top)
+                exact = [int(v) for v in score[hit].tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids, hit.sum(axis=1))), pa.array(found[hit]), pa.array(score[hit])],
-                    ["query_id", "vec_id", "score"])
+                    [pa.array(np.repeat(ids, hit.sum(axis=1))), pa.array(found[hit]),
+                     pa.array([max(-LONG, min(LONG, v)) for v in exact], pa.int64()),
+                     pa.array([_sort_key(v) for v in exact], pa.binary())], ["query_id", "vec_id", "score", "exact"])
 
     got = (pairs.sortWithinPartitions("tree")
                 .select("tree", "t_ids", "t_x", "t_dim", "q_ids", "q_x", "q_dim")
-                .mapInArrow(search, "query_id long, vec_id long, score long"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+                .mapInArrow(search, "query_id long, vec_id long, score long, exact binary"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("exact"), "vec_id"))
     return (got.withColumn("rank", rank).filter(F.col("rank") <= top)
                .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
