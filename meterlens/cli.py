@@ -56,15 +56,14 @@ def _register(spark: SparkSession, a) -> None:
 
 def _report(spark: SparkSession, a) -> None:
     mf = catalog.read_zone(spark, a.zone, "meter_features")
-    s = summary.report_summary(mf).persist()
+    frames = summary.report_frames(mf)  # one scan of the zone
+    s = frames["summary"]
     catalog.export_summary_csv(s, os.path.join(a.out, "fraud_summary"))
-    for name, df in (("meter_table", summary.meter_table(s)), ("hourly", summary.report_hourly(mf)),
-                     ("daily_trend", summary.report_daily_trend(mf)),
-                     ("severity", summary.report_severity(mf))):
+    for name, df in (("meter_table", summary.meter_table(s)), ("hourly", frames["hourly"]),
+                     ("daily_trend", frames["daily_trend"]), ("severity", frames["severity"])):
         df.write.mode("overwrite").parquet(os.path.join(a.out, name))
     totals = summary.fleet_totals(s).first().asDict()
     print(json.dumps(totals))
-    s.unpersist()
 
 
 def main(argv=None) -> None:

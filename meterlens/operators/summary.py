@@ -13,7 +13,7 @@ from meterlens.config import DEFAULT_THRESHOLDS, RISK_BANDS, RULE_COLUMNS, Thres
 from meterlens.operators.overview import flag_int, rate_pct
 from meterlens.operators.quantiles import exact_quantiles, group_key
 from meterlens.operators.rule_stats import unpivot_sums
-from meterlens.plans.joins import join_small
+from meterlens.plans.joins import checkpointed, join_small
 
 RULE_FIRE_COLUMNS = [f"rule{i + 1}_fires" for i in range(len(RULE_COLUMNS))]
 
@@ -83,6 +83,42 @@ def report_severity(mf: DataFrame) -> DataFrame:
               .groupBy("fraud_severity").agg(F.count(F.lit(1)).alias("count")))
 
 
+def report_frames(mf: DataFrame) -> dict[str, DataFrame]:
+    """``summary``, ``hourly``, ``daily_trend`` and ``severity`` of the report from
+    one scan: grouping sets over the four keys, combined before one shuffle,
+    and the few rows left kept in a checkpoint that the frames read."""
+    groups = ["meter_id", "location", "hour", "date", "fraud_severity"]
+    kwh = F.col("consumption_kwh")
+    names = {(0, 1): "summary", (2,): "hourly", (3,): "daily_trend", (4,): "severity"}
+    aggs = [F.count(F.lit(1)).alias("total_readings"), F.sum(flag_int()).alias("fraud_flag_count"),
+            F.avg(kwh).alias("_avg"), F.stddev_pop(kwh).alias("_std"), F.avg("voltage_v").alias("_volt"),
+            F.max("voltage_v").alias("_max_volt"), F.count_if("is_fraud_flagged").alias("_flagged"),
+            *[F.sum(F.col(r).cast("int")).alias(n) for r, n in zip(RULE_COLUMNS, RULE_FIRE_COLUMNS)],
+            *[F.sum(F.when(F.col("fraud_severity") == s, 1).otherwise(0)).alias(f"{s.lower()}_alerts")
+              for s in ("HIGH", "MEDIUM", "LOW")]]
+    # the grouped columns are copies: within a grouping set the others read as null
+    keyed = mf.withColumns({f"_g{i}": F.col(c) for i, c in enumerate(groups)})
+    sets = [[F.col(f"_g{i}") for i in key] for key in names]
+    all_rows = checkpointed(keyed.groupingSets(sets, *[F.col(f"_g{i}") for i in range(len(groups))])
+                                 .agg(F.grouping_id().alias("_set"), *aggs))
+
+    def part(key: tuple) -> DataFrame:
+        absent = sum(1 << (len(groups) - 1 - i) for i in range(len(groups)) if i not in key)
+        return all_rows.filter(F.col("_set") == absent).withColumnsRenamed({f"_g{i}": groups[i] for i in key})
+
+    whole = (part((0, 1)).withColumns({"avg_kwh": F.round("_avg", 4), "stddev_kwh": F.round("_std", 4),
+                                       "avg_voltage": F.round("_volt", 2), "max_voltage": F.round("_max_volt", 2),
+                                       "fraud_rate_pct": rate_pct(F.col("fraud_flag_count"), F.col("total_readings"))})
+             .select("meter_id", "location", "total_readings", "fraud_flag_count", "fraud_rate_pct", "avg_kwh", "stddev_kwh",
+                     "avg_voltage", "max_voltage", *RULE_FIRE_COLUMNS, "high_alerts", "medium_alerts", "low_alerts")
+             .orderBy(F.desc("fraud_flag_count"), "meter_id", "location"))
+    hourly = part((2,)).select("hour", F.round("_avg", 4).alias("avg_kwh"), F.col("fraud_flag_count").alias("fraud_count")).orderBy("hour")
+    daily = part((3,)).select(F.col("date").alias("event_date"), F.round("_avg", 4).alias("daily_avg_kwh"),
+                              F.col("fraud_flag_count").alias("daily_fraud_count")).orderBy("event_date")
+    severity = part((4,)).filter("_flagged > 0").select("fraud_severity", F.col("_flagged").alias("count"))
+    return {"summary": whole, "hourly": hourly, "daily_trend": daily, "severity": severity}
+
+
 def meter_risk_band(summary: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Colour band per meter: rate > 30 red, > 10 orange, else green."""
     rate = F.col("fraud_rate_pct")

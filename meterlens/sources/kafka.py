@@ -186,3 +186,38 @@ def topic_partition_stats(kafka: DataFrame) -> DataFrame:
                 (F.max("offset") + 1).alias("end_offset"),
                 F.count(F.lit(1)).alias("messages"))
               .orderBy("topic", "partition"))
+
+
+def committed_offsets(spark: SparkSession, checkpoint: str, source: int = 0) -> DataFrame:
+    """``topic, partition, committed``: the next offset to read of each
+    partition, from the newest batch that a stream's checkpoint has committed.
+
+    The offset log's line ``source`` (after its version and its metadata) is
+    the Kafka source's JSON of topics and partitions.  No rows before the first commit.
+    """
+    log = spark.read.text(f"{checkpoint.rstrip('/')}/commits", wholetext=True).select(_batch_id()).agg(F.max("batch"))
+    newest = log.first()[0]
+    schema = "topic string, partition int, committed long"
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{newest}", wholetext=True)
+    line = F.split("value", "\n")[2 + source]
+    topics = text.select(F.explode(F.from_json(line, "map<string,map<string,bigint>>")).alias("topic", "at"))
+    return topics.select("topic", F.explode("at").alias("partition", "committed")).select(
+        "topic", F.col("partition").cast("int").alias("partition"), "committed")
+
+
+def _batch_id() -> Column:
+    name = F.col("_metadata.file_name")
+    return F.when(name.rlike("^[0-9]+$"), name.cast("long")).alias("batch")
+
+
+def consumer_lag(kafka: DataFrame, committed: DataFrame) -> DataFrame:
+    """Per partition of the topic: begin, end, the stream's committed offset
+    and how many messages it has yet to read (all of a partition it has not
+    seen; those behind the beginning are gone and do not count)."""
+    ends = topic_partition_stats(kafka).select("topic", "partition", "begin_offset", "end_offset")
+    at = F.greatest("begin_offset", F.coalesce("committed", F.lit(0)))
+    return (join_small(ends, committed, ["topic", "partition"], "left")
+            .withColumn("lag", F.greatest(F.lit(0).cast("long"), F.col("end_offset") - at))
+            .select("topic", "partition", "begin_offset", "end_offset", "committed", "lag").orderBy("topic", "partition"))

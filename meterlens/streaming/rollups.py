@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.config import WATERMARK_DELAY
+from meterlens.config import SEVERITY_LABELS, WATERMARK_DELAY
 from meterlens.operators.live import kpi_row, severity_mix
+from meterlens.operators.rule_stats import unpivot_sums
 
 
 def with_watermark(df: DataFrame, watermark: str | None, col: str = "event_time") -> DataFrame:
@@ -53,3 +54,42 @@ def stream_rollups(scored: DataFrame) -> dict[str, DataFrame]:
              .withColumn("risk_rate", F.bround(F.try_divide(F.col("alerts").cast("double"),
                                                              F.col("events")) * 100, 1)))
     return {"kpi": kpi, "severity": severity, "zones": zones}
+
+
+def stream_minute_state(scored: DataFrame) -> DataFrame:
+    """One mergeable state for all rollups: a row per (minute, location,
+    severity) with counts, sums, the newest event time and an HLL sketch of the meters.
+
+    One source read and one stateful query; use ``update`` or ``complete``
+    output and keep the newest row of each key.  ``rollups_of`` derives the dashboard's
+    frames from any union of such rows, over any span of minutes.
+    """
+    return scored.groupBy(F.date_trunc("minute", "event_time").alias("minute"), "location", "fraud_severity").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum(F.col("is_fraud_flagged").cast("int")).alias("alerts"),
+        F.count("meter_id").alias("with_meter"), F.sum("consumption_kwh").alias("kwh_sum"),
+        F.count("consumption_kwh").alias("kwh_count"), F.max("event_time").alias("last_event_time"),
+        F.hll_sketch_agg("meter_id").alias("meters"))
+
+
+def rollups_of(state: DataFrame) -> dict[str, DataFrame]:
+    """``kpi``, ``severity`` and ``zones`` from rows of ``stream_minute_state``,
+    with the columns of ``kpi_live``, ``severity_mix`` and ``zone_risk``.
+    Active meters are the merged sketches' estimate (about 1.6 %, nearly exact for small fleets)."""
+    messages, alerts = (F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in ("messages", "alerts"))
+    kpi = state.agg(messages.alias("messages"), alerts.alias("fraud_alerts"),
+                    F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("meters")), F.lit(0)).alias("active_meters"),
+                    (F.sum("kwh_sum") / F.nullif(F.sum("kwh_count"), F.lit(0))).alias("_avg"),
+                    F.max("last_event_time").alias("last_event_time"))
+    kpi = kpi.select(
+        "messages", "fraud_alerts",
+        F.when(F.col("messages") == 0, F.lit(0.0))
+         .otherwise(F.round(F.try_divide("fraud_alerts", "messages") * 100, 1)).alias("alert_rate_pct"),
+        "active_meters", F.when(F.col("messages") == 0, F.lit(0.0)).otherwise(F.round("_avg", 2)).alias("avg_kwh"),
+        "last_event_time", F.date_format("last_event_time", "HH:mm:ss 'UTC'").alias("last_event_label"))
+    counts = state.agg(*[F.coalesce(F.sum(F.when(F.col("fraud_severity") == s, F.col("messages"))), F.lit(0)).cast("long").alias(s)
+                         for s in SEVERITY_LABELS])
+    zones = (state.filter(F.col("location").isNotNull()).groupBy("location")
+                  .agg(F.sum("with_meter").alias("events"), F.sum("alerts").alias("alerts")))
+    rate = F.try_divide(F.col("alerts").cast("double"), F.col("events")) * 100
+    return {"kpi": kpi, "severity": unpivot_sums(counts, list(SEVERITY_LABELS), "severity", "events"),
+            "zones": zones.withColumn("risk_rate", F.bround(rate, 1))}

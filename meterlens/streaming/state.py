@@ -1,4 +1,10 @@
-"""Stateful streaming rolling baseline (per meter, event time)."""
+"""Stateful streaming rolling baseline (per meter and time bucket, event time).
+
+State and groups are keyed by (meter, bucket): a reading whose window's
+successors may lie in the next bucket goes there too, as context.  So a
+micro-batch of one busy meter spreads over its buckets, and no state holds
+more than a bucket and a window.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +25,8 @@ from meterlens.streaming.rollups import with_watermark
 
 OUT_SCHEMA = ("meter_id string, timestamp string, event_time timestamp, consumption_kwh double, "
               "rolling_mean_kwh double, rolling_count long")
+#: Groups that a meter's undated rows spread over.
+UNDATED = 16
 STATE_SCHEMA = "ts array<long>, kwh array<double>"
 
 
@@ -29,6 +37,7 @@ def _rolling_step(h_ts: np.ndarray, h_kwh: np.ndarray, batch: pd.DataFrame, wind
     itself, so no reading outside a window can blur its mean.  Returns the
     output frame and the merged, time-sorted (ts, kWh) arrays.
     """
+    shown = ~batch["context"].astype(bool).to_numpy()
     us = batch["event_us"]
     known = us.notna().to_numpy()
     b_ts = us.fillna(0).astype("int64").to_numpy()
@@ -51,7 +60,23 @@ def _rolling_step(h_ts: np.ndarray, h_kwh: np.ndarray, batch: pd.DataFrame, wind
         "meter_id": batch["meter_id"], "timestamp": batch["timestamp"],
         "event_time": batch["event_time"], "consumption_kwh": kwh,
         "rolling_mean_kwh": np.round(mean, 6), "rolling_count": pd.arrays.IntegerArray(cnt.astype("int64"), ~known)})
-    return out, all_ts, all_kwh
+    return out[shown], all_ts, all_kwh
+
+
+def _bucketed(readings: DataFrame, window_us: int, bucket_us: int) -> DataFrame:
+    """Rows with the bucket they belong to, and again, as context, in the next
+    one where they lie within a window of it.  Undated rows have no window;
+    they spread over buckets below zero by their hash."""
+    if window_us > bucket_us:
+        raise ValueError("bucket must be at least as wide as the window")
+    us = F.unix_micros("event_time")
+    own = F.floor(us / bucket_us).cast("long")
+    spread = (-1 - F.pmod(F.xxhash64("timestamp", "consumption_kwh"), F.lit(UNDATED))).cast("long") - (1 << 40)
+    tail = us - own * bucket_us >= bucket_us - window_us
+    df = readings.select("meter_id", "timestamp", "event_time", "consumption_kwh", us.alias("event_us"),
+                         F.coalesce(own, spread).alias("own"),
+                         F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(F.coalesce(own, spread)))).alias("bucket"))
+    return df.withColumn("context", F.col("bucket") != F.col("own")).drop("own")
 
 
 def _rolling_fn(window_us: int):
@@ -116,31 +141,28 @@ class RollingBaselineProcessor(StatefulProcessor):
 
 
 def stream_rolling_baseline(readings: DataFrame, window: str = "30 minutes",
-                            watermark: str = WATERMARK_DELAY) -> DataFrame:
+                            watermark: str = WATERMARK_DELAY, bucket: str = "1 hour") -> DataFrame:
     """Streaming version of ``rolling_baseline``: per meter, mean kWh of the
     readings in ``[t - window, t)`` seen so far.
 
-    State per meter holds only readings newer than ``watermark - window``
-    and is dropped by an event-time timeout once the meter goes quiet, so it
-    is bounded by the data rate, not by history.  With in-order input the
+    A group is one meter's ``bucket`` of time.  Its state holds only readings newer than
+    ``watermark - window`` and is dropped by an event-time timeout, so it is
+    bounded by the data rate, not by history.  With in-order input the
     values equal the batch operator; a reading arriving after later ones
     does not revise rows already emitted (append mode).
     """
-    df = readings.select("meter_id", "timestamp", "event_time", "consumption_kwh",
-                         F.unix_micros("event_time").alias("event_us"))
-    df = with_watermark(df, watermark)
-    return df.groupBy("meter_id").applyInPandasWithState(
-        _rolling_fn(_micros(window)), OUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    w_us = _micros(window)
+    df = _bucketed(with_watermark(readings, watermark), w_us, _micros(bucket))
+    return df.groupBy("meter_id", "bucket").applyInPandasWithState(
+        _rolling_fn(w_us), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_rolling_baseline_tws(readings: DataFrame, window: str = "30 minutes",
-                                watermark: str = WATERMARK_DELAY) -> DataFrame:
+                                watermark: str = WATERMARK_DELAY, bucket: str = "1 hour") -> DataFrame:
     """Same result as ``stream_rolling_baseline`` with ``transformWithStateInPandas``
     (list state + event-time timers).  Needs the RocksDB state store
     (``spark.sql.streaming.stateStore.providerClass``)."""
-    df = readings.select("meter_id", "timestamp", "event_time", "consumption_kwh",
-                         F.unix_micros("event_time").alias("event_us"))
-    df = with_watermark(df, watermark)
-    return df.groupBy("meter_id").transformWithStateInPandas(
-        RollingBaselineProcessor(_micros(window)), OUT_SCHEMA, "Append", "EventTime")
+    w_us = _micros(window)
+    df = _bucketed(with_watermark(readings, watermark), w_us, _micros(bucket))
+    return df.groupBy("meter_id", "bucket").transformWithStateInPandas(
+        RollingBaselineProcessor(w_us), OUT_SCHEMA, "Append", "EventTime")
