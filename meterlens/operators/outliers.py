@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.config import DEFAULT_THRESHOLDS, IQR_LABELS, Z_LABELS, Thresholds
-from meterlens.operators.quantiles import exact_quantiles
+from meterlens.operators.quantiles import exact_quantiles, interpolated_quantiles
 from meterlens.plans.joins import join_small
 
 
@@ -49,18 +49,19 @@ def q4_1_zscore(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, top: int =
 
 
 def iqr_bounds(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
-               accuracy: int = 10000, exact: bool = False) -> DataFrame:
+               accuracy: int = 10000, exact: bool = False, interpolate: bool = False) -> DataFrame:
     """Per meter q1, median, q3 and the 1.5 x IQR fences.
 
     ``percentile_approx`` is a mergeable sketch: partial sketches are built
     map-side and merged, so a meter with a third of all readings never has
     its values gathered in one task.  Rank error is at most n / ``accuracy``
     (exact on small meters); raise ``accuracy`` for tighter quantiles, or
-    ask for ``exact`` ones (discrete, see ``operators.quantiles``).
+    ask for ``exact`` ones (discrete) or ``interpolate`` between neighbours
+    (see ``operators.quantiles``).
     """
     probs = [0.25, 0.5, 0.75]
-    if exact:
-        q = exact_quantiles(raw, ["meter_id"], "consumption_kwh", probs, accuracy)
+    if exact or interpolate:
+        q = (interpolated_quantiles if interpolate else exact_quantiles)(raw, ["meter_id"], "consumption_kwh", probs, accuracy)
         p = q.select(F.get_json_object("_key", "$.meter_id").alias("meter_id"), F.col("q").alias("_q"))
     else:
         p = raw.groupBy("meter_id").agg(F.percentile_approx("consumption_kwh", probs, accuracy).alias("_q"))
@@ -74,9 +75,9 @@ def iqr_bounds(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
 
 
 def q4_2_iqr(raw: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS,
-             accuracy: int = 10000, exact: bool = False) -> DataFrame:
+             accuracy: int = 10000, exact: bool = False, interpolate: bool = False) -> DataFrame:
     """Readings outside their meter's IQR fences, by meter and time."""
-    b = iqr_bounds(raw, th, accuracy, exact).select("meter_id", "lower_fence", "upper_fence")
+    b = iqr_bounds(raw, th, accuracy, exact, interpolate).select("meter_id", "lower_fence", "upper_fence")
     j = join_small(raw.select("meter_id", "timestamp", "consumption_kwh"), b, "meter_id")
     kwh = F.col("consumption_kwh")
     j = j.filter((kwh < F.col("lower_fence")) | (kwh > F.col("upper_fence")))

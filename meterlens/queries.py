@@ -18,6 +18,7 @@ from meterlens.functions.features import add_features
 from meterlens.functions.rules import apply_rules, score_live, utc_wallclock
 from meterlens.operators import alerts, baseline, live, outliers, overview, rule_stats, summary, timeseries
 from meterlens.sources import events, kafka
+from meterlens.streaming.rollups import rollups_of, stream_minute_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +53,22 @@ def _summary(op) -> Query:
     return lambda spark, sf: op(summary.report_summary(meter_features(spark, sf)))
 
 
+def _frame(name: str) -> Query:
+    return lambda spark, sf: summary.report_frames(meter_features(spark, sf))[name]
+
+
+def _lag(spark, sf):
+    """A reader that has stopped halfway through the even partitions and never saw the odd ones."""
+    topic = events.kafka_records(spark, sf)
+    half = (topic.filter(F.col("partition") % 2 == 0).groupBy("topic", "partition")
+                 .agg(F.expr("min(offset) + (max(offset) - min(offset)) div 2").alias("committed")))
+    return kafka.consumer_lag(topic, half)
+
+
+def _minute_state(part: str) -> Query:
+    return lambda spark, sf: rollups_of(stream_minute_state(live_scored(spark, sf)))[part]
+
+
 def _features(spark, sf):
     return add_features(raw_readings(spark, sf)).drop("processing_time")
 
@@ -96,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "latest_messages": _latest,
     "topic_feed": lambda spark, sf: kafka.topic_feed(events.kafka_records(spark, sf)),
     "topic_partition_stats": lambda spark, sf: kafka.topic_partition_stats(events.kafka_records(spark, sf)),
+    "consumer_lag": _lag,
     # features / rules
     "add_features": _features,
     "apply_rules": _rules,
@@ -110,6 +128,8 @@ QUERIES: dict[str, Query] = {
     "latest_alerts": _live(live.latest_alerts),
     "live_window": lambda spark, sf: live.live_window(events.kafka_records(spark, sf)),
     "kpi_live_window": lambda spark, sf: live.kpi_live(live.live_window(events.kafka_records(spark, sf))),
+    "minute_state_severity": _minute_state("severity"),
+    "minute_state_zones": _minute_state("zones"),
     # batch analytics
     "q1_1_daily_overview": _mf(overview.q1_1_daily_overview),
     "q1_2_meter_overview": _mf(overview.q1_2_meter_overview),
@@ -123,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "q4_1_zscore": _raw(outliers.q4_1_zscore),
     "q4_2_iqr": _raw(outliers.q4_2_iqr),
     "q4_2_iqr_exact": _raw(lambda rd: outliers.q4_2_iqr(rd, exact=True)),
+    "q4_2_iqr_interpolated": _raw(lambda rd: outliers.q4_2_iqr(rd, interpolate=True)),
     "q5_1_suspicious_meters": _mf(alerts.q5_1_suspicious_meters),
     "q5_2_alert_hours": _mf(alerts.q5_2_alert_hours),
     "q5_3_severity_share": _mf(alerts.q5_3_severity_share),
@@ -133,6 +154,10 @@ QUERIES: dict[str, Query] = {
     "report_hourly": _mf(summary.report_hourly),
     "report_daily_trend": _mf(summary.report_daily_trend),
     "report_severity": _mf(summary.report_severity),
+    "report_frame_summary": _frame("summary"),
+    "report_frame_hourly": _frame("hourly"),
+    "report_frame_daily_trend": _frame("daily_trend"),
+    "report_frame_severity": _frame("severity"),
     "meter_risk_band": _summary(summary.meter_risk_band),
     "rule_totals": _summary(summary.rule_totals),
     "fleet_totals": _summary(summary.fleet_totals),

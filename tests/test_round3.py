@@ -101,3 +101,19 @@ def test_consumer_lag_of_a_stopped_stream(spark, scratch):
     assert got == {0: (*ends[0], 100, ends[0][1] - 100), 1: (*ends[1], 334, max(0, ends[1][1] - 334)), 2: (*ends[2], None, ends[2][1])}
     os.makedirs(os.path.join(scratch, "new", "commits"))
     assert kafka.committed_offsets(spark, os.path.join(scratch, "new")).count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [2, 50, 10000])
+def test_interpolated_quantiles_equal_percentile(spark, accuracy):
+    from meterlens.operators.quantiles import group_key, interpolated_quantiles
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 3000, "big").when(F.col("id") < 3001, "one").when(F.col("id") < 3003, "two")
+         .when(F.col("id") < 3010, None).otherwise(F.concat(F.lit("g"), F.col("id") % 9)).alias("k"),
+        F.when(F.col("id") % 11 != 5, (F.xxhash64("id") % 700) / 7.0).alias("x"))
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r[0]: r[1] for r in interpolated_quantiles(df, ["k"], "x", probs, accuracy).collect()}
+    want = df.groupBy(group_key(["k"]).alias("_key")).agg(F.percentile("x", F.array(*map(F.lit, probs)))).collect()
+    assert len(got) == len([r for r in want if r[1]])
+    for key, q in want:
+        if q:
+            assert all(abs(a - b) < 1e-9 for a, b in zip(got[key], q)), key
