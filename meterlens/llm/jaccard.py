@@ -361,7 +361,10 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                    .select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct())
     stars = stars.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den))
     stars = written(stars.select("a", "b"), "jaccard-stars")
-    edges = written(_verified(stars, docs, k, num, den).unionByName(equal), "jaccard-links")
+    # an id's rows may stand under several representatives: all its sets count as one document's
+    several = rows.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z").select("doc", "a")
+    again = rows.join(several, "doc").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    edges = written(_verified(stars, docs, k, num, den).unionByName(equal).unionByName(again), "jaccard-links")
     labels = components(edges)
 
     # what a star can miss: close pairs of one key in different components; of
