@@ -58,11 +58,11 @@ def _frame(name: str) -> Query:
 
 
 def _lag(spark, sf):
-    """A reader that has stopped halfway through the even partitions and never saw the odd ones."""
+    """A reader that has stopped a half, a third, ... of the way through the partitions."""
     topic = events.kafka_records(spark, sf)
-    half = (topic.filter(F.col("partition") % 2 == 0).groupBy("topic", "partition")
-                 .agg(F.expr("min(offset) + (max(offset) - min(offset)) div 2").alias("committed")))
-    return kafka.consumer_lag(topic, half)
+    done = (topic.groupBy("topic", "partition")
+                 .agg(F.expr("min(offset) + (max(offset) - min(offset)) div (partition + 2)").alias("committed")))
+    return kafka.consumer_lag(topic, done)
 
 
 def _minute_state(part: str) -> Query:
