@@ -37,7 +37,7 @@ def _rolling_step(h_ts: np.ndarray, h_kwh: np.ndarray, batch: pd.DataFrame, wind
     itself, so no reading outside a window can blur its mean.  Returns the
     output frame and the merged, time-sorted (ts, kWh) arrays.
     """
-    shown = ~batch["context"].astype(bool).to_numpy()
+    shown = ~batch["context"].astype(bool).to_numpy() if "context" in batch else slice(None)
     us = batch["event_us"]
     known = us.notna().to_numpy()
     b_ts = us.fillna(0).astype("int64").to_numpy()
