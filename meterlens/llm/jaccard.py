@@ -35,6 +35,7 @@ from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +50,8 @@ MOST_BLOCKS = 1 << 31
 SKETCH_WORDS = 16
 #: Text bytes handled at a time.
 SLICE_BYTES = 16 << 20
+#: Bits of a block key beside its bucket's number.
+KEY_BITS = 40
 
 _SEED = np.uint64(0x51ED270B7A1F3C25)
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -168,6 +171,31 @@ def short_sketches(starts: np.ndarray, sets: np.ndarray) -> np.ndarray:
     return out.reshape(n, SKETCH_WORDS)
 
 
+def bucketed(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Keys as their bucket's number and KEY_BITS of the hash.  Two keys that
+    become one propose more candidates, never fewer; buckets grow with the input."""
+    return ((key % np.uint64(buckets)) << np.uint64(KEY_BITS)) | (key >> np.uint64(64 - KEY_BITS))
+
+
+def pack_numbers(x: np.ndarray) -> bytes:
+    """64-bit integers compressed byte place by byte place: the high bytes of
+    document ids and of the steps between sorted keys take next to nothing."""
+    return zstandard.compress(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpack_numbers(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").ravel()
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    return pack_numbers(np.diff(x.astype(np.int64), prepend=0))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack_numbers(blob))
+
+
 # ---- pass one ---------------------------------------------------------------------
 _PASS = ("kind int, doc long, n long, rep long, fp_a long, fp_b long, sketch array<long>, "
          "bucket int, keys binary, docs binary")
@@ -184,9 +212,6 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
         cols["kind"] = pa.array(np.full(count, kind, np.int32))
         return pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(count, t)) for c, t in types.items()], list(types))
 
-    def blob(x: np.ndarray) -> pa.Array:
-        return pa.array([x.tobytes()], pa.binary())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", SLICE_BYTES):
             starts, sets = shingle_sets(b.column("text"), k)
@@ -215,7 +240,7 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
                        sketch=pa.array([s if h else None for s, h in zip(sketch.view(np.int64), is_head)], pa.list_(pa.int64())))
             owner, key = block_keys(starts, sets, num, den)
             mine = is_head[owner]
-            owner, key = owner[mine], key[mine]
+            owner, key = owner[mine], bucketed(key[mine], buckets)
             if not len(key):
                 continue
             doc = ids[owner]
@@ -224,15 +249,14 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
             start = np.concatenate([[True], key[1:] != key[:-1]])
             shared = ~start | np.concatenate([~start[1:], [False]])
             if shared.any():
-                yield rows(SHARED, 1, keys=blob(key[shared]), docs=blob(doc[shared]))
+                yield rows(SHARED, 1, keys=pa.array([pack_sorted(key[shared])], pa.binary()),
+                           docs=pa.array([pack_numbers(doc[shared])], pa.binary()))
             key, doc = key[start], doc[start]
-            bucket = (key % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            full, at = np.unique(bucket[order], return_index=True)
-            ends = [*at[1:].tolist(), len(order)]
+            full, at = np.unique((key >> np.uint64(KEY_BITS)).astype(np.int32), return_index=True)
+            ends = [*at[1:].tolist(), len(key)]
             yield rows(KEYS, len(full), bucket=pa.array(full, pa.int32()),
-                       keys=pa.array([key[order[x:z]].tobytes() for x, z in zip(at, ends)], pa.binary()),
-                       docs=pa.array([doc[order[x:z]].tobytes() for x, z in zip(at, ends)], pa.binary()))
+                       keys=pa.array([pack_sorted(key[x:z]) for x, z in zip(at, ends)], pa.binary()),
+                       docs=pa.array([pack_numbers(doc[x:z]) for x, z in zip(at, ends)], pa.binary()))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PASS)
 
@@ -240,8 +264,7 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for k, d in zip(b.column("keys").to_pylist(), b.column("docs").to_pylist()):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(d, np.int64))],
-                                             ["key", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(unpack_sorted(k)), pa.array(unpack_numbers(d))], ["key", "doc"])
 
 
 def _shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
@@ -249,10 +272,10 @@ def _shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
     row per key and slice, and buckets grow in number with the shuffle width."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, d = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        k, d = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for b in batches:
-            k += [np.frombuffer(x, np.uint64) for x in b.column("keys").to_pylist()]
-            d += [np.frombuffer(x, np.int64) for x in b.column("docs").to_pylist()]
+            k += [unpack_sorted(x) for x in b.column("keys").to_pylist()]
+            d += [unpack_numbers(x) for x in b.column("docs").to_pylist()]
         key, doc = np.concatenate(k), np.concatenate(d)
         del k, d
         order = np.lexsort((doc, key))
@@ -263,7 +286,7 @@ def _shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
         shared[:-1] |= ~start[1:]
         for at in range(0, int(shared.sum()), 100_000):
             pick = np.flatnonzero(shared)[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(key[pick].view(np.int64)), pa.array(doc[pick])], ["key", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(doc[pick])], ["key", "doc"])
 
     return keys.repartition(buckets, "bucket").mapInArrow(run, "key long, doc long")
 
