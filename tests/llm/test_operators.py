@@ -454,3 +454,32 @@ def test_digests(spark):
         line = ",".join(f"{k}:{a}:{b}" for k, a, b in brute_pii(r.text or ""))
         assert got[r.doc_id].base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert got[r.doc_id].spans.startswith(line)
+
+
+def test_block_keys_pack_and_unpack():
+    rng = np.random.default_rng(1)
+    key = np.sort(jaccard.bucketed(rng.integers(0, 2 ** 63, 999, dtype=np.int64).astype(np.uint64), 7))
+    assert (jaccard.unpack_sorted(jaccard.pack_sorted(key)) == key.astype(np.int64)).all()
+    ids = np.array([-2 ** 63, -1, 0, 5, 2 ** 63 - 1])
+    assert (jaccard.unpack_numbers(jaccard.pack_numbers(ids)) == ids).all()
+    assert len(jaccard.unpack_numbers(jaccard.pack_numbers(ids[:0]))) == 0
+
+
+def test_pii_time_grows_with_the_text_and_credentials_stay_in():
+    import time
+
+    trees = pii.gbt.fit(np.random.default_rng(0).random((60, len(pii.FEATURES))), np.arange(60) % 2.0, trees=2)
+    model = pii.PiiModel(trees, {"number": 2.0, "secret": 2.0})  # no score reaches these
+    base, spans = model.spans('a token = "0123456789abcdef0123" and password: plainword')
+    assert not base and spans == [("secret", 11, 31)]
+    unit = 'mail a.b@c.org, call 555 123 4567, token="a1b2c3d4e5f6g7h8", id 12345-678-9012; '
+
+    def spent(n: int) -> float:
+        text, at = unit * n, time.process_time()
+        assert len(model.spans(text)[1]) >= 2 * n
+        return time.process_time() - at
+
+    spent(10)
+    assert spent(8_000) < 30 * spent(800)  # 64 kB, 640 kB
+    long = "x9" * 400_000
+    assert pii.candidate_features(long, 0, len(long))[1] == 400_000
