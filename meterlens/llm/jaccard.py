@@ -16,9 +16,9 @@ shingles, so if the places are dealt to more than d blocks, some block agrees.
   central document: the one that shares most of its keys, as the original of
   a group of edited copies does.  A short sketch then bounds the symmetric
   difference from below, and what remains is verified on the full sets.
-* Components: verified links are closed; then every key whose documents still
-  lie in different components joins those whose sketches are close enough to
-  link, and these are verified too.  So no link that could join components is
+* Components: verified links are closed; then every key of three or more
+  whose documents beside the centre still lie in different components joins
+  those whose sketches are close enough to link, and these are verified too.  So no link that could join components is
   lost, and a group of copies or near copies never expands into all its pairs.
 
 Edge cases: null and empty texts have an empty set and link with nothing;
@@ -48,6 +48,8 @@ POOR = 1e-12
 MOST_BLOCKS = 1 << 31
 #: Bits of the short sketch kept for the Hamming filter.
 SKETCH_WORDS = 16
+#: Words of the folded sketch that goes with every key in the closing step.
+FOLD_WORDS = 4
 #: Text bytes handled at a time.
 SLICE_BYTES = 16 << 20
 #: Bits of a block key beside its bucket's number.
@@ -292,11 +294,20 @@ def _shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
 
 
 # ---- verification -----------------------------------------------------------------
-def _close(a: str, b: str, num: int, den: int) -> Column:
+def _folded(i: int) -> Column:
+    """Word ``i`` of a sketch folded to FOLD_WORDS words: parities of parities,
+    so its Hamming distance still bounds the symmetric difference from below."""
+    out = F.col("sketch")[i]
+    for j in range(i + FOLD_WORDS, SKETCH_WORDS, FOLD_WORDS):
+        out = out.bitwiseXOR(F.col("sketch")[j])
+    return out
+
+
+def _close(a: str, b: str, num: int, den: int, words: int = SKETCH_WORDS) -> Column:
     """Sizes and sketches of rows ``a`` and ``b`` leave room for a link: the
     Hamming distance is at most (den - num) / (den + num) of both sizes."""
     n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    apart = sum((F.bit_count(F.col(f"s_{a}")[i].bitwiseXOR(F.col(f"s_{b}")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"s_{a}")[i].bitwiseXOR(F.col(f"s_{b}")[i])) for i in range(words)), F.lit(0))
     return ((F.least(n_a, n_b) * den >= F.greatest(n_a, n_b) * num)
             & (apart * (den + num) <= (n_a + n_b) * (den - num)))
 
@@ -379,9 +390,10 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     central = F.struct(F.size("keys").alias("degree"), (-F.col("doc")).alias("minus"))
     centres = written(keyed.select(F.explode("keys").alias("key"), central.alias("best"))
                            .groupBy("key").agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("size"))
-                           .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre")), "jaccard-centres")
-    stars = (keyed.select(F.explode("keys").alias("key"), "doc").join(centres, "key").filter("doc <> centre")
-                   .select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct())
+                           .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre"), "size"), "jaccard-centres")
+    spokes = written(keyed.select(F.explode("keys").alias("key"), "doc").join(centres, "key").filter("doc <> centre"),
+                     "jaccard-spokes")
+    stars = spokes.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
     stars = stars.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den))
     stars = written(stars.select("a", "b"), "jaccard-stars")
     # an id's rows may stand under several representatives: all its sets count as one document's
@@ -390,19 +402,20 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     edges = written(_verified(stars, docs, k, num, den).unionByName(equal).unionByName(again), "jaccard-links")
     labels = components(edges)
 
-    # what a star can miss: close pairs of one key in different components; of
-    # documents with equal sets the smallest speaks for all
-    named = (keyed.join(labels.withColumnRenamed("v", "doc"), "doc", "left")
-                  .select(F.explode("keys").alias("key"), "doc", F.coalesce("label", "doc").alias("label")))
-    open_keys = written(named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                             .filter("x <> y").select("key"), "jaccard-open")
-    rest = (named.join(open_keys, "key", "left_semi").join(equal.select(F.col("b").alias("doc")), "doc", "left_anti")
-                 .distinct().join(heads.select("doc", "n", "sketch"), "doc"))
-    rest = written(rest, "jaccard-rest")
+    # what a star can miss: close pairs of one key in different components, neither
+    # of them the centre; of documents with equal sets the smallest speaks for all
+    named = written(spokes.filter("size > 2").join(equal.select(F.col("b").alias("doc")), "doc", "left_anti")
+                          .join(labels.withColumnRenamed("v", "doc"), "doc", "left")
+                          .select("key", "doc", F.coalesce("label", "doc").alias("label")), "jaccard-named")
+    open_keys = (named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+                      .filter("x <> y").select("key"))
+    folded = heads.select("doc", "n", F.array(*[_folded(i) for i in range(FOLD_WORDS)]).alias("sketch"))
+    rest = written(named.join(open_keys, "key", "left_semi").distinct().join(folded, "doc"), "jaccard-rest")
     cross = (_side(rest, "a", "key", F.col("label").alias("l_a")).join(_side(rest, "b", "key", F.col("label").alias("l_b")), "key")
-             .filter((F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b")) & _close("a", "b", num, den))
+             .filter((F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b")) & _close("a", "b", num, den, FOLD_WORDS))
              .select("a", "b").distinct())
-    cross = written(cross.join(stars, ["a", "b"], "left_anti"), "jaccard-cross")
+    cross = cross.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den)).select("a", "b")
+    cross = written(cross.distinct().join(stars, ["a", "b"], "left_anti"), "jaccard-cross")
     more = written(_verified(cross, docs, k, num, den), "jaccard-more")
     if more.limit(1).count():
         labels = components(edges.unionByName(more))
