@@ -2,13 +2,16 @@
 
 Words ([^\\x20\\x09-\\x0D]+, A-Z lower-cased) and one end per text are the
 tokens.  Each is spelt in subword ids of a public byte-level vocabulary.  One
-attention layer reads the ids in windows of ``WINDOW`` with half of them
-overlapping, so every id is scored once, behind at least half a window of
-context; windows are batched and masked.  Its output is a two-step softmax
-(class, member) over the most frequent ids, with an escape to a smoothed
-distribution of all others.  A text's probability mixes, token by token, the
-product of a token's subword probabilities with the token's share among all
-training tokens (an unknown token has the former only).
+attention layer reads the ids in windows of ``WINDOW`` that overlap by ``BACK``, so every
+id is scored once, behind at least so much context; windows are batched and
+masked.  Its output is a two-step softmax (class, member) over the most
+frequent ids that begin a token and over those that continue one, in classes
+of their own, each with an escape to a smoothed distribution of all others.
+A token's network probability is that of its ids, given that a token begins,
+and of a token's beginning after them: so tokens that are prefixes of one
+another share no mass, and all tokens together have at most 1.  A text's probability mixes,
+token by token, this with the token's share among all training tokens and its
+share among the text's earlier tokens.
 
 Token and subword counts cover all training documents: blocks of texts send
 their distinct words with counts to hash buckets, where copies of a word meet
@@ -24,6 +27,7 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,16 +50,17 @@ END_ID = 50256
 #: Rounds of an epoch; each is as large as all before it, so that weights agree before the long ones.
 ROUNDS = 7
 #: Windows of a step and its rate; small corpora are read again until they make STEPS steps.
-STEPS, BATCH, RATE = 500, 96, 4e-3
-WINDOW, DIM, HIDDEN = 64, 24, 48
-HALF = WINDOW // 2
+STEPS, BATCH, RATE = 500, 192, 5e-3
+WINDOW, BACK, DIM, HIDDEN = 32, 8, 16, 32
+SCORED = WINDOW - BACK
 #: Ids whose windows are laid out at a time (or one text).
 PLACES = 200_000
 #: Words spelt at a time.
 SPELL = 100_000
-CLASSES = MEMBERS = 64
-#: Weight of the network in the mixture for a known token.
-NETWORK = 0.6
+#: Classes of the output, the first BEGIN of them for ids that begin a token.
+CLASSES, BEGIN, MEMBERS = 32, 16, 64
+#: Weights in the mixture: network, training tokens, earlier tokens of the text.
+NETWORK, SHARE, EARLIER = 0.5, 0.3, 0.2
 
 
 def in_training(doc_id: Column) -> Column:
@@ -65,17 +70,23 @@ def in_training(doc_id: Column) -> Column:
 # ---- network ------------------------------------------------------------------------
 @dataclass
 class Attention:
-    slot: np.ndarray       # vocabulary id -> class * MEMBERS + member; 0 is the escape
-    escape: np.ndarray     # log probability of an id behind the escape
+    slot: np.ndarray       # vocabulary id -> class * MEMBERS + member; the first of either kind is the escape
+    escape: np.ndarray     # log probability of an id behind its kind's escape
     w: dict[str, np.ndarray]
 
     @staticmethod
-    def fresh(counts: np.ndarray, rng: np.random.Generator) -> Attention:
-        head = np.argsort(-counts, kind="stable")[: CLASSES * MEMBERS - 1]
-        head = head[counts[head] > 0]
-        slot = np.zeros(len(counts), np.int64)
-        slot[head] = np.arange(1, len(head) + 1)
-        rest = np.where(slot == 0, counts + 0.1, 0)
+    def fresh(counts: np.ndarray, begins: np.ndarray, rng: np.random.Generator) -> Attention:
+        """``begins`` tells which ids begin a token."""
+        slot, escape = np.zeros(len(counts), np.int64), np.zeros(len(counts))
+        for kind, first, classes in ((begins, 0, BEGIN), (~begins, BEGIN * MEMBERS, CLASSES - BEGIN)):
+            ids = np.flatnonzero(kind)
+            head = ids[np.argsort(-counts[ids], kind="stable")][: classes * MEMBERS - 1]
+            head = head[counts[head] > 0]
+            slot[ids] = first
+            slot[head] = first + np.arange(1, len(head) + 1)
+            rest = np.where(slot[ids] == first, counts[ids] + 0.1, 0)
+            with np.errstate(divide="ignore"):
+                escape[ids] = np.log(rest / max(rest.sum(), 0.1))
         norm = lambda *s: rng.normal(0, s[0] ** -0.5, s).astype(np.float32)
         w = {"emb": rng.normal(0, 0.3, (CLASSES * MEMBERS, DIM)).astype(np.float32),
              "pos": rng.normal(0, 0.1, (WINDOW, DIM)).astype(np.float32),
@@ -89,21 +100,20 @@ class Attention:
         hits = (hits + 0.1).reshape(CLASSES, MEMBERS)
         w["bm"] = np.log(hits / hits.sum(1, keepdims=True)).astype(np.float32)
         w["bc"] = np.log(hits.sum(1) / hits.sum()).astype(np.float32)
-        with np.errstate(divide="ignore"):
-            return Attention(slot, np.log(rest / rest.sum()), w)
+        return Attention(slot, escape, w)
 
     def states(self, ids: np.ndarray, valid: np.ndarray) -> tuple:
-        """Hidden states of the last half of each window; ``valid`` masks keys."""
+        """Hidden states of the last SCORED places of each window; ``valid`` masks keys."""
         w = self.w
         e = w["emb"][ids] + w["pos"]
-        q, k, v = e[:, HALF:] @ w["q"], e @ w["k"], e @ w["v"]
+        q, k, v = e[:, BACK:] @ w["q"], e @ w["k"], e @ w["v"]
         s = q @ k.transpose(0, 2, 1) * np.float32(DIM ** -0.5)
         s += _CAUSAL + np.where(valid, np.float32(0), np.float32(-1e9))[:, None, :]
         s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
         s /= s.sum(axis=2, keepdims=True)
         o = s @ v
-        h = e[:, HALF:] + o @ w["o"]
+        h = e[:, BACK:] + o @ w["o"]
         r = np.maximum(h @ w["w1"] + w["b1"], 0)
         return e, q, k, v, s, o, h, r, h + r @ w["w2"]
 
@@ -116,7 +126,7 @@ class Attention:
         pc_ = np.exp(lc)
         total = pc_.sum(axis=1, keepdims=True)
         out = lc[np.arange(len(z)), c] - np.log(total[:, 0])
-        order = np.argsort(c, kind="stable")
+        order = np.argsort(c.astype(np.uint8), kind="stable")
         edge = np.searchsorted(c[order], np.arange(CLASSES + 1))
         pm = np.empty((len(z), MEMBERS), np.float32)
         for i in range(CLASSES):
@@ -162,13 +172,13 @@ class Attention:
         da = do @ v.transpose(0, 2, 1)
         ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(DIM ** -0.5)
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        half = e[:, HALF:]
+        half = e[:, BACK:]
         g["q"], g["k"], g["v"] = two(half).T @ two(dq), two(e).T @ two(dk), two(e).T @ two(dv)
         de = dk @ w["k"].T + dv @ w["v"].T
-        de[:, HALF:] += dh + dq @ w["q"].T
+        de[:, BACK:] += dh + dq @ w["q"].T
         g["pos"] = de.sum(0)
         g["emb"] = np.zeros_like(w["emb"])
-        order = np.argsort(ids, axis=None, kind="stable")
+        order = np.argsort(ids.astype(np.uint16), axis=None, kind="stable")
         seen, first = np.unique(ids.ravel()[order], return_index=True)
         g["emb"][seen] = np.add.reduceat(two(de)[order], first)
         return float(-logp.mean()), g
@@ -178,7 +188,7 @@ class Attention:
         multiply the exponentials, and the sum divides after the values."""
         w = self.w
         e = w["emb"][ids] + w["pos"]
-        half = e[:, HALF:]
+        half = e[:, BACK:]
         s = (half @ (w["q"] * np.float32(DIM ** -0.5))) @ (e @ w["k"]).transpose(0, 2, 1)
         np.clip(s, -60, 60, out=s)
         np.exp(s, out=s)
@@ -193,17 +203,22 @@ class Attention:
         h = half + (s @ v / total) @ w["o"]
         return h + np.maximum(h @ w["w1"] + w["b1"], 0) @ w["w2"]
 
-    def scoring_head(self, z: np.ndarray, slots: np.ndarray) -> np.ndarray:
-        """The first of ``head`` without the softmaxes themselves."""
+    def scoring_head(self, z: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first of ``head`` without the softmaxes themselves, and the log
+        probability that a token begins."""
         w = self.w
         c, m = slots // MEMBERS, slots % MEMBERS
-        order = np.argsort(c, kind="stable")
+        order = np.argsort(c.astype(np.uint8), kind="stable")
         z, c, m = z[order], c[order], m[order]
         logits = z @ w["wc"] + w["bc"]
         top = logits.max(axis=1)
         got = logits[np.arange(len(z)), c] - top
         logits -= top[:, None]
-        got -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        np.exp(logits, out=logits)
+        total = np.log(logits.sum(axis=1))
+        got -= total
+        begin = np.log(np.maximum(logits[:, :BEGIN].sum(axis=1), np.float32(1e-30))) - total
+        logits = np.empty((len(z), MEMBERS), np.float32)
         edge = np.searchsorted(c, np.arange(CLASSES + 1))
         for i in range(CLASSES):
             a, b = edge[i], edge[i + 1]
@@ -213,46 +228,46 @@ class Attention:
         got += logits[np.arange(len(z)), m] - top
         logits -= top[:, None]
         got -= np.log(np.exp(logits, out=logits).sum(axis=1))
-        out = np.empty(len(z))
-        out[order] = got
-        return out
-
-    def log_probs(self, before: np.ndarray, after: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Natural log probability of each id ``after`` the ids ``before`` it;
-        ``starts`` are the texts' first places and the end."""
-        out = np.zeros(len(after))
+        out = np.empty((2, len(z)))
+        out[0, order], out[1, order] = got, begin
+        return out[0], out[1]
+
+    def log_probs(self, before: np.ndarray, after: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Natural log probabilities of each id ``after`` the ids ``before`` it, and
+        of a token beginning there; ``starts`` are the texts' first places and the end."""
+        out, begin = np.zeros(len(after)), np.zeros(len(after))
         text = 0
         while text < len(starts) - 1:  # texts of some PLACES ids at a time bound the memory
             last = max(text + 1, int(np.searchsorted(starts, starts[text] + PLACES, side="right")) - 1)
             a, b = int(starts[text]), int(starts[last])
             index, valid, scored = windows(starts[text:last + 1] - a)
             slots_in, slots_out = self.slot[before[a:b]], self.slot[after[a:b]]
-            for at in range(0, len(index), 128):
-                i, use = index[at:at + 128], scored[at:at + 128]
-                z = self.scoring_states(slots_in[i], valid[at:at + 128])
-                place = i[:, HALF:][use]
-                out[a + place] = self.scoring_head(z[use], slots_out[place])
-            rare = np.flatnonzero(slots_out == 0)
+            for at in range(0, len(index), 256):
+                i, use = index[at:at + 256], scored[at:at + 256]
+                z = self.scoring_states(slots_in[i], valid[at:at + 256])
+                place = i[:, BACK:][use]
+                out[a + place], begin[a + place] = self.scoring_head(z[use], slots_out[place])
+            rare = np.flatnonzero((slots_out == 0) | (slots_out == BEGIN * MEMBERS))
             out[a + rare] += self.escape[after[a:b][rare]]
             text = last
-        return out
+        return out, begin
 
 
-_CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(HALF, WINDOW)[:, None], 0, -1e9).astype(np.float32)
+_CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(BACK, WINDOW)[:, None], 0, -1e9).astype(np.float32)
 _SEEN = (_CAUSAL == 0).astype(np.float32)
 
 
 def windows(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places in the stream, which exist, which of the last half are scored).
-    A text's windows advance by half a window; each place is scored once."""
+    """(places in the stream, which exist, which of the last SCORED are scored).
+    A text's windows advance by SCORED places; each place is scored once."""
     size = np.diff(starts)
-    count = -(-size // HALF)
+    count = -(-size // SCORED)
     text = np.repeat(np.arange(len(size)), count)
     turn = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    place = (turn * HALF - HALF)[:, None] + np.arange(WINDOW)
+    place = (turn * SCORED - BACK)[:, None] + np.arange(WINDOW)
     valid = (place >= 0) & (place < size[text][:, None])
     index = np.where(valid, place + starts[:-1][text][:, None], 0)
-    return index, valid, valid[:, HALF:]
+    return index, valid, valid[:, BACK:]
 
 
 @dataclass
@@ -298,7 +313,7 @@ def train(model: Attention, state: State, ids: np.ndarray, starts: np.ndarray, r
     done = 0
     for pick in np.array_split(rng.permutation(len(index)), max(1, round(len(index) / BATCH))):
         i = index[pick]
-        _, g = model.gradients(before[i], valid[pick], after[i][:, HALF:], scored[pick])
+        _, g = model.gradients(before[i], valid[pick], after[i][:, BACK:], scored[pick])
         state.update(g, rate(done))
         done += len(pick)
     return done
@@ -383,14 +398,53 @@ def _average(rows: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_state_row(rows.column("part")[0].as_py(), sum(n), max(rows.column("step").to_pylist()), total)])
 
 
+def beginning(json_path: str) -> np.ndarray:
+    """Which subword ids begin a token: those that spell a leading space, and the end."""
+    out = np.zeros(END_ID + 1, bool)
+    with open(json_path, encoding="utf-8") as f:
+        for piece, id_ in json.load(f)["model"]["vocab"].items():
+            out[id_] = piece.startswith("\u0120")  # the byte-level alphabet's sign for a space
+    out[END_ID] = True
+    return out
+
+
+def token_log_probs(logp: np.ndarray, begin: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Log probability of each token from those of its ids, which start at ``at``;
+    ``end`` marks the tokens that end a text, after which none begins."""
+    if not len(end):
+        return np.zeros(0)
+    first = begin[at[:-1]]
+    return np.add.reduceat(logp, at[:-1]) - first + np.where(end, 0.0, np.append(first[1:], 0.0))
+
+
+def mixed(network: np.ndarray, share: np.ndarray, token: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Log probability of each token: the network's, its ``share`` of the training
+    tokens (None: there are none) and of the text's earlier tokens."""
+    size = np.diff(starts)
+    if not len(token):
+        return np.zeros(0)
+    place = np.arange(len(token)) - np.repeat(starts[:-1], size)
+    group = np.repeat(np.arange(len(size)), size) * (int(token.max()) + 2) + token + 1
+    order = np.argsort(group, kind="stable")
+    new = np.append(True, np.diff(group[order]) != 0)
+    run = np.flatnonzero(new)[np.cumsum(new) - 1]
+    seen = np.empty(len(token))
+    seen[order] = np.arange(len(token)) - run
+    w_share = 0.0 if share is None else SHARE
+    w_early = np.where(place > 0, EARLIER, 0.0)
+    other = (0.0 if share is None else w_share * share) + w_early * seen / np.maximum(place, 1)
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log(NETWORK) + network, np.log(other)) - np.log(NETWORK + w_share + w_early)
+
+
 def fit_network(blocks: DataFrame, counts: np.ndarray, paths: tuple[str, str]) -> Attention:
     """Train on all windows of all training documents in ``blocks``; ``counts``
     are these documents' subword ids."""
-    model = Attention.fresh(counts, np.random.default_rng(7))
+    model = Attention.fresh(counts, beginning(paths[0]), np.random.default_rng(7))
     if not counts.sum():
         return model
     state = State.fresh(model.w)
-    epochs = math.ceil(STEPS * BATCH * HALF / counts.sum())
+    epochs = math.ceil(STEPS * BATCH * SCORED / counts.sum())
     parts = max(1, blocks.rdd.getNumPartitions())
     groups = math.isqrt(parts - 1) + 1
     cuts = [0.0, *(2.0 ** (i - ROUNDS) for i in range(1, ROUNDS)), 1.0]
@@ -398,7 +452,7 @@ def fit_network(blocks: DataFrame, counts: np.ndarray, paths: tuple[str, str]) -
         for i, cut in enumerate(zip(cuts, cuts[1:])):
             share = cut[1] - cut[0]
             done = ((epoch + cut[0]) / epochs, (epoch + cut[1]) / epochs)
-            rows = _round(blocks, model, state, paths, cut, done, counts.sum() / HALF * share / parts, epoch * ROUNDS + i)
+            rows = _round(blocks, model, state, paths, cut, done, counts.sum() / SCORED * share / parts, epoch * ROUNDS + i)
             got = rows.groupBy(F.pmod("part", F.lit(groups))).applyInArrow(_average, _STATE).toArrow()
             if got.num_rows:
                 top = _average(got)
@@ -529,11 +583,8 @@ def score_texts(docs: DataFrame, json_path: str | None = None, ranks_path: str |
             starts, token, words, ids, at = streams(_texts(texts.column("texts")[row].as_py()), bpe)
             place = pc.index_in(words, value_set=known).to_numpy(zero_copy_only=False).astype(np.int64)
             c = np.append(n[place], ends)[token]  # -1, the end, is the last
-            spelt = model.log_probs(shifted(ids, at[starts]), ids, at[starts])
-            spelt = np.add.reduceat(spelt, at[:-1]) if len(token) else np.zeros(0)
-            with np.errstate(divide="ignore"):
-                mixed = np.where(c > 0, np.logaddexp(np.log(NETWORK) + spelt, np.log((1 - NETWORK) * c / max(tokens, 1))),
-                                 spelt + np.log(NETWORK) if tokens else spelt)
+            spelt = token_log_probs(*model.log_probs(shifted(ids, at[starts]), ids, at[starts]), at, token < 0)
+            total = mixed(spelt, c / tokens if tokens else None, token, starts)
             first = starts[:-1]
             size = np.diff(starts)
             train_ = np.array(texts.column("train")[row].as_py(), dtype=bool)
@@ -541,7 +592,7 @@ def score_texts(docs: DataFrame, json_path: str | None = None, ranks_path: str |
                 pa.chunked_array([texts.column("doc_ids")[row].values]), pa.array(~train_), pa.array(size),
                 pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(size), tokens)),
                 pa.array(np.add.reduceat(np.log10(c + 1.0), first) - size * floor),
-                pa.array(np.add.reduceat(mixed, first) / np.log(10))], names=names))
+                pa.array(np.add.reduceat(total, first) / np.log(10))], names=names))
         return pa.concat_tables(out) if out else empty
 
     return (blocks.groupBy("block").cogroup(totals.select("block", "words", "n").groupBy("block"))

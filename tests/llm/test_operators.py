@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -259,12 +260,12 @@ def test_lm_gradients_and_normalisation():
     rng = np.random.default_rng(0)
     ids = rng.integers(0, 50, 300)
     starts = np.array([0, 100, 101, 300])
-    net = lm.Attention.fresh(np.bincount(ids, minlength=lm.END_ID + 1).astype(float), rng)
+    net = lm.Attention.fresh(np.bincount(ids, minlength=lm.END_ID + 1).astype(float), np.arange(lm.END_ID + 1) % 2 == 0, rng)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
     before, after = net.slot[lm.shifted(ids, starts)], net.slot[ids]
     index, valid, scored = lm.windows(starts)
-    assert scored.sum() == 300 and sorted(index[:, lm.HALF:][scored]) == list(range(300))
-    args = (before[index], valid, after[index][:, lm.HALF:], scored)
+    assert scored.sum() == 300 and sorted(index[:, lm.BACK:][scored]) == list(range(300))
+    args = (before[index], valid, after[index][:, lm.BACK:], scored)
     loss, grad = net.gradients(*args)
     for name in ("emb", "pos", "q", "k", "v", "o", "w1", "w2", "wc", "bm"):
         at = np.unravel_index(np.abs(grad[name]).argmax(), grad[name].shape)
@@ -279,15 +280,43 @@ def test_lm_gradients_and_normalisation():
     z = net.states(*args[:2])[-1][scored][:1]
     slots = np.arange(lm.CLASSES * lm.MEMBERS)
     assert abs(np.exp(net.head(np.repeat(z, len(slots), 0), slots)[0]).sum() - 1) < 1e-6
-    first = net.log_probs(lm.shifted(ids, starts), ids, starts)
+    first, _ = net.log_probs(lm.shifted(ids, starts), ids, starts)
     # scoring is the training pass without what only gradients need
     assert -first.mean() == pytest.approx(loss, rel=1e-5)
     ids2 = ids.copy()
     ids2[200:] = 3
-    again = net.log_probs(lm.shifted(ids2, starts), ids2, starts)
+    again, _ = net.log_probs(lm.shifted(ids2, starts), ids2, starts)
     assert np.allclose(first[:200], again[:200])
 
 
+def test_lm_tokens_have_mass_of_at_most_one():
+    """All words of up to seven ids over two that begin and two that continue, after the
+    same context, the end, and the two other parts of the mixture."""
+    rng = np.random.default_rng(3)
+    begins = np.zeros(lm.END_ID + 1, bool)
+    begins[[10, 11, lm.END_ID]] = True
+    counts = np.zeros(lm.END_ID + 1)
+    counts[[10, 11, 20, 21, lm.END_ID]] = 9e6, 5e6, 3e6, 2e6, 1e6
+    net = lm.Attention.fresh(counts, begins, rng)
+    net.w = {k: v + rng.normal(0, 0.2, v.shape).astype(np.float32) if k not in ("bm", "bc") else v for k, v in net.w.items()}
+    words = [(a, *rest) for a in (10, 11) for n in range(7) for rest in itertools.product((20, 21), repeat=n)]
+    total = 0.0
+    for word in [*words, (lm.END_ID,)]:
+        tokens = [(10, 20), word] + ([] if word[0] == lm.END_ID else [(lm.END_ID,)])
+        ids, at = np.array(sum(tokens, ())), np.cumsum([0, *map(len, tokens)])
+        starts = np.array([0, len(ids)])
+        got = net.log_probs(lm.shifted(ids, starts), ids, starts)
+        total += np.exp(lm.token_log_probs(*got, at, np.array([t[0] == lm.END_ID for t in tokens]))[1])
+    assert 0.9 < total <= 1 + 1e-5  # longer words and ids never seen have the rest
+    # three known tokens and the end share the other two parts; whatever comes next, both sum to 1
+    token, starts = np.array([0, 0, 1, -1, 2, -1]), np.array([0, 4, 6])
+    part = np.exp(lm.mixed(np.full(6, -np.inf), np.zeros(6), token, starts))
+    want = lm.EARLIER / (lm.NETWORK + lm.SHARE + lm.EARLIER)
+    assert np.allclose(part, [0, want, 0, 0, 0, 0])
+    whole = np.exp(lm.mixed(np.zeros(6), np.ones(6), np.zeros(6, int), np.array([0, 6])))
+    assert np.allclose(whole, 1)
+
+
 def test_lm_scores(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(lm, "STEPS", 3)
     got = by_id(lm.score_texts(docs))
@@ -320,8 +349,8 @@ def test_lm_trains_on_every_window(spark, monkeypatch):
            for t in train]
     want = collections.Counter(x for t in ids for x in t)
     assert {i: int(n) for i, n in enumerate(seen[0]) if n} == want
-    epochs = math.ceil(lm.STEPS * lm.BATCH * lm.HALF / sum(want.values()))
-    assert sum(r.n for x in rounds for r in x.select("n").collect()) == epochs * sum(-(-len(t) // lm.HALF) for t in ids)
+    epochs = math.ceil(lm.STEPS * lm.BATCH * lm.SCORED / sum(want.values()))
+    assert sum(r.n for x in rounds for r in x.select("n").collect()) == epochs * sum(-(-len(t) // lm.SCORED) for t in ids)
 
 
 # ---- 8 ------------------------------------------------------------------------------
