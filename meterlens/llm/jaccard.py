@@ -16,10 +16,13 @@ shingles, so if the places are dealt to more than d blocks, some block agrees.
   central document: the one that shares most of its keys, as the original of
   a group of edited copies does.  A short sketch then bounds the symmetric
   difference from below, and what remains is verified on the full sets.
-* Components: verified links are closed; then every key of three or more
-  whose documents beside the centre still lie in different components joins
-  those whose sketches are close enough to link, and these are verified too.  So no link that could join components is
-  lost, and a group of copies or near copies never expands into all its pairs.
+* Components: a document is verified against the most central of its
+  partners, and against the others only where they still lie in different
+  components.  Then every key of three or more whose documents beside the
+  centre still lie in different components joins those whose sketches are
+  close enough to link, and these are verified too.  So no link that could join
+  components is lost, and a group of copies or near copies never expands into
+  all its pairs.
 
 Edge cases: null and empty texts have an empty set and link with nothing;
 rows without an id are returned with a null component; rows that repeat an
@@ -39,7 +42,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.llm.util import mix64, slices, split_words, word_hash, written
+from meterlens.llm.util import as_text, mix64, slices, split_words, word_hash, written
 
 #: Chance that a set has too few non-empty blocks in its band.
 POOR = 1e-12
@@ -317,31 +320,26 @@ def _side(rows: DataFrame, x: str, *keep: Column | str) -> DataFrame:
 
 
 def _verified(left: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets link."""
-    ids = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in slices(batches, "text", SLICE_BYTES):
-            starts, sets = shingle_sets(x.column("text"), k)
-            raw = memoryview(sets.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [x.column("doc_id"), pa.array([bytes(raw[8 * s:8 * e]) for s, e in zip(starts[:-1], starts[1:])], pa.binary())],
-                ["doc", "set"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    sets = written(texts.mapInArrow(sets_of, "doc long, set binary"), "jaccard-sets")
-    sa, sb = (sets.select(F.col("doc").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
+    """The pairs ``a, b`` whose full sets link.  Texts travel rather than sets,
+    which are larger and don't compress: once by id, once more with a pair to
+    its ``b``; a task builds the set of each distinct text it sees."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
+        for x in slices(slices(batches, "text_a", SLICE_BYTES), "text_b", SLICE_BYTES):
+            both = pa.concat_arrays([as_text(x.column("text_a")), as_text(x.column("text_b"))]).dictionary_encode()
+            starts, sets = shingle_sets(both.dictionary, k)
+            at = both.indices.to_numpy()
             keep = np.zeros(x.num_rows, bool)
-            for i, (p, q) in enumerate(zip(x.column("set_a").to_pylist(), x.column("set_b").to_pylist())):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = np.intersect1d(p, q, assume_unique=True).size
-                keep[i] = both > 0 and den * both >= num * (len(p) + len(q) - both)
+            for i, (p, q) in enumerate(zip(at[:x.num_rows].tolist(), at[x.num_rows:].tolist())):
+                p, q = sets[starts[p]:starts[p + 1]], sets[starts[q]:starts[q + 1]]
+                same = np.intersect1d(p, q, assume_unique=True).size
+                keep[i] = same > 0 and den * same >= num * (len(p) + len(q) - same)
             yield x.select(["a", "b"]).filter(pa.array(keep))
 
-    return left.join(sa, "a").join(sb, "b").select("a", "b", "set_a", "set_b").mapInArrow(link, "a long, b long")
+    for x in "ab":
+        left = left.join(texts, F.col(x) == F.col("doc")).drop("doc").withColumnRenamed("text", f"text_{x}")
+    return left.select("a", "b", "text_a", "text_b").mapInArrow(link, "a long, b long")
 
 
 # ---- components -------------------------------------------------------------------
@@ -367,6 +365,24 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` (smaller first, once each) that lie in different components."""
+    for x in "ab":
+        named = labels.select(F.col("v").alias(x), F.col("label").alias(f"l_{x}"))
+        pairs = pairs.join(named, x, "left").withColumn(f"l_{x}", F.coalesce(f"l_{x}", x))
+    pairs = pairs.filter("l_a <> l_b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _joined(edges: DataFrame, labels: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges and labels after ``links``, which are computed once."""
+    links = written(links, "jaccard-more")
+    if not links.limit(1).count():
+        return edges, labels
+    edges = edges.unionByName(links)
+    return edges, components(edges)
+
+
 def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``; documents link
     when ``den * |A and B| >= num * |A or B|`` (``num / den`` at least 1/2)."""
@@ -390,17 +406,24 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     central = F.struct(F.size("keys").alias("degree"), (-F.col("doc")).alias("minus"))
     centres = written(keyed.select(F.explode("keys").alias("key"), central.alias("best"))
                            .groupBy("key").agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("size"))
-                           .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre"), "size"), "jaccard-centres")
+                           .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre"),
+                                                      F.col("best.degree").alias("degree"), "size"), "jaccard-centres")
     spokes = written(keyed.select(F.explode("keys").alias("key"), "doc").join(centres, "key").filter("doc <> centre"),
                      "jaccard-spokes")
-    stars = spokes.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
-    stars = stars.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den))
-    stars = written(stars.select("a", "b"), "jaccard-stars")
+    stars = spokes.select("doc", "centre", "degree").distinct().withColumnsRenamed({"doc": "a", "centre": "b"})
+    stars = written(stars.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den))
+                         .select("a", "b", "degree").distinct(), "jaccard-stars")
     # an id's rows may stand under several representatives: all its sets count as one document's
     several = rows.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z").select("doc", "a")
     again = rows.join(several, "doc").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    edges = written(_verified(stars, docs, k, num, den).unionByName(equal).unionByName(again), "jaccard-links")
+    # each document first meets its most central partner alone; its other pairs
+    # are verified only where they would still join components
+    best = stars.groupBy("a").agg(F.max(F.struct("degree", (-F.col("b")).alias("minus"))).alias("best"))
+    best = written(best.select("a", (-F.col("best.minus")).alias("b")), "jaccard-best")
+    edges = written(_verified(best, docs, k, num, den).unionByName(equal).unionByName(again), "jaccard-links")
     labels = components(edges)
+    left = _apart(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
+    edges, labels = _joined(edges, labels, _verified(written(left, "jaccard-left"), docs, k, num, den))
 
     # what a star can miss: close pairs of one key in different components, neither
     # of them the centre; of documents with equal sets the smallest speaks for all
@@ -415,10 +438,9 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
              .filter((F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b")) & _close("a", "b", num, den, FOLD_WORDS))
              .select("a", "b").distinct())
     cross = cross.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den)).select("a", "b")
-    cross = written(cross.distinct().join(stars, ["a", "b"], "left_anti"), "jaccard-cross")
-    more = written(_verified(cross, docs, k, num, den), "jaccard-more")
-    if more.limit(1).count():
-        labels = components(edges.unionByName(more))
+    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    cross = written(cross.distinct().join(tested, ["a", "b"], "left_anti"), "jaccard-cross")
+    edges, labels = _joined(edges, labels, _verified(cross, docs, k, num, den))
     out = rows.select("doc", "n", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
                       F.coalesce("label", "rep").alias("component_id"))
