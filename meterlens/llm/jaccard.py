@@ -54,7 +54,7 @@ SKETCH_WORDS = 16
 #: Words of the folded sketch that goes with every key in the closing step.
 FOLD_WORDS = 4
 #: Text bytes handled at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Bits of a block key beside its bucket's number.
 KEY_BITS = 40
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from meterlens.llm import gbt
-from meterlens.llm.util import WHITE, bounded_labels, byte_texts, labelled_texts
+from meterlens.llm.util import WHITE, bounded_labels, byte_texts, labelled_texts, slices
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -144,7 +144,7 @@ def judge_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             rows = [document_stats(t) for t in byte_texts(b.column("text"))]
             counts = np.array([r[0] for r in rows], dtype=np.int64).reshape(len(rows), 5)
             x = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), len(FEATURES))
@@ -165,7 +165,7 @@ def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
     """The documents that are kept, all their columns unchanged (a narrow filter)."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             rows = [document_stats(t) for t in byte_texts(b.column("text"))]
             x = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), len(FEATURES))
             failed = np.array([base_failed(r[0][0], r[0][4]) for r in rows], dtype=bool)

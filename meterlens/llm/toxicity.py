@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.llm.util import bounded_labels, byte_texts, fold, labelled_texts
+from meterlens.llm.util import bounded_labels, byte_texts, fold, labelled_texts, slices
 
 #: Bounds of the labelled sample (rows of smallest id hash).
 FIT_TOXIC = 4_000
@@ -314,7 +314,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             s = model.scores(byte_texts(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())], ["doc_id", "score"])
 
@@ -327,7 +327,7 @@ def keep_ordinary(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The documents not predicted toxic, all their columns unchanged."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             yield b.filter(pa.array(model.scores(byte_texts(b.column("text"))) < THRESHOLD))
 
     return docs.mapInArrow(keep, docs.schema)

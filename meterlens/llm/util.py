@@ -70,7 +70,8 @@ def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``most`` text bytes (or one row),
-    so that a worker's memory does not depend on how long the texts are."""
+    so that a worker's memory does not depend on how long the texts are.
+    What Arrow holds of earlier slices goes back to the system."""
     for b in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
@@ -78,6 +79,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20)
             before = size[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(size, before + most, side="right")))
             yield b.slice(at, end - at)
+            pa.default_memory_pool().release_unused()
             at = end
 
 
