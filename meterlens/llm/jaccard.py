@@ -12,9 +12,10 @@ shingles, so if the places are dealt to more than d blocks, some block agrees.
   ``POOR`` (the same order as a hash collision).  Empty blocks are no keys.
 * Candidates: documents that share a block key.  Copies are folded first (by
   a 128-bit set fingerprint), keys are combined per slice of the input before
-  they are shuffled, and within a key only a star is proposed, around its most
-  central document: the one that shares most of its keys, as the original of
-  a group of edited copies does.  A short sketch then bounds the symmetric
+  they are shuffled.  Linking sets share all but d of a band's keys, so each
+  keeps the d + 1 that fewest documents hold, and within a key only a star is
+  proposed, around its most central document: the one that shares most of its
+  keys, as the original of a group of edited copies does.  A short sketch then bounds the symmetric
   difference from below, and what remains is verified on the full sets.
 * Components: a document is verified against the most central of its
   partners, and against the others only where they still lie in different
@@ -60,6 +61,7 @@ KEY_BITS = 40
 
 _SEED = np.uint64(0x51ED270B7A1F3C25)
 _STEP = np.uint64(0x9FB21C651E98DF25)
+ONE = np.uint64(1)
 
 
 # ---- shingle sets -----------------------------------------------------------------
@@ -160,12 +162,32 @@ def block_keys(starts: np.ndarray, sets: np.ndarray, num: int, den: int) -> tupl
         salt = mix64((band[picked][owner].astype(np.uint64) << np.uint64(32)) + block.astype(np.uint64))
         full = parity != 0
         out_set.append(picked[owner[full]])
-        out_key.append(mix64(parity[full] ^ salt[full]))
+        # the lowest bit tells a set's own band from the one below
+        out_key.append((mix64(parity[full] ^ salt[full]) & ~ONE) | (band[picked][owner[full]] & 1).astype(np.uint64))
     if not out_set:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(out_set), np.concatenate(out_key)
 
 
+def spare_keys(starts: np.ndarray, owner: np.ndarray, key: np.ndarray, num: int, den: int) -> np.ndarray:
+    """By set and lowest bit of the band: how many of its keys a set can do
+    without.  A partner that links lacks at most d of them, so any d + 1 hold a
+    common one; where all sets give up their most frequent keys in one order
+    of all keys, the first common key in that order stays on both sides."""
+    size = np.diff(starts)
+    out = np.zeros((len(size), 2), np.int64)
+    if not len(key):
+        return out
+    first, diff, _ = bands(1 << int(size.max()).bit_length(), num, den)
+    own = np.searchsorted(first, size, side="right") - 1
+    held = np.bincount(owner * 2 + (key & ONE).astype(np.int64), minlength=2 * len(size)).reshape(-1, 2)
+    for below in (0, 1):
+        band = np.maximum(own - below, 0)
+        at = np.arange(len(size)), band & 1
+        out[at] = np.maximum(held[at] - diff[band] - 1, 0)
+    return out
+
+
 def short_sketches(starts: np.ndarray, sets: np.ndarray) -> np.ndarray:
     """Parity bits of each set in ``64 * SKETCH_WORDS`` places."""
     n = len(starts) - 1
@@ -178,8 +200,10 @@ def short_sketches(starts: np.ndarray, sets: np.ndarray) -> np.ndarray:
 
 def bucketed(key: np.ndarray, buckets: int) -> np.ndarray:
     """Keys as their bucket's number and KEY_BITS of the hash.  Two keys that
-    become one propose more candidates, never fewer; buckets grow with the input."""
-    return ((key % np.uint64(buckets)) << np.uint64(KEY_BITS)) | (key >> np.uint64(64 - KEY_BITS))
+    become one propose more candidates, never fewer; buckets grow with the input.
+    The lowest bit stays."""
+    value = (key >> np.uint64(64 - KEY_BITS) & ~ONE) | (key & ONE)
+    return (((key >> np.uint64(1)) % np.uint64(buckets)) << np.uint64(KEY_BITS)) | value
 
 
 def pack_numbers(x: np.ndarray) -> bytes:
@@ -202,7 +226,7 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
 
 
 # ---- pass one ---------------------------------------------------------------------
-_PASS = ("kind int, doc long, n long, rep long, fp_a long, fp_b long, sketch array<long>, "
+_PASS = ("kind int, doc long, n long, rep long, fp_a long, fp_b long, sketch array<long>, spare_0 int, spare_1 int, "
          "bucket int, keys binary, docs binary")
 DOC, KEYS, SHARED = 0, 1, 2
 
@@ -213,7 +237,7 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
 
     def rows(kind: int, count: int, /, **cols: pa.Array) -> pa.RecordBatch:
         types = {"kind": pa.int32(), "doc": pa.int64(), "n": pa.int64(), "rep": pa.int64(), "fp_a": pa.int64(),
-                 "fp_b": pa.int64(), "sketch": pa.list_(pa.int64()), "bucket": pa.int32(), "keys": pa.binary(), "docs": pa.binary()}
+                 "fp_b": pa.int64(), "sketch": pa.list_(pa.int64()), "spare_0": pa.int32(), "spare_1": pa.int32(), "bucket": pa.int32(), "keys": pa.binary(), "docs": pa.binary()}
         cols["kind"] = pa.array(np.full(count, kind, np.int32))
         return pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(count, t)) for c, t in types.items()], list(types))
 
@@ -240,10 +264,12 @@ def _sketch_pass(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> D
             is_head = np.zeros(len(ids), bool)
             is_head[head] = True
             sketch = short_sketches(starts, sets)
+            owner, key = block_keys(starts, sets, num, den)
+            spare = spare_keys(starts, owner, key, num, den).astype(np.int32)
             yield rows(DOC, len(ids), doc=pa.array(ids, mask=null), n=pa.array(size), rep=pa.array(rep, mask=null),
+                       spare_0=pa.array(spare[:, 0]), spare_1=pa.array(spare[:, 1]),
                        fp_a=pa.array(fp[:, 0], mask=~is_head), fp_b=pa.array(fp[:, 1], mask=~is_head),
                        sketch=pa.array([s if h else None for s, h in zip(sketch.view(np.int64), is_head)], pa.list_(pa.int64())))
-            owner, key = block_keys(starts, sets, num, den)
             mine = is_head[owner]
             owner, key = owner[mine], bucketed(key[mine], buckets)
             if not len(key):
@@ -365,6 +391,12 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _kept(keys: str, bit: int) -> Column:
+    """The keys of one band, from the rarest on, without the spare ones."""
+    mine = F.filter(keys, lambda x: x["key"].bitwiseAND(F.lit(1)) == bit)
+    return F.transform(F.slice(mine, F.lit(1), F.greatest(F.size(mine) - F.col(f"spare_{bit}"), F.lit(0))), lambda x: x["key"])
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs ``a, b`` (smaller first, once each) that lie in different components."""
     for x in "ab":
@@ -390,7 +422,7 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         raise ValueError("the similarity must lie between 1/2 and 1")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = written(_sketch_pass(docs, k, num, den, buckets), "jaccard")
-    rows = first.filter(F.col("kind") == DOC).select("doc", "n", "rep", "fp_a", "fp_b", "sketch")
+    rows = first.filter(F.col("kind") == DOC).select("doc", "n", "rep", "fp_a", "fp_b", "sketch", "spare_0", "spare_1")
     heads = rows.filter(F.col("sketch").isNotNull())
     # equal sets: one row per set and slice is left to meet here
     lows = heads.groupBy("fp_a", "fp_b", "n").agg(F.min("doc").alias("a"))
@@ -399,11 +431,17 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     local = first.filter(F.col("kind") == SHARED).select("keys", "docs").mapInArrow(_unpacked, "key long, doc long")
     member = local.unionByName(near)
 
-    # one row per document: what is joined on documents moves keys, not rows
-    keyed = written(member.groupBy("doc").agg(F.collect_set("key").alias("keys")), "jaccard-keyed")
+    # one row per document: what is joined on documents moves keys, not rows.  Its
+    # spare keys go, the most frequent first: those of passages that many texts
+    # share; an id with several sets keeps all
+    often = member.join(member.groupBy("key").agg(F.count(F.lit(1)).alias("often")), "key")
+    spare = heads.groupBy("doc").agg(*[F.when(F.count(F.lit(1)) == 1, F.max(c)).otherwise(0).alias(c) for c in ("spare_0", "spare_1")])
+    keyed = often.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("often", "key"))).alias("all")).join(spare, "doc")
+    keyed = written(keyed.select("doc", F.size("all").alias("degree"), F.concat(_kept("all", 0), _kept("all", 1)).alias("keys")),
+                    "jaccard-keyed")
 
     # a star in each key, around the document that shares most keys
-    central = F.struct(F.size("keys").alias("degree"), (-F.col("doc")).alias("minus"))
+    central = F.struct("degree", (-F.col("doc")).alias("minus"))
     centres = written(keyed.select(F.explode("keys").alias("key"), central.alias("best"))
                            .groupBy("key").agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("size"))
                            .filter("size > 1").select("key", (-F.col("best.minus")).alias("centre"),
