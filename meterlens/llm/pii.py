@@ -5,10 +5,11 @@ propose further, overlapping spans (failed base matches, digit groups, values
 behind ``name=`` or ``name:``, long mixed tokens); boosted trees score each
 from its format and context, and a threshold per kind, calibrated on
 candidates the trees have not seen, selects those that are added under the
-kinds ``secret`` and ``number``.  The trees learn from weak labels on a bounded sample
-of the corpus' own candidates.  Positive are validated base matches, numbers
-behind a naming word or in a national format, values behind a credential name
-and well-known key formats; everything else a generator proposes is negative.
+kinds ``secret`` and ``number``.  The trees learn from weak labels on all
+distinct candidates of the corpus, in sums that Spark makes over them.  Positive
+are validated base matches, numbers behind a naming word or in a national format,
+values behind a credential name and well-known key formats; everything else a
+generator proposes is negative.
 Base spans teach the trees but calibrate no threshold, as they are never
 added, and a candidate that overlaps one is left out.
 
@@ -40,14 +41,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlens.llm import gbt
-from meterlens.llm.util import slices, str_texts
+from meterlens.llm.util import slices, str_texts, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("secret", "number")
 KINDS = BASE_KINDS + ADDED_KINDS
 
-#: Bound of the candidate sample (distinct candidates of smallest hash) the trees are fitted on.
-FIT_CANDIDATES = 20_000
+#: Bins of a feature, cut at quantiles of this rank accuracy (1 / RANKS).
+BINS, RANKS = 32, 10_000
+#: Steps a unit of the raw score, and where they end, on which thresholds are sought.
+GRID, GRID_END = 256, 16
 #: Precision on unseen candidates that a kind's threshold must reach.
 PRECISION = 0.98
 
@@ -245,18 +248,18 @@ def _fitting(text: str, matches: list[tuple[str, int, int, bool]]) -> Iterator[t
             yield kind, a, b, y, 0
 
 
-def fit_pii(docs: DataFrame, limit: int = FIT_CANDIDATES) -> PiiModel:
-    """Fit on the ``limit`` distinct candidates of smallest hash in all documents."""
+def _proposed(docs: DataFrame) -> DataFrame:
+    """``hash, kind, y, base`` and FEATURES of every distinct candidate of all documents."""
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             found = set()
             for text in str_texts(b.column("text")):
                 for kind, s, e, y, base in _fitting(text, base_matches(text)):
                     key = hashlib.blake2b(text[max(0, s - 20):e].encode("utf-8", "replace"), digest_size=8)
                     found.add((int.from_bytes(key.digest(), "little", signed=True), kind, y, base,
                                tuple(candidate_features(text, s, e))))
-            rows = sorted(found)[:limit]  # no batch can add more than the bound
+            rows = sorted(found)
             x = [r[4] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
@@ -264,31 +267,64 @@ def fit_pii(docs: DataFrame, limit: int = FIT_CANDIDATES) -> PiiModel:
                  *[pa.array([f[i] for f in x], pa.float64()) for i in range(len(FEATURES))]],
                 ["hash", "kind", "y", "base", *FEATURES])
 
-    rows = docs.select("text").mapInArrow(
-        propose, "hash long, kind string, y int, base int, " + ", ".join(f"{f} double" for f in FEATURES))
-    got = rows.distinct().orderBy("hash", "kind", "y", "base", *FEATURES).limit(limit).toArrow()
-    y = got.column("y").to_numpy().astype(np.float64)
-    if len(y) < 40 or y.min() == y.max():
-        return PiiModel(None, {})
-    x = np.column_stack([got.column(f).to_numpy() for f in FEATURES])
-    kind = np.array(got.column("kind").to_pylist())
-    base = got.column("base").to_numpy() == 1
-    test = (got.column("hash").to_numpy() & 3) == 3
-    if test.all() or not test.any() or y[~test].min() == y[~test].max():
-        return PiiModel(None, {})
-    trees = gbt.fit(x[~test], y[~test], trees=40)
-    p = trees.proba(x)
-    thresholds = {}
-    for k in ADDED_KINDS:
-        at = test & (kind == k) & ~base
-        order = np.argsort(-p[at], kind="stable")
-        if not len(order):
-            continue
-        hits = np.cumsum(y[at][order])
-        precise = np.flatnonzero(hits / np.arange(1, len(order) + 1) >= PRECISION)
+    return docs.select("text").mapInArrow(
+        propose, "hash long, kind string, y int, base int, " + ", ".join(f"{f} double" for f in FEATURES)).distinct()
+
+
+def _matrix(b: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([b.column(f).to_numpy() for f in FEATURES])
+
+
+def _cells(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """``bins, y, n``: how many candidates agree in all their bins and the label."""
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.column_stack([np.searchsorted(e, v, side="left") for e, v in zip(edges, _matrix(b).T)]).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in at], pa.binary()), b.column("y")], ["bins", "y"])
+
+    return rows.select("y", *FEATURES).mapInArrow(bins, "bins binary, y int").groupBy("bins", "y").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _thresholds(unseen: DataFrame, trees: gbt.Trees) -> dict[str, float]:
+    """By kind the lowest score (at least 0.5) from which on PRECISION of all
+    ``unseen`` candidates are labelled positive, on a grid of raw scores."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.floor(np.clip(trees.raw(_matrix(b)), -GRID_END, GRID_END) * GRID).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("y"), pa.array(at)], ["kind", "y", "at"])
+
+    got = (unseen.select("kind", "y", *FEATURES).mapInArrow(score, "kind string, y int, at int")
+                 .groupBy("kind", "at").agg(F.sum("y").alias("hits"), F.count(F.lit(1)).alias("n")).collect())
+    out = {}
+    for kind in ADDED_KINDS:
+        rows = sorted(((r["at"], r.hits, r.n) for r in got if r.kind == kind), reverse=True)
+        at, hits, n = np.array(rows, np.int64).reshape(-1, 3).T
+        hits = np.cumsum(hits)
+        precise = np.flatnonzero(hits / np.cumsum(n) >= PRECISION)
         if len(precise) and hits[precise[-1]] > 0:
-            thresholds[k] = max(0.5, float(p[at][order][precise[-1]]))
-    return PiiModel(trees, thresholds)
+            out[kind] = max(0.5, float(1 / (1 + np.exp(-at[precise[-1]] / GRID))))
+    return out
+
+
+def fit_pii(docs: DataFrame, limit: int | None = None) -> PiiModel:
+    """Fit on the distinct candidates of all documents, or only on the ``limit``
+    of smallest hash.  They stay in Spark; the driver sees sums of bounded size."""
+    rows = _proposed(docs)
+    if limit is not None:
+        rows = rows.orderBy("hash", "kind", "y", "base", *FEATURES).limit(limit)
+    rows = written(rows.withColumn("unseen", F.col("hash").bitwiseAND(F.lit(3)) == 3), "pii-candidates")
+    count = {(r.unseen, r.y): r["count"] for r in rows.groupBy("unseen", "y").count().collect()}
+    seen, positive = count.get((False, 0), 0) + count.get((False, 1), 0), count.get((False, 1), 0)
+    if sum(count.values()) < 40 or sum(count.values()) == seen or positive in (0, seen):
+        return PiiModel(None, {})
+    part = [i / BINS for i in range(1, BINS)]
+    seen_rows = rows.filter("not unseen")
+    at = seen_rows.agg(*[F.percentile_approx(f, part, RANKS).alias(f) for f in FEATURES]).first()
+    edges = [np.unique(at[f]) for f in FEATURES]
+    trees = gbt.fit_cells(written(_cells(seen_rows, edges), "pii-cells"), edges, positive / seen, trees=40)
+    return PiiModel(trees, _thresholds(rows.filter("unseen and base = 0"), trees))
 
 
 def _line(spans: list[Span]) -> str:
