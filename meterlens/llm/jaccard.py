@@ -19,9 +19,9 @@ shingles, so if the places are dealt to more than d blocks, some block agrees.
   difference from below, and what remains is verified on the full sets.
 * Components: a document is verified against the most central of its
   partners, and against the others only where they still lie in different
-  components.  Then every key of three or more whose documents beside the
-  centre still lie in different components joins those whose sketches are
-  close enough to link, and these are verified too.  So no link that could join
+  components.  Then the documents that share a key of three or more, beside
+  its centre, and still lie in different components meet once per centre;
+  those whose sketches are close enough to link are verified too.  So no link that could join
   components is lost, and a group of copies or near copies never expands into
   all its pairs.
 
@@ -52,8 +52,6 @@ POOR = 1e-12
 MOST_BLOCKS = 1 << 31
 #: Bits of the short sketch kept for the Hamming filter.
 SKETCH_WORDS = 16
-#: Words of the folded sketch that goes with every key in the closing step.
-FOLD_WORDS = 4
 #: Text bytes handled at a time.
 SLICE_BYTES = 4 << 20
 #: Bits of a block key beside its bucket's number.
@@ -323,20 +321,11 @@ def _shared_keys(keys: DataFrame, buckets: int) -> DataFrame:
 
 
 # ---- verification -----------------------------------------------------------------
-def _folded(i: int) -> Column:
-    """Word ``i`` of a sketch folded to FOLD_WORDS words: parities of parities,
-    so its Hamming distance still bounds the symmetric difference from below."""
-    out = F.col("sketch")[i]
-    for j in range(i + FOLD_WORDS, SKETCH_WORDS, FOLD_WORDS):
-        out = out.bitwiseXOR(F.col("sketch")[j])
-    return out
-
-
-def _close(a: str, b: str, num: int, den: int, words: int = SKETCH_WORDS) -> Column:
+def _close(a: str, b: str, num: int, den: int) -> Column:
     """Sizes and sketches of rows ``a`` and ``b`` leave room for a link: the
     Hamming distance is at most (den - num) / (den + num) of both sizes."""
     n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    apart = sum((F.bit_count(F.col(f"s_{a}")[i].bitwiseXOR(F.col(f"s_{b}")[i])) for i in range(words)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"s_{a}")[i].bitwiseXOR(F.col(f"s_{b}")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
     return ((F.least(n_a, n_b) * den >= F.greatest(n_a, n_b) * num)
             & (apart * (den + num) <= (n_a + n_b) * (den - num)))
 
@@ -415,6 +404,29 @@ def _joined(edges: DataFrame, labels: DataFrame, links: DataFrame) -> tuple[Data
     return edges, components(edges)
 
 
+def _meetings(named: DataFrame) -> DataFrame:
+    """``centre, group, doc, label``: where documents of ``named`` meet that lie in
+    different components.  Copies share many keys around one centre, so all its
+    documents meet once (group 0), unless meeting key by key takes fewer pairs."""
+    keys = (named.groupBy("centre", "key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size"))
+                 .filter("x <> y").select("centre", "key", F.col("size").cast("double").alias("size")))
+    near = written(named.join(keys.select("centre", "key"), ["centre", "key"], "left_semi"), "jaccard-open")
+    whole = (near.select("centre", "doc").distinct().groupBy("centre").agg(F.count(F.lit(1)).cast("double").alias("docs"))
+                 .join(keys.groupBy("centre").agg(F.sum(F.col("size") * F.col("size")).alias("apart")), "centre")
+                 .select("centre", (F.col("docs") * F.col("docs") <= F.col("apart")).alias("once")))
+    return (near.join(whole, "centre")
+                .select("centre", F.when(F.col("once"), 0).otherwise(F.col("key")).alias("group"), "doc", "label").distinct())
+
+
+def _crossing(rest: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs ``a, b`` that meet, lie in different components and whose whole
+    sketches leave room for a link, once each."""
+    meet = ["centre", "group"]
+    return (_side(rest, "a", *meet, F.col("label").alias("l_a")).join(_side(rest, "b", *meet, F.col("label").alias("l_b")), meet)
+            .filter((F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b")) & _close("a", "b", num, den))
+            .select("a", "b").distinct())
+
+
 def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``; documents link
     when ``den * |A and B| >= num * |A or B|`` (``num / den`` at least 1/2)."""
@@ -467,17 +479,11 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     # of them the centre; of documents with equal sets the smallest speaks for all
     named = written(spokes.filter("size > 2").join(equal.select(F.col("b").alias("doc")), "doc", "left_anti")
                           .join(labels.withColumnRenamed("v", "doc"), "doc", "left")
-                          .select("key", "doc", F.coalesce("label", "doc").alias("label")), "jaccard-named")
-    open_keys = (named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                      .filter("x <> y").select("key"))
-    folded = heads.select("doc", "n", F.array(*[_folded(i) for i in range(FOLD_WORDS)]).alias("sketch"))
-    rest = written(named.join(open_keys, "key", "left_semi").distinct().join(folded, "doc"), "jaccard-rest")
-    cross = (_side(rest, "a", "key", F.col("label").alias("l_a")).join(_side(rest, "b", "key", F.col("label").alias("l_b")), "key")
-             .filter((F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b")) & _close("a", "b", num, den, FOLD_WORDS))
-             .select("a", "b").distinct())
-    cross = cross.join(_side(heads, "a"), "a").join(_side(heads, "b"), "b").filter(_close("a", "b", num, den)).select("a", "b")
+                          .select("key", "centre", "doc", F.coalesce("label", "doc").alias("label")), "jaccard-named")
+    rest = written(_meetings(named).join(heads.select("doc", "n", "sketch"), "doc"), "jaccard-rest")
+    cross = _crossing(rest, num, den)
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    cross = written(cross.distinct().join(tested, ["a", "b"], "left_anti"), "jaccard-cross")
+    cross = written(cross.join(tested, ["a", "b"], "left_anti"), "jaccard-cross")
     edges, labels = _joined(edges, labels, _verified(cross, docs, k, num, den))
     out = rows.select("doc", "n", "rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
