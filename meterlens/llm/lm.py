@@ -13,9 +13,10 @@ another share no mass, and all tokens together have at most 1.  A text's probabi
 token by token, this with the token's share among all training tokens and its
 share among the text's earlier tokens.
 
-Token and subword counts cover all training documents: blocks of texts send
-their distinct words with counts to hash buckets, where copies of a word meet
-once per block and its spelling is counted once; the totals return to the
+Texts are split and spelt once: a block of texts is written as tokens that number
+its distinct words, and the subword ids of each of these.  Token and subword counts
+cover all training documents: blocks send their distinct words with counts to hash
+buckets, where copies of a word meet once per block; the totals return to the
 blocks.  The network trains on every window of every training document: the
 documents are dealt to rounds of doubling size, in a round each partition
 takes steps over its own windows, and the weights are averaged in a tree.
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from meterlens.llm.bpe import block_texts
+from meterlens.llm.bpe import blocks as numbered
 from meterlens.llm.bytebpe import BYTE_BPE, byte_bpe, public_path
 from meterlens.llm.util import fold, mix64, pack_bytes, split_words, unpack_bytes, word_hash, written
 
@@ -55,8 +56,6 @@ WINDOW, BACK, DIM, HIDDEN = 32, 8, 16, 32
 SCORED = WINDOW - BACK
 #: Ids whose windows are laid out at a time (or one text).
 PLACES = 200_000
-#: Words spelt at a time.
-SPELL = 100_000
 #: Classes of the output, the first BEGIN of them for ids that begin a token.
 CLASSES, BEGIN, MEMBERS = 32, 16, 64
 #: Weights in the mixture: network, training tokens, earlier tokens of the text.
@@ -103,158 +102,144 @@ class Attention:
         return Attention(slot, escape, w)
 
     def states(self, ids: np.ndarray, valid: np.ndarray) -> tuple:
-        """Hidden states of the last SCORED places of each window; ``valid`` masks keys."""
+        """Hidden states of the last SCORED places of each window; ``valid`` masks keys.
+
+        The weights of queries and keys, and of values and output, are multiplied
+        first, and embeddings carry a column of ones (zeros where nothing is): its
+        share of the values is the attention's sum, by which only they are divided."""
         w = self.w
-        e = w["emb"][ids] + w["pos"]
-        q, k, v = e[:, BACK:] @ w["q"], e @ w["k"], e @ w["v"]
-        s = q @ k.transpose(0, 2, 1) * np.float32(DIM ** -0.5)
-        s += _CAUSAL + np.where(valid, np.float32(0), np.float32(-1e9))[:, None, :]
-        s -= s.max(axis=2, keepdims=True)
+        e = np.empty((*ids.shape, DIM + 1), w["emb"].dtype)
+        np.add(w["emb"].take(ids, axis=0), w["pos"], out=e[..., :DIM])
+        e[..., DIM] = 1
+        if not valid.all():
+            e[~valid] = 0
+        half = e[:, BACK:, :DIM].reshape(-1, DIM)
+        t = (half @ (w["q"] @ w["k"].T * e.dtype.type(DIM ** -0.5))).reshape(-1, SCORED, DIM)
+        s = t @ e[..., :DIM].transpose(0, 2, 1)
+        np.clip(s, -60, 60, out=s)
         np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
-        o = s @ v
-        h = e[:, BACK:] + o @ w["o"]
-        r = np.maximum(h @ w["w1"] + w["b1"], 0)
-        return e, q, k, v, s, o, h, r, h + r @ w["w2"]
+        s *= _SEEN
+        x = (s @ e).reshape(-1, DIM + 1)
+        total = x[:, DIM:]
+        x = x[:, :DIM] / total
+        h = half + x @ (w["v"] @ w["o"])
+        r = h @ w["w1"]
+        r += w["b1"]
+        np.maximum(r, 0, out=r)
+        return e, half, t, s, x, total, h, r, (h + r @ w["w2"]).reshape(t.shape)
 
     def head(self, z: np.ndarray, slots: np.ndarray) -> tuple:
-        """Log probabilities of ``slots`` after states ``z``, and both softmaxes in class order."""
-        w = self.w
-        c, m = slots // MEMBERS, slots % MEMBERS
-        lc = z @ w["wc"] + w["bc"]
-        lc -= lc.max(axis=1, keepdims=True)
-        pc_ = np.exp(lc)
-        total = pc_.sum(axis=1, keepdims=True)
-        out = lc[np.arange(len(z)), c] - np.log(total[:, 0])
-        order = np.argsort(c.astype(np.uint8), kind="stable")
-        edge = np.searchsorted(c[order], np.arange(CLASSES + 1))
-        pm = np.empty((len(z), MEMBERS), np.float32)
+        """Log probabilities of ``slots`` after states ``z``, and what gradients need:
+        the order of classes with its edges, and in it states with a column of ones,
+        classes, members, and the exponentials of both steps with their sums."""
+        w, n = self.w, len(z)
+        order = np.argsort((slots // MEMBERS).astype(np.uint8), kind="stable")
+        c, m = np.divmod(slots[order], MEMBERS)
+        edge = np.searchsorted(c, np.arange(CLASSES + 1))
+        one = np.empty((n, DIM + 1), z.dtype)
+        one[:, :DIM] = z.take(order, axis=0)
+        one[:, DIM] = 1
+        pc_ = one @ np.vstack([w["wc"], w["bc"]])
+        pm = np.empty((n, MEMBERS), z.dtype)
+        wm = np.concatenate([w["wm"], w["bm"][:, None]], axis=1)
         for i in range(CLASSES):
-            at = order[edge[i]:edge[i + 1]]
-            if len(at):
-                lm = z[at] @ w["wm"][i] + w["bm"][i]
-                lm -= lm.max(axis=1, keepdims=True)
-                p = np.exp(lm)
-                t = p.sum(axis=1, keepdims=True)
-                pm[at] = p / t
-                out[at] += lm[np.arange(len(at)), m[at]] - np.log(t[:, 0])
-        return out, pc_ / total, pm, order, edge
+            if edge[i] < edge[i + 1]:
+                np.matmul(one[edge[i]:edge[i + 1]], wm[i], out=pm[edge[i]:edge[i + 1]])
+        np.clip(pc_, -60, 60, out=pc_)
+        np.clip(pm, -60, 60, out=pm)
+        row = np.arange(n)
+        got = pc_[row, c] + pm[row, m]
+        np.exp(pc_, out=pc_)
+        np.exp(pm, out=pm)
+        tc, tm = pc_ @ np.ones(CLASSES, z.dtype), pm @ np.ones(MEMBERS, z.dtype)
+        got -= np.log(tc) + np.log(tm)
+        out = np.empty_like(got)
+        out[order] = got
+        return out, order, edge, one, c, m, pc_, tc, pm, tm
 
     def gradients(self, ids, valid, target, scored) -> tuple[float, dict[str, np.ndarray]]:
         w = self.w
-        e, q, k, v, a, o, h, r, z = self.states(ids, valid)
-        flat, y = z[scored], target[scored]
-        logp, p_c, p_m, order, edge = self.head(flat, y)
-        c, m, n = y // MEMBERS, y % MEMBERS, len(y)
-        g: dict[str, np.ndarray] = {}
-        p_c[np.arange(n), c] -= 1
-        p_m[np.arange(n), m] -= 1
-        p_c /= n
-        p_m /= n
-        g["wc"], g["bc"] = flat.T @ p_c, p_c.sum(0)
-        dflat = p_c @ w["wc"].T
+        e, half, t, s, x, total, h, r, z = self.states(ids, valid)
+        use = np.flatnonzero(scored)
+        logp, order, edge, one, c, m, pc_, tc, pm, tm = self.head(z.reshape(-1, DIM).take(use, axis=0), target[scored])
+        n, g = len(use), {}
+        row = np.arange(n)
+        # exponentials less their sum at the target, over the sum, are the gradient of the logits
+        pc_[row, c] -= tc
+        pm[row, m] -= tm
+        tc, tm = (1 / (n * tc))[:, None], (1 / (n * tm))[:, None]
+        both = (one * tc).T @ pc_
+        g["wc"], g["bc"] = both[:DIM], both[DIM]
         g["wm"], g["bm"] = np.zeros_like(w["wm"]), np.zeros_like(w["bm"])
+        dflat, over = np.empty((n, DIM), z.dtype), one * tm
         for i in range(CLASSES):
-            at = order[edge[i]:edge[i + 1]]
-            if len(at):
-                g["wm"][i], g["bm"][i] = flat[at].T @ p_m[at], p_m[at].sum(0)
-                dflat[at] += p_m[at] @ w["wm"][i].T
-        dz = np.zeros_like(z)
-        dz[scored] = dflat
-        two = lambda x: x.reshape(-1, x.shape[-1])
-        g["w2"] = two(r).T @ two(dz)
-        dr = dz @ w["w2"].T * (r > 0)
-        g["w1"], g["b1"] = two(h).T @ two(dr), two(dr).sum(0)
+            a, b = edge[i], edge[i + 1]
+            if a < b:
+                both = over[a:b].T @ pm[a:b]
+                g["wm"][i], g["bm"][i] = both[:DIM], both[DIM]
+                np.matmul(pm[a:b], w["wm"][i].T, out=dflat[a:b])
+        dflat *= tm
+        dflat += pc_ @ w["wc"].T * tc
+        dz = np.zeros_like(half)
+        dz[use[order]] = dflat
+        g["w2"] = r.T @ dz
+        dr = dz @ w["w2"].T
+        dr *= r > 0
+        g["w1"], g["b1"] = h.T @ dr, np.ones(len(dr), dr.dtype) @ dr
         dh = dz + dr @ w["w1"].T
-        g["o"] = two(o).T @ two(dh)
-        do = dh @ w["o"].T
-        dv = a.transpose(0, 2, 1) @ do
-        da = do @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(DIM ** -0.5)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        half = e[:, BACK:]
-        g["q"], g["k"], g["v"] = two(half).T @ two(dq), two(e).T @ two(dk), two(e).T @ two(dv)
-        de = dk @ w["k"].T + dv @ w["v"].T
-        de[:, BACK:] += dh + dq @ w["q"].T
+        vo = x.T @ dh
+        g["v"], g["o"] = vo @ w["o"].T, w["v"].T @ vo
+        dx = np.empty((len(dh), DIM + 1), dh.dtype)
+        dx[:, :DIM] = dh @ (w["v"] @ w["o"]).T / total
+        dx[:, DIM] = -np.einsum("ij,ij->i", dx[:, :DIM], x)
+        dx = dx.reshape(*t.shape[:2], DIM + 1)
+        ds = dx @ e.transpose(0, 2, 1)
+        ds *= s
+        scale = e.dtype.type(DIM ** -0.5)
+        dt = (ds @ e[..., :DIM]).reshape(-1, DIM)
+        qk = half.T @ dt * scale
+        g["q"], g["k"] = qk @ w["k"], qk.T @ w["q"]
+        de = s.transpose(0, 2, 1) @ dx[..., :DIM] + ds.transpose(0, 2, 1) @ t
+        de[:, BACK:] += (dh + dt @ (w["k"] @ w["q"].T * scale)).reshape(t.shape)
+        if not valid.all():
+            de[~valid] = 0
         g["pos"] = de.sum(0)
         g["emb"] = np.zeros_like(w["emb"])
         order = np.argsort(ids.astype(np.uint16), axis=None, kind="stable")
         seen, first = np.unique(ids.ravel()[order], return_index=True)
-        g["emb"][seen] = np.add.reduceat(two(de)[order], first)
+        g["emb"][seen] = np.add.reduceat(de.reshape(-1, DIM).take(order, axis=0), first)
         return float(-logp.mean()), g
 
-    def scoring_states(self, ids: np.ndarray, valid: np.ndarray) -> np.ndarray:
-        """The last of ``states``, without what only training needs: masks
-        multiply the exponentials, and the sum divides after the values."""
-        w = self.w
-        e = w["emb"][ids] + w["pos"]
-        half = e[:, BACK:]
-        s = (half @ (w["q"] * np.float32(DIM ** -0.5))) @ (e @ w["k"]).transpose(0, 2, 1)
-        np.clip(s, -60, 60, out=s)
-        np.exp(s, out=s)
-        s *= _SEEN
-        v = e @ w["v"]
-        if valid.all():
-            total = s.sum(axis=2, keepdims=True)
-        else:
-            seen = valid[:, :, None].astype(np.float32)
-            v = v * seen
-            total = np.maximum(s @ seen, np.float32(1e-30))  # places past a text's end see nothing
-        h = half + (s @ v / total) @ w["o"]
-        return h + np.maximum(h @ w["w1"] + w["b1"], 0) @ w["w2"]
-
-    def scoring_head(self, z: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The first of ``head`` without the softmaxes themselves, and the log
-        probability that a token begins."""
-        w = self.w
-        c, m = slots // MEMBERS, slots % MEMBERS
-        order = np.argsort(c.astype(np.uint8), kind="stable")
-        z, c, m = z[order], c[order], m[order]
-        logits = z @ w["wc"] + w["bc"]
-        top = logits.max(axis=1)
-        got = logits[np.arange(len(z)), c] - top
-        logits -= top[:, None]
-        np.exp(logits, out=logits)
-        total = np.log(logits.sum(axis=1))
-        got -= total
-        begin = np.log(np.maximum(logits[:, :BEGIN].sum(axis=1), np.float32(1e-30))) - total
-        logits = np.empty((len(z), MEMBERS), np.float32)
-        edge = np.searchsorted(c, np.arange(CLASSES + 1))
-        for i in range(CLASSES):
-            a, b = edge[i], edge[i + 1]
-            if a < b:
-                logits[a:b] = z[a:b] @ w["wm"][i] + w["bm"][i]
-        top = logits.max(axis=1)
-        got += logits[np.arange(len(z)), m] - top
-        logits -= top[:, None]
-        got -= np.log(np.exp(logits, out=logits).sum(axis=1))
-        out = np.empty((2, len(z)))
-        out[0, order], out[1, order] = got, begin
-        return out[0], out[1]
-
     def log_probs(self, before: np.ndarray, after: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probabilities of each id ``after`` the ids ``before`` it, and
         of a token beginning there; ``starts`` are the texts' first places and the end."""
         out, begin = np.zeros(len(after)), np.zeros(len(after))
-        text = 0
-        while text < len(starts) - 1:  # texts of some PLACES ids at a time bound the memory
-            last = max(text + 1, int(np.searchsorted(starts, starts[text] + PLACES, side="right")) - 1)
+        for text, last in spans(starts):
             a, b = int(starts[text]), int(starts[last])
             index, valid, scored = windows(starts[text:last + 1] - a)
             slots_in, slots_out = self.slot[before[a:b]], self.slot[after[a:b]]
-            for at in range(0, len(index), 256):
-                i, use = index[at:at + 256], scored[at:at + 256]
-                z = self.scoring_states(slots_in[i], valid[at:at + 256])
-                place = i[:, BACK:][use]
-                out[a + place], begin[a + place] = self.scoring_head(z[use], slots_out[place])
+            for at in range(0, len(index), 512):
+                i, use = index[at:at + 512], scored[at:at + 512]
+                z = self.states(slots_in[i], valid[at:at + 512])[-1]
+                place = a + i[:, BACK:][use]
+                got, order, _, _, _, _, p, total, _, _ = self.head(z[use], slots_out[place - a])
+                out[place], begin[place[order]] = got, np.log(p[:, :BEGIN] @ np.ones(BEGIN, p.dtype) / total)
             rare = np.flatnonzero((slots_out == 0) | (slots_out == BEGIN * MEMBERS))
             out[a + rare] += self.escape[after[a:b][rare]]
-            text = last
         return out, begin
 
 
-_CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(BACK, WINDOW)[:, None], 0, -1e9).astype(np.float32)
-_SEEN = (_CAUSAL == 0).astype(np.float32)
+_SEEN = (np.arange(WINDOW)[None, :] <= np.arange(BACK, WINDOW)[:, None]).astype(np.float32)
+
+
+def spans(starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts, first and behind the last, of some PLACES places each (or one
+    text); they bound the memory."""
+    text = 0
+    while text < len(starts) - 1:
+        last = max(text + 1, int(np.searchsorted(starts, starts[text] + PLACES, side="right")) - 1)
+        yield text, last
+        text = last
 
 
 def windows(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -300,9 +285,14 @@ class State:
         soft = np.float32((1 - 0.98 ** self.step) ** -0.5)
         for k, x in self.w.items():
             m, v = self.m[k], self.v[k]
-            m += np.float32(0.1) * (g[k] - m)
-            v += np.float32(0.02) * (g[k] * g[k] - v)
-            x -= np.float32(rate) * m / (np.sqrt(v) * soft + np.float32(1e-8))
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * g[k]
+            v *= np.float32(0.98)
+            v += np.square(np.float32(0.02 ** 0.5) * g[k])
+            root = np.sqrt(v)
+            root *= soft
+            root += np.float32(1e-8)
+            x -= np.float32(rate) * np.divide(m, root, out=root)
 
 
 def train(model: Attention, state: State, ids: np.ndarray, starts: np.ndarray, rate, rng: np.random.Generator) -> int:
@@ -328,33 +318,73 @@ def shifted(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 # ---- texts to token and id streams --------------------------------------------------
-def streams(texts: pa.Array, bpe) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
-    """(token starts of each text, distinct-word number of each token with -1
-    for the end, the distinct words, ids, id starts of each token)."""
-    starts, at, words = split_words(texts, lower=True)
-    spelt = bpe.spaced_words(words.to_pylist()) + [np.array([END_ID], "<u2").tobytes()]
-    token = np.insert(at.astype(np.int64), starts[1:], -1)
-    starts = starts + np.arange(len(starts))
-    got = pa.array(spelt, pa.binary()).take(pa.array(np.where(token < 0, len(words), token)))
+def coded_blocks(docs: DataFrame, paths: tuple[str, str], buckets: int) -> DataFrame:
+    """``block, doc_ids, starts, tokens, words, spelt``: texts as token starts and
+    tokens, which are numbers of the block's distinct words (-1: a text's end); the
+    words, in the order of their hash buckets, and the subword ids of each."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _encoder(paths)
+        for block, b in numbered(batches):
+            starts, at, words = split_words(b.column("text"), lower=True)
+            order = np.argsort(_bucket(words, buckets), kind="stable")
+            words, number = words.take(pa.array(order)), np.empty(len(order), np.int32)
+            number[order] = np.arange(len(order), dtype=np.int32)
+            token = np.insert(number[at], starts[1:], -1)
+            ids = b.column("doc_id")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays([ids])),
+                 _packed(starts + np.arange(len(starts)), "<i8"), _packed(token, "<i4"), pa.array([pack_bytes(words)], pa.binary()),
+                 pa.array([pack_bytes(pa.array(bpe.spaced_words(words.to_pylist()), pa.binary()))], pa.binary())],
+                ["block", "doc_ids", "starts", "tokens", "words", "spelt"])
+
+    return (docs.select("doc_id", "text")
+                .mapInArrow(code, f"block long, doc_ids array<{kind}>, starts binary, tokens binary, words binary, spelt binary"))
+
+
+def _bucket(words: pa.Array, buckets: int) -> np.ndarray:
+    return (word_hash(words) % np.uint64(buckets)).astype(np.int32)
+
+
+def _packed(x: np.ndarray, kind: str) -> pa.Array:
+    return pa.array([zstandard.compress(x.astype(kind).tobytes(), 1)], pa.binary())
+
+
+def _numbers(blob: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(blob), kind)
+
+
+def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    """One row at a time, as a row is a block."""
+    for b in batches:
+        for row in range(b.num_rows):
+            yield tuple(b.column(c)[row].as_py() for c in columns)
+
+
+def id_stream(token: np.ndarray, spelt: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of a stream of tokens, id starts of each token and the end); ``spelt``
+    has the ids of each token's number, and -1 is the end."""
+    spelt = pa.concat_arrays([spelt, pa.array([np.array([END_ID], "<u2").tobytes()], pa.binary())])
+    got = spelt.take(pa.array(np.where(token < 0, len(spelt) - 1, token)))
     _, offsets, data = got.buffers()
     ends = np.frombuffer(offsets, np.int32)[: len(token) + 1].astype(np.int64) // 2
-    ids = np.frombuffer(data, "<u2")[: ends[-1]].astype(np.int32) if len(token) else np.zeros(0, np.int32)
-    return starts, token, words, ids, ends
+    return np.frombuffer(data, "<u2")[: ends[-1]].astype(np.int32) if len(token) else np.zeros(0, np.int32), ends
 
 
 def _encoder(paths: tuple[str, str]):
     return byte_bpe(*paths)
 
 
-def _round(blocks: DataFrame, model: Attention, state: State, paths: tuple[str, str],
-           cut: tuple[float, float], done: tuple[float, float], expected: float, seed: int) -> DataFrame:
+def _round(blocks: DataFrame, model: Attention, state: State, cut: tuple[float, float],
+           done: tuple[float, float], expected: float, seed: int) -> DataFrame:
     """``part, n, step, state``: each partition's state after its windows of the
     texts whose place hash lies in ``cut``, and how many windows these were.
     ``done`` is the share of all training before and after the round, and
     ``expected`` a partition's likely windows; both set the rate only."""
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, bpe, n = TaskContext.get().partitionId(), _encoder(paths), 0
+        part, n = TaskContext.get().partitionId(), 0
         mine = state.unpack(state.pack(), state.step)
         here = Attention(model.slot, model.escape, mine.w)
         rng = np.random.default_rng([seed, part])
@@ -362,23 +392,24 @@ def _round(blocks: DataFrame, model: Attention, state: State, paths: tuple[str,
         def rate(seen: int) -> float:
             return RATE * (1 - 0.9 * (done[0] + (done[1] - done[0]) * min(1.0, (n + seen) / expected)))
 
-        for b in batches:
-            for block, packed, train_ in zip(*(b.column(c).to_pylist() for c in ("block", "texts", "train"))):
-                turn = mix64((np.uint64(block) << np.uint64(20)) + np.arange(len(train_), dtype=np.uint64)) / 2.0 ** 64
-                use = np.flatnonzero(np.array(train_, dtype=bool) & (turn >= cut[0]) & (turn < cut[1]))
-                if not len(use):
-                    continue
-                starts, _, _, ids, ends = streams(_texts(packed).take(pa.array(rng.permutation(use))), bpe)
-                starts, text = ends[starts], 0
-                while text < len(starts) - 1:  # texts of some PLACES ids at a time bound the memory
-                    last = max(text + 1, int(np.searchsorted(starts, starts[text] + PLACES, side="right")) - 1)
-                    a, z = int(starts[text]), int(starts[last])
-                    n += train(here, mine, ids[a:z], starts[text:last + 1] - a, rate, rng)
-                    text = last
+        for block, train_, starts, token, spelt in _rows(batches, "block", "train", "starts", "tokens", "spelt"):
+            turn = mix64((np.uint64(block) << np.uint64(20)) + np.arange(len(train_), dtype=np.uint64)) / 2.0 ** 64
+            use = np.flatnonzero(np.array(train_, dtype=bool) & (turn >= cut[0]) & (turn < cut[1]))
+            if not len(use):
+                continue
+            use, starts = rng.permutation(use), _numbers(starts, "<i8")
+            first, size = starts[use], np.diff(starts)[use]
+            starts = np.append(0, np.cumsum(size))
+            place = np.arange(starts[-1]) + np.repeat(first - starts[:-1], size)
+            ids, ends = id_stream(_numbers(token, "<i4")[place], unpack_bytes(spelt))
+            starts = ends[starts]
+            for text, last in spans(starts):
+                a, z = int(starts[text]), int(starts[last])
+                n += train(here, mine, ids[a:z], starts[text:last + 1] - a, rate, rng)
         if n:
             yield _state_row(part, n, mine.step, mine.pack())
 
-    return blocks.select("block", "texts", "train").mapInArrow(fit, _STATE)
+    return blocks.select("block", "train", "starts", "tokens", "spelt").mapInArrow(fit, _STATE)
 
 
 _STATE = "part int, n long, step long, state binary"
@@ -452,7 +483,7 @@ def fit_network(blocks: DataFrame, counts: np.ndarray, paths: tuple[str, str]) -
         for i, cut in enumerate(zip(cuts, cuts[1:])):
             share = cut[1] - cut[0]
             done = ((epoch + cut[0]) / epochs, (epoch + cut[1]) / epochs)
-            rows = _round(blocks, model, state, paths, cut, done, counts.sum() / SCORED * share / parts, epoch * ROUNDS + i)
+            rows = _round(blocks, model, state, cut, done, counts.sum() / SCORED * share / parts, epoch * ROUNDS + i)
             got = rows.groupBy(F.pmod("part", F.lit(groups))).applyInArrow(_average, _STATE).toArrow()
             if got.num_rows:
                 top = _average(got)
@@ -461,89 +492,74 @@ def fit_network(blocks: DataFrame, counts: np.ndarray, paths: tuple[str, str]) -
 
 
 # ---- token counts over all training documents ---------------------------------------
+def _counted(train_: list[bool], starts: bytes, token: bytes, words: int) -> np.ndarray:
+    """How often each word of a block occurs in its training documents."""
+    seen = np.repeat(np.array(train_, dtype=bool), np.diff(_numbers(starts, "<i8")))
+    return np.bincount(_numbers(token, "<i4")[seen] + 1, minlength=words + 1)[1:]
+
+
 def _block_words(blocks: DataFrame, buckets: int) -> DataFrame:
     """``bucket, block, words, n``: distinct words of a block and how often they
     occur in its training documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for block, packed, train_ in zip(*(b.column(c).to_pylist() for c in ("block", "texts", "train"))):
-                text = _texts(packed)
-                starts, at, words = split_words(text, lower=True)
-                seen = np.repeat(np.array(train_, dtype=bool), np.diff(starts)) if len(train_) else np.zeros(0, bool)
-                n = np.bincount(at[seen], minlength=len(words))
-                bucket = (word_hash(words) % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                words, n = words.take(pa.array(order)), n[order]
-                full, first = np.unique(bucket[order], return_index=True)
-                ends = [*first[1:].tolist(), len(order)]
-                cut = list(zip(first.tolist(), ends))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()),
-                     pa.array([pack_bytes(words.slice(x, z - x)) for x, z in cut], pa.binary()),
-                     pa.array([n[x:z].astype("<i8").tobytes() for x, z in cut], pa.binary())],
-                    ["bucket", "block", "words", "n"])
-
-    return (blocks.select("block", "texts", "train")
+        for block, train_, starts, token, words in _rows(batches, "block", "train", "starts", "tokens", "words"):
+            words = unpack_bytes(words)
+            n = _counted(train_, starts, token, len(words)).astype("<i8")
+            full, first = np.unique(_bucket(words, buckets), return_index=True)
+            cut = list(zip(first.tolist(), [*first[1:].tolist(), len(words)]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()),
+                 pa.array([pack_bytes(words.slice(x, z - x)) for x, z in cut], pa.binary()),
+                 pa.array([n[x:z].tobytes() for x, z in cut], pa.binary())], ["bucket", "block", "words", "n"])
+
+    return (blocks.select("block", "train", "starts", "tokens", "words")
                   .mapInArrow(count, "bucket int, block long, words binary, n binary"))
 
 
-def _totals(words: DataFrame, buckets: int, paths: tuple[str, str]) -> DataFrame:
-    """``block, words, n, kinds, tokens, spelt``: totals over all blocks; the last
-    three are the bucket's known words, training tokens and training subword ids
-    by number, on its first row only.
+def _totals(words: DataFrame, buckets: int) -> DataFrame:
+    """``block, bucket, n, kinds, tokens``: totals over all blocks, in the order of
+    the block's words; the last two are the partition's known words and training
+    tokens, on its first row only.
     A bucket holds a word once per block, and buckets grow with the shuffle width."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, packed, n = [], [], [np.zeros(0, np.int64)]
-        for b in batches:
-            block += b.column("block").to_pylist()
-            packed += b.column("words").to_pylist()
-            n += [np.frombuffer(x, "<i8") for x in b.column("n").to_pylist()]
+        block, bucket, words, n = [], [], [], [np.zeros(0, np.int64)]
+        for bl, bu, packed, count in _rows(batches, "block", "bucket", "words", "n"):
+            block.append(bl)
+            bucket.append(bu)
+            words.append(unpack_bytes(packed))
+            n.append(np.frombuffer(count, "<i8"))
         if not block:
             return
-        words = [unpack_bytes(p) for p in packed]
         size = [len(w) for w in words]
         coded = pa.concat_arrays(words).dictionary_encode()
         at = coded.indices.to_numpy()
         sums = np.bincount(at, np.concatenate(n), len(coded.dictionary)).astype(np.int64)
-        spelt = zstandard.compress(_spelt(coded.dictionary, sums, _encoder(paths)).astype("<i8").tobytes(), 1)
         ends = np.cumsum(size)
-        for i, (bl, p, z, s) in enumerate(zip(block, packed, ends, size)):
+        for i, (bl, bu, z, s) in enumerate(zip(block, bucket, ends, size)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([bl], pa.int64()), pa.array([p], pa.binary()),
-                 pa.array([zstandard.compress(sums[at[z - s:z]].astype("<i8").tobytes(), 1)], pa.binary()),
+                [pa.array([bl], pa.int64()), pa.array([bu], pa.int32()), _packed(sums[at[z - s:z]], "<i8"),
                  pa.array([0 if i else int((sums > 0).sum())], pa.int64()),
-                 pa.array([0 if i else int(sums.sum())], pa.int64()),
-                 pa.array([None if i else spelt], pa.binary())], ["block", "words", "n", "kinds", "tokens", "spelt"])
-
-    return (words.repartition(buckets, "bucket").select("block", "words", "n")
-                 .mapInArrow(total, "block long, words binary, n binary, kinds long, tokens long, spelt binary"))
-
-
-def _spelt(words: pa.Array, n: np.ndarray, bpe) -> np.ndarray:
-    """How often each subword id occurs in words that occur ``n`` times."""
-    out = np.zeros(END_ID + 1, np.int64)
-    at = np.flatnonzero(n > 0)
-    for i in range(0, len(at), SPELL):
-        some = at[i:i + SPELL]
-        ids = bpe.spaced_words(words.take(pa.array(some)).to_pylist())
-        flat = np.frombuffer(b"".join(ids), "<u2")
-        np.add.at(out, flat, np.repeat(n[some], [len(x) // 2 for x in ids]))
-    return out
+                 pa.array([0 if i else int(sums.sum())], pa.int64())], ["block", "bucket", "n", "kinds", "tokens"])
 
+    return (words.repartition(buckets, "bucket")
+                 .mapInArrow(total, "block long, bucket int, n binary, kinds long, tokens long"))
 
-def subword_counts(totals: DataFrame, ends: int) -> np.ndarray:
-    """Occurrences of each subword id in all training documents."""
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for x in b.column("spelt").to_pylist():
-                n = np.frombuffer(zstandard.decompress(x), "<i8")
-                id_ = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(id_, pa.int32()), pa.array(n[id_], pa.int64())], ["id", "n"])
+def subword_counts(blocks: DataFrame, ends: int) -> np.ndarray:
+    """Occurrences of each subword id in all training documents, of which there are ``ends``."""
 
-    got = (totals.filter("spelt is not null").select("spelt").mapInArrow(spread, "id int, n long")
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for train_, starts, token, spelt in _rows(batches, "train", "starts", "tokens", "spelt"):
+            spelt = unpack_bytes(spelt)
+            times = _counted(train_, starts, token, len(spelt))
+            ids = np.frombuffer(spelt.buffers()[2] or b"", "<u2")
+            n = np.bincount(ids, np.repeat(times, pc.binary_length(spelt).to_numpy() // 2), END_ID + 1).astype(np.int64)
+            id_ = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(id_, pa.int32()), pa.array(n[id_], pa.int64())], ["id", "n"])
+
+    got = (blocks.select("train", "starts", "tokens", "spelt").mapInArrow(spread, "id int, n long")
                  .groupBy("id").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(END_ID + 1)
     out[got.column("id").to_numpy()] = got.column("n").to_numpy()
@@ -551,22 +567,18 @@ def subword_counts(totals: DataFrame, ends: int) -> np.ndarray:
     return out
 
 
-def _texts(packed: bytes) -> pa.Array:
-    return pa.ipc.open_stream(zstandard.decompress(packed)).read_all().column("t").combine_chunks()
-
-
 def score_texts(docs: DataFrame, json_path: str | None = None, ranks_path: str | None = None) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     paths = (json_path or public_path(f"{BYTE_BPE}.json"), ranks_path or public_path(f"{BYTE_BPE}.tiktoken"))
     docs = docs.select("doc_id", "text")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flag = F.transform("doc_ids", lambda d: in_training(d))
-    blocks = written(block_texts(docs).withColumn("train", flag), "lm-blocks")
-    totals = written(_totals(_block_words(blocks, buckets), buckets, paths), "lm-totals")
+    blocks = written(coded_blocks(docs, paths, buckets).withColumn("train", flag), "lm-blocks")
+    totals = written(_totals(_block_words(blocks, buckets), buckets), "lm-totals")
     facts = totals.agg(F.sum("kinds"), F.sum("tokens")).first()
     ends = blocks.agg(F.sum(F.size(F.filter("train", lambda t: t)))).first()[0] or 0
     kinds, tokens = (facts[0] or 0) + (ends > 0), (facts[1] or 0) + ends
-    model = fit_network(blocks, subword_counts(totals, ends), paths)
+    model = fit_network(blocks, subword_counts(blocks, ends), paths)
     kind = docs.schema["doc_id"].dataType
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     types = [to_arrow_type(kind), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
@@ -574,27 +586,27 @@ def score_texts(docs: DataFrame, json_path: str | None = None, ranks_path: str |
     floor = np.log10(tokens + (kinds + 1))
 
     def score(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        bpe = _encoder(paths)
-        known = pa.concat_arrays([pa.array([], pa.binary()), *map(unpack_bytes, counts.column("words").to_pylist())])
-        n = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(zstandard.decompress(x), "<i8")
-                                                     for x in counts.column("n").to_pylist()]])
+        # the block's words lie in the order of buckets
+        n = np.concatenate([np.zeros(0, np.int64), *(_numbers(x, "<i8") for x in counts.sort_by("bucket").column("n").to_pylist())])
         out = []
         for row in range(texts.num_rows):
-            starts, token, words, ids, at = streams(_texts(texts.column("texts")[row].as_py()), bpe)
-            place = pc.index_in(words, value_set=known).to_numpy(zero_copy_only=False).astype(np.int64)
-            c = np.append(n[place], ends)[token]  # -1, the end, is the last
-            spelt = token_log_probs(*model.log_probs(shifted(ids, at[starts]), ids, at[starts]), at, token < 0)
-            total = mixed(spelt, c / tokens if tokens else None, token, starts)
-            first = starts[:-1]
-            size = np.diff(starts)
-            train_ = np.array(texts.column("train")[row].as_py(), dtype=bool)
-            out.append(pa.table([
-                pa.chunked_array([texts.column("doc_ids")[row].values]), pa.array(~train_), pa.array(size),
-                pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(size), tokens)),
-                pa.array(np.add.reduceat(np.log10(c + 1.0), first) - size * floor),
-                pa.array(np.add.reduceat(total, first) / np.log(10))], names=names))
+            starts, tokens_ = (_numbers(texts.column(c)[row].as_py(), k) for c, k in (("starts", "<i8"), ("tokens", "<i4")))
+            spelt = unpack_bytes(texts.column("spelt")[row].as_py())
+            held = ~np.array(texts.column("train")[row].as_py(), dtype=bool)
+            for text, last in spans(starts):
+                token, first = tokens_[starts[text]:starts[last]].astype(np.int64), starts[text:last + 1] - starts[text]
+                ids, at = id_stream(token, spelt)
+                c = np.append(n, ends)[token]  # -1, the end, is the last
+                network = token_log_probs(*model.log_probs(shifted(ids, at[first]), ids, at[first]), at, token < 0)
+                total = mixed(network, c / tokens if tokens else None, token, first)
+                size, first = np.diff(first), first[:-1]
+                out.append(pa.table([
+                    pa.chunked_array([texts.column("doc_ids")[row].values[text:last]]), pa.array(held[text:last]), pa.array(size),
+                    pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(size), tokens)),
+                    pa.array(np.add.reduceat(np.log10(c + 1.0), first) - size * floor),
+                    pa.array(np.add.reduceat(total, first) / np.log(10))], names=names))
         return pa.concat_tables(out) if out else empty
 
-    return (blocks.groupBy("block").cogroup(totals.select("block", "words", "n").groupBy("block"))
+    return (blocks.drop("words").groupBy("block").cogroup(totals.select("block", "bucket", "n").groupBy("block"))
             .applyInArrow(score, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, "
                                  "train_tokens long, base_score double, score double"))
