@@ -206,8 +206,9 @@ class Attention:
         g["pos"] = de.sum(0)
         g["emb"] = np.zeros_like(w["emb"])
         order = np.argsort(ids.astype(np.uint16), axis=None, kind="stable")
-        seen, first = np.unique(ids.ravel()[order], return_index=True)
-        g["emb"][seen] = np.add.reduceat(de.reshape(-1, DIM).take(order, axis=0), first)
+        seen = ids.ravel()[order]
+        first = np.flatnonzero(np.diff(seen, prepend=-1))
+        g["emb"][seen[first]] = np.add.reduceat(de.reshape(-1, DIM).take(order, axis=0), first)
         return float(-logp.mean()), g
 
     def log_probs(self, before: np.ndarray, after: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
