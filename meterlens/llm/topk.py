@@ -8,13 +8,16 @@ vector, a covering radius and each entry's distance to it, below inner nodes
 with the same.  A block of queries is searched best first: a node is entered
 only if its distance less its radius can beat the query's k-th score so far,
 and |d(query, parent) - d(entry, parent)| rules entries out before any
-product with them is computed.  Scores are exact integers: products of doubles
-where all sums stay below 2^53, of longs below 2^63, of Python integers beyond;
-bounds carry a slack far above their rounding.
+product with them is computed.  Scores are exact integers: products of floats
+where all sums stay below 2^23, of doubles below 2^52, of longs below 2^62, of
+Python integers beyond; bounds carry a slack far above their rounding.
 
-All rows are searched for all queries: queries are packed in blocks and each
-block meets each tree once; every task holds one tree and one block, both of
-bounded size.  Per tree only k rows a query go on to the final ranking.
+All rows are searched for all queries.  Vectors travel as pieces of at most
+``PIECE`` bytes, in the smallest number type that holds them; a task takes about
+``PIECES`` of them, builds its trees and lets all blocks of queries pass, one at
+a time and each from tree to tree with its k-th scores.  So no row, batch of a
+reader or join grows with the input, the driver gets one count, and per task
+only k rows a query go on to the final ranking.
 
 Edge cases: vectors that are null, or hold null or non-finite components,
 take no part; neither do rows without an id; shorter vectors count as padded
@@ -42,6 +45,11 @@ LONG = 2 ** 63 - 1
 TOP = 5
 #: Vectors of a leaf page, pages of an inner node, vectors of a tree, queries of a block.
 PAGE, FANOUT, TREE, BLOCK = 128, 16, 16_384, 512
+#: Bytes of vectors in a row, such rows in a task, components that are worked on at once.
+PIECE, PIECES, WORK = 1 << 16, 256, 1 << 20
+#: Number types of a piece by their bytes.
+KINDS = {1: "<i1", 2: "<i2", 4: "<i4", 8: "<f8"}
+MISSING = -2 ** 62  # below every score that is not a Python integer
 
 
 def _integers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -91,99 +99,129 @@ def _split(points: np.ndarray, most: int) -> list[np.ndarray]:
 
 
 class Tree:
-    """Pages and inner nodes over the vectors of one slice."""
+    """Pages and inner nodes over the vectors of one slice, which lie page by page, near entries first."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray) -> None:
         points, self.norm = _lifted(x)
-        self.ids, self.x, self.pages = ids, x, _split(points, PAGE)
-        self.pivot = np.array([points[p].mean(axis=0) for p in self.pages])
-        self.entry = [np.sqrt(((points[p] - c) ** 2).sum(axis=1)) for p, c in zip(self.pages, self.pivot)]
+        pages, entry, pivot = [], [], []
+        for p in _split(points, PAGE):
+            c = points[p].mean(axis=0)
+            d = np.sqrt(((points[p] - c) ** 2).sum(axis=1))
+            near = np.argsort(d, kind="stable")
+            pages.append(p[near])
+            entry.append(d[near])
+            pivot.append(c)
+        at = np.concatenate(pages)
+        self.start = np.cumsum([0, *map(len, pages)])
+        self.largest = int(np.abs(x).max()) if x.size else 0
+        self.ids, self.x = ids[at], x[at].astype(np.float32 if self.largest < 2 ** 24 else np.float64)
+        self.pivot, self.entry = np.array(pivot), entry
         self.radius = np.array([d.max() for d in self.entry])
         self.nodes = _split(self.pivot, FANOUT)
         self.node_pivot = np.array([self.pivot[n].mean(axis=0) for n in self.nodes])
         self.page_parent = [np.sqrt(((self.pivot[n] - c) ** 2).sum(axis=1)) for n, c in zip(self.nodes, self.node_pivot)]
         self.node_radius = np.array([(d + self.radius[n]).max() for n, d in zip(self.nodes, self.page_parent)])
-        self.largest = int(np.abs(x).max()) if x.size else 0
-
-    @staticmethod
-    def _best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
-        """Places of the ``top`` largest scores of each row, ties by id."""
-        if scores.dtype == object:
-            return np.array([sorted(range(len(i)), key=lambda c: (-s[c], i[c]))[:top]  # noqa: B023
-                             for s, i in zip(scores.tolist(), ids.tolist())])
-        return np.lexsort((ids, -scores), axis=-1)[:, :top]
 
-    def search(self, ids: np.ndarray, q: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(scores, ids) of the best ``top`` per query, and which of them there are."""
-        dim = max(q.shape[1], self.x.shape[1])
-        x = np.pad(self.x, ((0, 0), (0, dim - self.x.shape[1])))
-        wide = self.pivot.shape[1] - 1
-        bound = dim * self.largest * int(np.abs(q).max(initial=0))
-        q = np.pad(q, ((0, 0), (0, dim - q.shape[1])))
-        kind = np.float64 if bound < 2 ** 52 else np.int64 if bound < 2 ** 62 else object
-        if kind is object:
-            xs, qs = (np.array([[int(c) for c in row] for row in m.tolist()], dtype=object).reshape(m.shape) for m in (x, q))
-        else:
-            xs, qs = x.astype(kind), q.astype(kind)
-        lowest = -math.inf if kind is object else -2 ** 62  # below every score; what has it is missing
+    def improve(self, ids: np.ndarray, q: np.ndarray, best: Best) -> None:
+        """Let ``best`` of the queries have what is better here."""
+        wide = self.x.shape[1]
         qf = np.column_stack([q[:, :wide].astype(np.float64), np.zeros(len(q))])
+        qs = best.cast(q[:, :wide])
         own = (qf * qf).sum(axis=1)
-        slack = 1e-6 * (1 + np.sqrt(own + self.norm))
-        score = np.full((len(q), top), lowest, dtype=object if kind is object else np.int64)
-        found = np.zeros((len(q), top), dtype=np.int64)
-        reach = np.full(len(q), np.inf)  # distance of the k-th best, with slack
+        slack = 1e-5 * (1 + np.sqrt(own + self.norm))
+        reach = np.empty(len(q))  # distance of the k-th best, with slack
+
+        def reset(rows: np.ndarray) -> None:
+            last = best.score[rows, -1]
+            gap = np.where(last > best.lowest, own[rows] + self.norm - 2 * last.astype(np.float64), np.inf)
+            reach[rows] = np.sqrt(np.maximum(gap, 0)) + slack[rows]
 
         def distance(rows: np.ndarray, p: np.ndarray) -> np.ndarray:
-            return np.sqrt(np.maximum(((qf[rows] - p) ** 2).sum(axis=1), 0))
+            square = own[rows][:, None] + (p * p).sum(axis=1)[None, :] - 2 * (qf[rows] @ p.T)
+            return np.sqrt(np.maximum(square, 0))
 
         def scan(page: int, rows: np.ndarray, d: np.ndarray) -> None:
-            keep = np.abs(d[:, None] - self.entry[page][None, :]) <= reach[rows][:, None]
-            col = np.flatnonzero(keep.any(axis=0))
-            if not len(col):
-                return
-            at = self.pages[page][col]
-            s = (qs[rows] @ xs[at].T).astype(score.dtype)
-            own_row = self.ids[at][None, :] == ids[rows][:, None]
-            s = np.where(own_row, lowest, s)
-            mine = np.broadcast_to(self.ids[at], s.shape)
-            better = np.flatnonzero(((s >= score[rows, -1:]) & ~own_row).any(axis=1))
-            if not len(better):
+            far = reach[rows]
+            entry = self.entry[page]
+            a = self.start[page] + np.searchsorted(entry, (d - far).min())
+            b = self.start[page] + np.searchsorted(entry, (d + far).max(), side="right")
+            s = qs[rows] @ best.cast(self.x[a:b]).T
+            r, c = np.divmod(np.flatnonzero(s >= best.score[rows, -1:].astype(s.dtype)), max(1, b - a))
+            other = self.ids[a + c] != ids[rows[r]]
+            r, c = r[other], c[other]
+            if len(r):
+                reset(best.merge(rows, r, s[r, c], self.ids[a + c]))
+
+        def enter(node: int, rows: np.ndarray) -> None:
+            rows = rows[low[rows, node] <= reach[rows]]
+            if not len(rows):
                 return
-            r = rows[better]
-            all_s = np.concatenate([score[r], s[better]], axis=1)
-            all_i = np.concatenate([found[r], mine[better]], axis=1)
-            order = self._best(all_s, all_i, top)
-            score[r] = np.take_along_axis(all_s, order, axis=1)
-            found[r] = np.take_along_axis(all_i, order, axis=1)
-            full = score[r, -1] > lowest
-            gap = np.where(full, own[r] + self.norm - 2 * score[r, -1].astype(np.float64), np.inf)
-            reach[r] = np.sqrt(np.maximum(gap, 0)) + slack[r]
+            pages = self.nodes[node]
+            bound = np.abs(d_node[rows, node][:, None] - self.page_parent[node][None, :]) - self.radius[pages]
+            dp = distance(rows, self.pivot[pages])
+            for i in np.argsort(bound.mean(axis=0)):
+                near = (bound[:, i] <= reach[rows]) & (dp[:, i] - self.radius[pages[i]] <= reach[rows])
+                if near.any():
+                    scan(int(pages[i]), rows[near], dp[near, i])
 
         every = np.arange(len(q))
-        d_node = np.array([distance(every, p) for p in self.node_pivot]).T
+        reset(every)
+        d_node = distance(every, self.node_pivot)
         low = d_node - self.node_radius
-        order = np.argsort(low, axis=1)
-        for turn in range(len(self.nodes)):  # each query enters its nodes in order of their bound
-            chosen = order[:, turn]
-            active = low[every, chosen] <= reach
-            if not active.any():
-                break
-            for node in np.unique(chosen[active]):
-                rows = every[active & (chosen == node)]
-                rows = rows[low[rows, node] <= reach[rows]]
-                d = d_node[rows, node]
-                bound = np.abs(d[:, None] - self.page_parent[node][None, :]) - self.radius[self.nodes[node]]
-                for i in np.argsort(bound.mean(axis=0)) if len(rows) else ():
-                    near = bound[:, i] <= reach[rows]
-                    if not near.any():
-                        continue
-                    page = int(self.nodes[node][i])
-                    r = rows[near]
-                    dp = distance(r, self.pivot[page])
-                    enter = dp - self.radius[page] <= reach[r]
-                    if enter.any():
-                        scan(page, r[enter], dp[enter])
-        return score, found, (score > lowest).astype(bool)
+        first = low.argmin(axis=1)
+        for node in np.unique(first):  # each query's most promising node, then whatever its bound still admits
+            enter(node, every[first == node])
+        for node in np.argsort(low.mean(axis=0)):
+            enter(node, every[first != node])
+
+
+class Best:
+    """The best ``top`` scores and ids of each query so far, in the number type that holds all scores."""
+
+    def __init__(self, queries: int, top: int, most: int) -> None:
+        self.kind = np.float32 if most < 2 ** 23 else np.float64 if most < 2 ** 52 else np.int64 if most < 2 ** 62 else object
+        self.lowest = -math.inf if self.kind is object else MISSING  # below every score; what has it is missing
+        self.score = np.full((queries, top), self.lowest, dtype=object if self.kind is object else np.int64)
+        self.found = np.zeros((queries, top), dtype=np.int64)
+
+    def cast(self, x: np.ndarray) -> np.ndarray:
+        if self.kind is object:
+            return np.array([[int(c) for c in row] for row in x.tolist()], dtype=object).reshape(x.shape)
+        return x.astype(self.kind, copy=False)
+
+    def merge(self, rows: np.ndarray, r: np.ndarray, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Candidates of ``rows[r]``, ``r`` ascending, join the best; the rows that had some."""
+        which, start, count = np.unique(r, return_index=True, return_counts=True)
+        at, top = rows[which], self.score.shape[1]
+        line = np.repeat(np.arange(len(which)), count)
+        place = top + np.arange(len(r)) - np.repeat(start, count)
+        all_s = np.full((len(which), top + count.max()), self.lowest, dtype=self.score.dtype)
+        all_i = np.zeros(all_s.shape, dtype=np.int64)
+        all_s[:, :top], all_i[:, :top] = self.score[at], self.found[at]
+        all_s[line, place], all_i[line, place] = score.astype(self.score.dtype), ids
+        order = self._order(all_s, all_i, top)
+        self.score[at] = np.take_along_axis(all_s, order, axis=1)
+        self.found[at] = np.take_along_axis(all_i, order, axis=1)
+        return at
+
+    @staticmethod
+    def _order(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
+        """Places of the ``top`` largest scores of each row, ties by id."""
+        if scores.dtype == object:
+            return np.array([sorted(range(len(i)), key=lambda c: (-s[c], i[c]))[:top]  # noqa: B023
+                             for s, i in zip(scores.tolist(), ids.tolist())])
+        return np.lexsort((ids, -scores), axis=-1)[:, :top]
+
+
+def _search(trees: list[Tree], ids: np.ndarray, q: np.ndarray, top: int) -> Best:
+    """The best ``top`` per query over all trees."""
+    dim = max(q.shape[1], *(t.x.shape[1] for t in trees))
+    q = np.pad(q, ((0, 0), (0, dim - q.shape[1])))
+    largest, asked = max(t.largest for t in trees), int(np.abs(q).max(initial=0))
+    best = Best(len(ids), top, max(dim * largest * asked, largest, asked))
+    for tree in trees:
+        tree.improve(ids, q, best)
+    return best
 
 
 def _sort_key(score: int) -> bytes:
@@ -194,71 +232,109 @@ def _sort_key(score: int) -> bytes:
     return (32767 - size).to_bytes(2, "big") + bytes(255 - b for b in (-score).to_bytes(size, "big"))
 
 
-def _blob(x: np.ndarray, kind: str) -> bytes:
-    return np.ascontiguousarray(x, dtype=kind).tobytes()
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``WORK`` components at once when padded (or one row)."""
+    size = pc.fill_null(pc.list_value_length(batch.column("embedding")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = 0
+    while at < batch.num_rows:
+        padded = np.maximum.accumulate(size[at:]) * np.arange(1, len(size) - at + 1)
+        n = max(1, int(np.searchsorted(padded, WORK, side="right")))
+        yield batch.slice(at, n)
+        at += n
 
 
-def _packed(vectors: DataFrame, rows_each: int, name: str) -> DataFrame:
-    """``ids, x, dim`` of at most ``rows_each`` vectors a row."""
+def _packed(vectors: DataFrame, rows_each: int) -> DataFrame:
+    """``ids, x, dim, item``: at most ``rows_each`` vectors and ``PIECE`` bytes of them (or one vector) a row,
+    in the number type of ``item`` bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
-
-        def out() -> pa.RecordBatch:
-            dim = max(x.shape[1] for _, x in kept)
-            ids = np.concatenate([i for i, _ in kept])
-            x = np.concatenate([np.pad(x, ((0, 0), (0, dim - x.shape[1]))) for _, x in kept])
-            kept.clear()
-            return pa.RecordBatch.from_arrays([pa.array([_blob(ids, "<i8")], pa.binary()), pa.array([_blob(x, "<f8")], pa.binary()),
-                                               pa.array([dim], pa.int32())], [f"{name}_ids", f"{name}_x", f"{name}_dim"])
         for b in batches:
-            ids, x = _integers(b)
-            for at in range(0, len(ids), rows_each):
-                part = ids[at:at + rows_each], x[at:at + rows_each]
-                if kept and held + len(part[0]) > rows_each:
-                    yield out()
-                    held = 0
-                kept.append(part)
-                held += len(part[0])
-        if kept and held:
-            yield out()
+            for part in _slices(b):
+                ids, x = _integers(part)
+                low, high = x.min(initial=0), x.max(initial=0)
+                item = next((n for n in (1, 2, 4) if -2 ** (8 * n - 1) <= low and high < 2 ** (8 * n - 1)), 8)
+                step = min(rows_each, max(1, PIECE // max(1, item * x.shape[1])))
+                for at in range(0, len(ids), step):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([ids[at:at + step].astype("<i8").tobytes()], pa.binary()),
+                         pa.array([x[at:at + step].astype(KINDS[item]).tobytes()], pa.binary()),
+                         pa.array([x.shape[1]], pa.int32()), pa.array([item], pa.int32())], ["ids", "x", "dim", "item"])
+
+    return vectors.select("vec_id", "embedding").mapInArrow(pack, "ids binary, x binary, dim int, item int")
 
-    return vectors.select("vec_id", "embedding").mapInArrow(pack, f"{name}_ids binary, {name}_x binary, {name}_dim int")
+
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    dim = max(x.shape[1] for _, x in parts)
+    return np.concatenate([i for i, _ in parts]), np.concatenate([np.pad(x, ((0, 0), (0, dim - x.shape[1]))) for _, x in parts])
+
+
+def _results(ids: np.ndarray, best: Best) -> pa.RecordBatch:
+    hit = best.score > best.lowest
+    score = best.score[hit]
+    exact = [_sort_key(v) if abs(v) >= LONG else None for v in score.tolist()] if score.dtype == object else [None] * len(score)
+    if score.dtype == object:
+        score = np.array([max(-LONG, min(LONG, v)) for v in score.tolist()], dtype=np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, hit.sum(axis=1))), pa.array(best.found[hit]), pa.array(score),
+                                       pa.array(exact, pa.binary())], ["query_id", "vec_id", "score", "exact"])
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's best vectors."""
     from meterlens.llm.util import written
+    most, block = TREE, BLOCK  # the workers' copies of this module have their own
     valid = queries.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
                            & ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))))
     asked = valid.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    trees = written(_packed(vectors, TREE, "t").withColumn("tree", F.monotonically_increasing_id()), "topk-trees")
-    number = [r[0] for r in trees.select("tree").collect()]  # one number per TREE vectors
-    blocks = _packed(asked, BLOCK, "q")
-    pairs = blocks.withColumn("tree", F.explode(F.lit(number).cast("array<long>"))).join(trees, "tree")
+    # A reader takes whole row groups of few rows at once, so they are kept short.
+    pieces = written(_packed(vectors, most).withColumn("place", F.monotonically_increasing_id()), "topk-pieces",
+                     {"parquet.block.row.count.limit": "64"})
+    count = pieces.count()
+    tasks = max(1, -(-count // PIECES), min(count, 2 * vectors.sparkSession.sparkContext.defaultParallelism))
+    # Pieces of a file go to tasks in turn, from a start that differs from file to file and spreads evenly.
+    start = F.floor((F.shiftright("place", 33) * F.lit(0.6180339887498949) % 1) * tasks)
+    task = ((start + F.col("place").bitwiseAND(2 ** 33 - 1)) % tasks).cast("int")
+    blocks = _packed(asked, block).withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    columns = ["task", "asks", "ids", "x", "dim", "item"]
+    both = (pieces.withColumn("task", task).withColumn("asks", F.lit(False)).select(*columns)
+                  .unionByName(blocks.withColumn("asks", F.lit(True)).select(*columns)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tree = None, None
+        now, trees = None, []
+        held: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
+        full = {False: lambda n, dim: n >= most or n * dim >= WORK, True: lambda n, dim: n >= block}
+
+        def take(asks: bool) -> Iterator[pa.RecordBatch]:
+            """What is held becomes a tree, or is searched in the trees."""
+            if not held[asks]:
+                return
+            ids, x = _joined(held[asks])
+            held[asks].clear()
+            if not asks:
+                trees.append(Tree(ids, x))
+            elif trees:
+                yield _results(ids, _search(trees, ids, x, top))
+
         for b in batches:
             for r in range(b.num_rows):
-                get = lambda c: b.column(c)[r].as_py()  # noqa: E731, B023
-                if get("tree") != last:
-                    last = get("tree")
-                    ids = np.frombuffer(get("t_ids"), "<i8")
-                    tree = Tree(ids, np.frombuffer(get("t_x"), "<f8").reshape(len(ids), get("t_dim")))
-                ids = np.frombuffer(get("q_ids"), "<i8")
-                score, found, hit = tree.search(ids, np.frombuffer(get("q_x"), "<f8").reshape(len(ids), get("q_dim")), top)
-                exact = [int(v) for v in score[hit].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids, hit.sum(axis=1))), pa.array(found[hit]),
-                     pa.array([max(-LONG, min(LONG, v)) for v in exact], pa.int64()),
-                     pa.array([_sort_key(v) for v in exact], pa.binary())], ["query_id", "vec_id", "score", "exact"])
-
-    got = (pairs.sortWithinPartitions("tree")
-                .select("tree", "t_ids", "t_x", "t_dim", "q_ids", "q_x", "q_dim")
-                .mapInArrow(search, "query_id long, vec_id long, score long, exact binary"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("exact"), "vec_id"))
+                key, asks, dim, item = (b.column(c)[r].as_py() for c in ("task", "asks", "dim", "item"))
+                if key != now:
+                    yield from take(False)
+                    yield from take(True)
+                    now = key
+                    trees.clear()
+                if asks:
+                    yield from take(False)
+                ids = np.frombuffer(b.column("ids")[r].as_buffer(), "<i8")
+                x = np.frombuffer(b.column("x")[r].as_buffer(), KINDS[item]).reshape(len(ids), dim).astype(np.float64)
+                held[asks].append((ids, x))
+                if full[asks](sum(len(i) for i, _ in held[asks]), max(p.shape[1] for _, p in held[asks])):
+                    yield from take(asks)
+        yield from take(False)
+        yield from take(True)
+
+    got = (both.repartitionById(tasks, F.col("task")).sortWithinPartitions("task", "asks")
+               .mapInArrow(search, "query_id long, vec_id long, score long, exact binary"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("exact"), "vec_id"))
     return (got.withColumn("rank", rank).filter(F.col("rank") <= top)
                .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
