@@ -140,29 +140,41 @@ class Tree:
             square = own[rows][:, None] + (p * p).sum(axis=1)[None, :] - 2 * (qf[rows] @ p.T)
             return np.sqrt(np.maximum(square, 0))
 
-        def scan(page: int, rows: np.ndarray, d: np.ndarray) -> None:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # rows, scores and ids that have not met the best yet
+
+        def settle() -> None:
+            if held:
+                reset(best.merge(*(np.concatenate(part) for part in zip(*held))))
+                held.clear()
+
+        def scan(page: int, rows: np.ndarray, asked: np.ndarray, d: np.ndarray) -> None:
             far = reach[rows]
             entry = self.entry[page]
             a = self.start[page] + np.searchsorted(entry, (d - far).min())
             b = self.start[page] + np.searchsorted(entry, (d + far).max(), side="right")
-            s = qs[rows] @ best.cast(self.x[a:b]).T
+            s = asked @ best.cast(self.x[a:b]).T
             r, c = np.divmod(np.flatnonzero(s >= best.score[rows, -1:].astype(s.dtype)), max(1, b - a))
-            other = self.ids[a + c] != ids[rows[r]]
-            r, c = r[other], c[other]
-            if len(r):
-                reset(best.merge(rows, r, s[r, c], self.ids[a + c]))
+            at, found = rows[r], self.ids[a + c]
+            other = found != ids[at]
+            if other.any():
+                held.append((at[other], s[r, c][other], found[other]))
+                if sum(len(part) for part, _, _ in held) > len(q):
+                    settle()
 
         def enter(node: int, rows: np.ndarray) -> None:
             rows = rows[low[rows, node] <= reach[rows]]
             if not len(rows):
                 return
-            pages = self.nodes[node]
+            pages, asked = self.nodes[node], qs[rows]
             bound = np.abs(d_node[rows, node][:, None] - self.page_parent[node][None, :]) - self.radius[pages]
             dp = distance(rows, self.pivot[pages])
             for i in np.argsort(bound.mean(axis=0)):
                 near = (bound[:, i] <= reach[rows]) & (dp[:, i] - self.radius[pages[i]] <= reach[rows])
-                if near.any():
-                    scan(int(pages[i]), rows[near], dp[near, i])
+                if near.all():
+                    scan(int(pages[i]), rows, asked, dp[:, i])
+                elif near.any():
+                    scan(int(pages[i]), rows[near], asked[near], dp[near, i])
+            settle()
 
         every = np.arange(len(q))
         reset(every)
@@ -189,20 +201,22 @@ class Best:
             return np.array([[int(c) for c in row] for row in x.tolist()], dtype=object).reshape(x.shape)
         return x.astype(self.kind, copy=False)
 
-    def merge(self, rows: np.ndarray, r: np.ndarray, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Candidates of ``rows[r]``, ``r`` ascending, join the best; the rows that had some."""
-        which, start, count = np.unique(r, return_index=True, return_counts=True)
-        at, top = rows[which], self.score.shape[1]
+    def merge(self, at: np.ndarray, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Candidates of the queries ``at`` join the best; the queries that had some."""
+        by = np.argsort(at, kind="stable")
+        score, ids = score[by], ids[by]
+        which, count = np.unique(at, return_counts=True)
+        top = self.score.shape[1]
         line = np.repeat(np.arange(len(which)), count)
-        place = top + np.arange(len(r)) - np.repeat(start, count)
+        place = top + np.arange(len(by)) - np.repeat(np.cumsum(count) - count, count)
         all_s = np.full((len(which), top + count.max()), self.lowest, dtype=self.score.dtype)
         all_i = np.zeros(all_s.shape, dtype=np.int64)
-        all_s[:, :top], all_i[:, :top] = self.score[at], self.found[at]
+        all_s[:, :top], all_i[:, :top] = self.score[which], self.found[which]
         all_s[line, place], all_i[line, place] = score.astype(self.score.dtype), ids
         order = self._order(all_s, all_i, top)
-        self.score[at] = np.take_along_axis(all_s, order, axis=1)
-        self.found[at] = np.take_along_axis(all_i, order, axis=1)
-        return at
+        self.score[which] = np.take_along_axis(all_s, order, axis=1)
+        self.found[which] = np.take_along_axis(all_i, order, axis=1)
+        return which
 
     @staticmethod
     def _order(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
